@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -36,10 +37,13 @@ KINDS = {
 
 
 def file_name(path: Column) -> Column:
-    """Last part of a path, with escaped characters such as blanks restored."""
-    return F.url_decode(
-        F.replace(F.element_at(F.split(path, "/"), -1), F.lit("+"), F.lit("%2B"))
-    )
+    """Last part of a path."""
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def literal_path(path: str) -> str:
+    """The path for a reader that takes patterns, with pattern characters escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def scan_folder(spark: SparkSession, folder: str) -> DataFrame:

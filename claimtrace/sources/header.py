@@ -135,10 +135,11 @@ def claim_columns(strict_parity: bool = False) -> dict[str, Column]:
 
 def named_columns(names: list[str], normalized: Column) -> dict[str, Column]:
     """Column index of each exact name, the last one if repeated; NULL where absent."""
-    return {
-        name: F.array_max(F.transform(normalized, lambda h, i, n=name: F.when(h == n, i)))
-        for name in names
-    }
+
+    def place(name: str) -> Column:
+        return F.array_max(F.transform(normalized, lambda h, i: F.when(h == name, i)))
+
+    return {name: place(name) for name in names}
 
 
 def with_columns_found(headers: DataFrame, columns: dict[str, Column]) -> DataFrame:

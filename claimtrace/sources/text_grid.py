@@ -34,9 +34,11 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     the order of lines in the file.
     """
     text = spark.read.text([paths] if isinstance(paths, str) else list(paths))
+    # The metadata escapes the name as in a URL, but leaves a plus sign as it is.
+    escaped = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
     return text.select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        F.url_decode(escaped).alias("file_name"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,7 +54,7 @@ def _parse(spark: SparkSession, content: DataFrame, names: list, strict_parity:
 
     for parser, parse in _CSV_PARSERS.items():
         if paths := chosen.get(parser):
-            parsed = durable(parse(text_grid.scan_csv(spark, paths)))
+            parsed = durable(parse(text_grid.scan_csv(spark, [file_source.literal_path(p) for p in paths])))
             broken = parsed.filter(F.col("reject_reason") == parsers.BROKEN)
             load.fail(broken.select("file_name", F.col("reject_reason").alias("reason")))
             load.add(parser, parsed)
@@ -132,7 +132,11 @@ def _count_row(parsed: DataFrame, inserted: DataFrame | None = None) -> DataFram
 
 def _load_shipments(tables: Tables, rows: DataFrame) -> DataFrame:
     batch = rows.withColumns(
-        {"source_file": F.col("file_name"), "ingested_at": F.current_timestamp()}
+        {
+            "source_file": F.col("file_name"),
+            "ingested_at": F.current_timestamp(),
+            "seq": F.struct(file_source.load_order(F.col("file_name")), F.col("seq")),
+        }
     ).drop("file_name")
     fresh = durable(merge.insert_ignore_shipments(tables.read("shipments"), batch))
     tables.append("shipments", fresh)
@@ -171,10 +175,7 @@ def _upsert_claims(tables: Tables, rows: DataFrame) -> DataFrame:
         F.coalesce("order_id", F.lit("")).alias("order_id"),
         F.coalesce("sscc18", F.lit("")).alias("sscc18"),
         "claim_amount",
-    ).agg(
-        F.min_by("file_name", "seq").alias("file_name"),
-        F.count_distinct("file_name").alias("files"),
-    )
+    ).agg(F.min_by("file_name", "seq").alias("file_name"))
     known = held.select(
         "claim_date",
         F.coalesce("order_id", F.lit("")).alias("order_id"),
