@@ -28,7 +28,7 @@ def per_bucket(df: DataFrame, unit: str, column: str, *aggregates: Column) -> Da
     return df.groupBy(bucket(unit, F.col(column)).alias("time")).agg(*aggregates).orderBy("time")
 
 
-def moving_average(df: DataFrame, value: str, order: str = "day") -> Column:
+def moving_average(value: str, order: str = "day") -> Column:
     """Mean over the row and up to six rows before it.
 
     The window has no partition, so use it on one row per day only.
@@ -106,7 +106,7 @@ def daily_history(claims: DataFrame) -> DataFrame:
 def moving_average_rounded(daily: DataFrame, value: str, order: str) -> DataFrame:
     """The frame with ``moving_avg_7d``, the moving average rounded to cents."""
     return daily.withColumn(
-        "moving_avg_7d", F.round(moving_average(daily, value, order), 2)
+        "moving_avg_7d", F.round(moving_average(value, order), 2)
     )
 
 

@@ -75,9 +75,9 @@ def _averaged(daily: DataFrame, value: str, name: str, params: Params, warm_up:
     """
     inside = F.col("day") >= F.lit(params.time_from.date())
     if warm_up:
-        return daily.withColumn(name, series.moving_average(daily, value)).filter(inside)
+        return daily.withColumn(name, series.moving_average(value)).filter(inside)
     daily = daily.filter(inside)
-    return daily.withColumn(name, series.moving_average(daily, value))
+    return daily.withColumn(name, series.moving_average(value))
 
 
 def daily_claims_moving_avg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimtrace.functions.report import customer_name, money, sum_abs
+from claimtrace.functions.report import customer_name, money, percent, sum_abs
 from claimtrace.operators import filters, match, series
 from claimtrace.params import Params
 
@@ -153,3 +153,26 @@ def verified_shortage_details(
         )
         .orderBy(F.col("shortage").desc(), "customer", "order_number")
     )
+
+
+def claim_shortage_rate(shipments: DataFrame, claims: DataFrame, params: Params) -> DataFrame:
+    """Claims and verified shortages per hundred orders, by week; NULL in a week without orders."""
+    orders = series.per_bucket(
+        filters.report_shipments(shipments, params),
+        "week",
+        "appointment_date",
+        F.count_distinct("order_id").alias("orders"),
+    )
+    submitted = series.per_bucket(
+        match.with_match(filters.report_claims(claims, params), shipments, params),
+        "week",
+        "claim_date",
+        F.count(F.lit(1)).alias("claims"),
+        F.count_if("matched").alias("verified"),
+    )
+    weeks = series.full_join_buckets(orders, submitted, ["orders", "claims", "verified"])
+    return weeks.select(
+        "time",
+        percent(F.col("claims"), F.col("orders"), 1).alias("claim_rate_pct"),
+        percent(F.col("verified"), F.col("orders"), 1).alias("shortage_rate_pct"),
+    )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from registry import reports
+from registry import primitives, reports
 from registry.views import Query
 
-_PARTS = (reports,)
+_PARTS = (reports, primitives)
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
