@@ -23,7 +23,7 @@ CLAIM_EXTENSION = tuple(f.name for f in schemas.CLAIM_EXTENSION.fields)
 _CLAIM_KEPT = ("order_id", "sscc18", "claim_type", "carrier_bp")
 
 
-def _one_row(*frames: DataFrame) -> DataFrame:
+def one_row(*frames: DataFrame) -> DataFrame:
     """One-row frames side by side."""
     joined = frames[0].withColumn("_one", F.lit(1))
     for frame in frames[1:]:
@@ -93,7 +93,7 @@ def insert_stats(
         F.count(F.lit(1)).alias("unique_rows"),
     )
     inserted = fresh.agg(F.count(F.lit(1)).alias("inserted_rows"))
-    return _one_row(parsed, inserted).select(
+    return one_row(parsed, inserted).select(
         "parsed_rows",
         "unique_rows",
         "inserted_rows",

@@ -22,13 +22,12 @@ MONTH_OF = {"shipments": "appointment_date", "claim_details": "claim_date"}
 MONTH = "month"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, with their lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share.
 
-    The folder is ``spark.checkpoint.dir`` or one set on the context. Only a local
-    session without either gets a temporary folder.
+    It is ``spark.checkpoint.dir`` or one set on the context. Only a local session
+    without either gets a temporary folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,6 +36,12 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, with their lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

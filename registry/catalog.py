@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from registry import primitives, reports
+from registry import loads, primitives, reports
 from registry.views import Query
 
-_PARTS = (reports, primitives)
+_PARTS = (reports, primitives, loads)
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}

@@ -53,6 +53,8 @@ def _header_text() -> Column:
     return F.concat(
         F.lit("\t "), F.col("o_orderstatus"), F.lit(" No/"), F.col("o_orderpriority"), F.lit(" \n")
     )
+
+
 _over(
     "f1_normalize_header",
     "orders",
@@ -83,6 +85,8 @@ def _date_text() -> Column:
         .when(_kind() == 5, F.date_format(_minute(), "yyyy-M-d"))
         .otherwise(F.lit("not a date"))
     )
+
+
 _MINUTE_SQL = "l_shipdate + INTERVAL 1 MINUTE * CAST(l_partkey % 1440 AS INTEGER)"
 _over(
     "f2_parse_datetime_flexible",
@@ -113,6 +117,8 @@ def _blankish() -> Column:
     return F.when(F.col("o_orderkey") % 3 == 0, F.lit(" \t")).otherwise(
         F.concat(F.lit("\n "), F.col("o_orderpriority"), F.lit("\t"))
     )
+
+
 _over(
     "f4_safe_str",
     "orders",
@@ -135,6 +141,8 @@ def _number_text() -> Column:
         .when(_kind() == 5, F.concat((_key() % 1000).cast("string"), F.lit("e3")))
         .otherwise(F.concat(F.lit(" LOT"), _key().cast("string")))
     )
+
+
 _NUMBER_SQL = (
     "CASE l_linenumber % 7 WHEN 0 THEN '00' || CAST(l_orderkey AS VARCHAR)"
     " WHEN 1 THEN '-' || CAST(l_orderkey AS VARCHAR) || '.75'"
@@ -171,6 +179,8 @@ def _reason() -> Column:
         .when(_kind() == 2, F.concat(F.lit("damage "), F.col("l_returnflag")))
         .when(_kind() == 3, F.concat(F.lit("OTHER "), F.col("l_linestatus")))
     )
+
+
 _over(
     "f8_claim_type_norm",
     "lineitem",
@@ -263,6 +273,8 @@ for _unit in ("hour", "day", "week", "month"):
         _bucketed,
         f"SELECT date_trunc('{_unit}', ts)::TIMESTAMP AS time, count(*) AS n FROM events GROUP BY 1",
     )
+
+
 _over(
     "f15_to_date_cast",
     "events",
@@ -452,6 +464,8 @@ def _predicate() -> Column:
         & (F.col("appointment_date") < F.lit(PARAMS.time_to))
         & (F.col("appointment_date") >= F.lit(PARAMS.time_from))
     )
+
+
 _add(
     "q10_predicates",
     from_views(lambda sh: sh.filter(_predicate()).groupBy("scac", "order_status").agg(F.count(F.lit(1)).alias("n")), "sh"),
