@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters that count as white space.
+WHITE = (
+    " \t\n\r\v\f\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # Patterns of accepted numbers and dates.
 NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+)?$"
 ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
@@ -32,7 +37,7 @@ def _no_time() -> Column:
 
 def strip(c: Column) -> Column:
     """Text without leading and trailing white space, tabs and newlines included."""
-    return F.regexp_replace(c, r"^[\s\x{1c}-\x{1f}\x{85}\x{a0}]+|[\s\x{1c}-\x{1f}\x{85}\x{a0}]+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def clean_text(c: Column) -> Column:

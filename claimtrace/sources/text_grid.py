@@ -1,11 +1,13 @@
 """CSV files as rows of cells.
 
 Files are read as text lines, so a large file is split over many tasks. What a
-line needs to know about its file - encoding, header, whether records run over
-several lines - is computed by one aggregation per file and joined back. Lines
-of large files take that join as a broadcast of the large files' facts (at most
-total bytes / ``BIG_FILE`` rows); lines of other files meet their facts in an
-ordinary join, where one file is never more than ``BIG_FILE`` bytes.
+line needs to know about its file - encoding, place of each column, whether
+records run over several lines - comes from one aggregation per file, which runs
+when a grid is made, as schema inference does. Its result has one row per file.
+When it is small, by its measured bytes, it is broadcast and no line is shuffled.
+Otherwise only the facts of large files are broadcast (at most total bytes /
+``BIG_FILE`` rows), and the lines of other files meet theirs in an ordinary join,
+where one file is never more than ``BIG_FILE`` bytes.
 """
 
 from __future__ import annotations
@@ -16,15 +18,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimtrace.functions.cells import normalize_header
+from claimtrace.sources.tables import durable
 
 BIG_FILE = 1 << 30
+BROADCAST_BYTES = 64 << 20
 SPREAD = 4096
 
 # Byte order mark, longest cell accepted.
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 CELL_LIMIT = 131_072
+# Normalised names of the columns that are read.
+COLUMNS = (
+    "order_number",
+    "sscc18",
+    "scac",
+    "kargo_shipment_id",
+    "appointment_date",
+    "order_status",
+    "missed_lpns",
+    "ordernumber",
+    "orderstatus",
+    "missedlpns",
+)
 
 _FIELD = r',("[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'
+_QUOTED = r'(?s)^"((?:[^"]|"")*+)"(.*)$'
 
 
 def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -46,17 +64,27 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def split_fields(line: Column) -> Column:
-    """Cells of a CSV record: quotes removed, doubled quotes made single."""
-    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+def _unquoted(cell: Column) -> Column:
+    """The cell without its quotes, doubled quotes made single."""
+    one, two = F.lit('"'), F.lit('""')
+    inner = F.substr(cell, F.lit(2), F.greatest(F.length(cell) - 2, F.lit(0)))
+    closed = cell.endswith('"') & ~F.replace(inner, two, F.lit("")).contains('"')
+    # Text after the closing quote belongs to the cell.
+    body = F.replace(F.regexp_extract(cell, _QUOTED, 1), two, one)
+    whole = F.concat(body, F.regexp_extract(cell, _QUOTED, 2))
+    return (
+        F.when(~cell.startswith('"'), cell)
+        .when(closed & (F.length(cell) > 1), F.replace(inner, two, one))
+        .otherwise(whole)
+    )
 
-    def unquote(cell: Column) -> Column:
-        body = F.regexp_extract(cell, r'(?s)^"((?:[^"]|"")*+)"(.*)$', 1)
-        tail = F.regexp_extract(cell, r'(?s)^"((?:[^"]|"")*+)"(.*)$', 2)
-        whole = F.concat(F.replace(body, F.lit('""'), F.lit('"')), tail)
-        return F.when(cell.startswith('"'), whole).otherwise(cell)
 
-    return F.transform(raw, unquote)
+def split_fields(line: Column) -> Column:
+    """Cells of a CSV record."""
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+    return F.when(line.contains('"'), F.transform(quoted, _unquoted)).otherwise(
+        F.split(line, ",", -1)
+    )
 
 
 def _decoded(utf8: Column, line: Column) -> Column:
@@ -68,28 +96,51 @@ def _odd_quotes(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
-def file_facts(lines: DataFrame) -> DataFrame:
-    """One row per file: encoding, first line, and whether a record spans lines."""
-    return lines.groupBy("path").agg(
+def file_facts(lines: DataFrame, names: Sequence[str] = COLUMNS) -> DataFrame:
+    """One row per file: encoding, column places, first line, and whether records span lines."""
+    facts = lines.groupBy("path").agg(
         F.first("file_size").alias("file_size"),
         F.bool_and(F.is_valid_utf8("line")).alias("utf8"),
-        F.min_by("line", F.struct("block", "row")).alias("first_line"),
-        F.min(F.struct("block", "row")).alias("first_place"),
+        F.min(F.struct("block", "row", "line")).alias("_first"),
         F.bool_or(_odd_quotes(F.col("line"))).alias("spanning"),
     )
+    first = F.regexp_replace(
+        _decoded(F.col("utf8"), F.col("_first.line")), "^" + BYTE_ORDER_MARK, ""
+    )
+    headed = facts.withColumn("_header", F.transform(split_fields(first), normalize_header))
+    # Of equal names the last one counts.
+    turned = F.reverse("_header")
+    place = {
+        name: F.when(
+            F.array_position(turned, name) > 0,
+            (F.size("_header") - F.array_position(turned, name)).cast("int"),
+        )
+        for name in names
+    }
+    return headed.select(
+        "path",
+        "file_size",
+        "utf8",
+        "spanning",
+        F.struct("_first.block", "_first.row").alias("first_place"),
+        F.struct(*[c.alias(name) for name, c in place.items()]).alias("at"),
+    )
 
 
-def _with_facts(lines: DataFrame, facts: DataFrame, big_file: int) -> DataFrame:
-    """Lines joined with the facts of their file."""
+def _with_facts(lines: DataFrame, facts: DataFrame, small: bool, big_file: int) -> DataFrame:
+    """Lines joined with the facts of their file; ``small`` facts are broadcast whole."""
     names = [c for c in facts.columns if c not in ("path", "file_size")]
     packed = facts.select("path", "file_size", F.struct(*names).alias("_facts"))
+    if small:
+        joined = lines.join(F.broadcast(packed.drop("file_size")), "path")
+        return joined.select(*lines.columns, "_facts.*")
     big = F.broadcast(
         packed.filter(F.col("file_size") >= big_file).select(
             F.col("path").alias("_big"), F.col("_facts").alias("_big_facts")
         )
     )
-    small = packed.filter(F.col("file_size") < big_file).select(
-        F.concat(F.lit("f"), F.col("path")).alias("_small"), F.col("_facts").alias("_small_facts")
+    rest = packed.filter(F.col("file_size") < big_file).select(
+        F.concat(F.lit("f"), F.col("path")).alias("_rest"), F.col("_facts").alias("_rest_facts")
     )
     spread = F.concat(
         F.lit("s"), F.pmod(F.xxhash64("block", "row"), F.lit(SPREAD)).cast("string")
@@ -100,8 +151,8 @@ def _with_facts(lines: DataFrame, facts: DataFrame, big_file: int) -> DataFrame:
     return (
         lines.join(big, F.col("path") == F.col("_big"), "left")
         .withColumn("_route", route)
-        .join(small, F.col("_route") == F.col("_small"), "left")
-        .withColumn("_facts", F.coalesce("_big_facts", "_small_facts"))
+        .join(rest, F.col("_route") == F.col("_rest"), "left")
+        .withColumn("_facts", F.coalesce("_big_facts", "_rest_facts"))
         .select(*lines.columns, "_facts.*")
     )
 
@@ -176,51 +227,54 @@ def join_spanning(lines: DataFrame) -> DataFrame:
     return whole.unionByName(pieces)
 
 
-def grid_from_lines(lines: DataFrame, big_file: int = BIG_FILE) -> DataFrame:
-    """Data rows of CSV files: ``path file_name block row header cells broken``.
+def grid_from_lines(
+    lines: DataFrame,
+    names: Sequence[str] = COLUMNS,
+    big_file: int = BIG_FILE,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Data rows of CSV files: ``path file_name block row at cells broken``.
 
-    ``header`` holds the normalised names of the file's first line, ``cells`` the
-    texts of the row.
+    ``cells`` holds the texts of the row, ``at`` the index of each of the ``names``
+    that the file's first line has.
     """
-    facts = file_facts(lines)
-    first = F.regexp_replace(
-        _decoded(F.col("utf8"), F.col("first_line")), "^" + BYTE_ORDER_MARK, ""
-    )
-    facts = facts.withColumn("header", F.transform(split_fields(first), normalize_header)).drop(
-        "first_line"
-    )
-    known = _with_facts(lines, facts, big_file)
+    facts = durable(file_facts(lines, names))
+    per_file = F.length("path") + F.lit(8 * len(names) + 64)
+    size, spanning = facts.agg(F.sum(per_file), F.bool_or("spanning")).first()
+    known = _with_facts(lines, facts, (size or 0) <= broadcast_bytes, big_file)
     known = known.withColumn("line", _decoded(F.col("utf8"), F.col("line")))
-    flat = known.filter(~F.col("spanning")).withColumn("broken", F.lit(False))
-    spanning = join_spanning(known.filter(F.col("spanning")))
-    records = flat.unionByName(spanning)
-    is_first = (F.col("block") == F.col("first_place.block")) & (
-        F.col("row") == F.col("first_place.row")
-    )
-    return records.filter(~is_first & (F.col("line") != "")).select(
+    records = known.filter(~F.col("spanning")).withColumn("broken", F.lit(False))
+    if spanning:
+        # Written once, because the lines are needed several times.
+        apart = durable(known.filter(F.col("spanning")))
+        records = records.unionByName(join_spanning(apart))
+    place = F.struct("block", "row")
+    return records.filter((place != F.col("first_place")) & (F.col("line") != "")).select(
         "path",
         "file_name",
         "block",
         "row",
-        "header",
+        "at",
         split_fields(F.col("line")).alias("cells"),
         "broken",
     )
 
 
-def scan_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def scan_csv(
+    spark: SparkSession, paths: str | Sequence[str], names: Sequence[str] = COLUMNS
+) -> DataFrame:
     """Data rows of CSV files; see ``grid_from_lines``."""
-    return grid_from_lines(scan_lines(spark, paths))
+    return grid_from_lines(scan_lines(spark, paths), names)
 
 
 def require_columns(grid: DataFrame, required: Sequence[str]) -> DataFrame:
     """Rows of the files whose header has all the required names."""
-    wanted = F.array(*[F.lit(name) for name in required])
-    return grid.filter(F.size(F.array_except(wanted, F.col("header"))) == 0)
+    condition = F.lit(True)
+    for name in required:
+        condition = condition & F.col(f"at.{name}").isNotNull()
+    return grid.filter(condition)
 
 
 def cell(name: str) -> Column:
-    """The row's text under a header name, the last one if repeated; NULL if absent."""
-    place = F.array_position(F.reverse("header"), name)
-    index = F.size("header") - place
-    return F.when(place > 0, F.get(F.col("cells"), index.cast("int")))
+    """The row's text under a header name; NULL if the file or the row lacks it."""
+    return F.get(F.col("cells"), F.col(f"at.{name}"))

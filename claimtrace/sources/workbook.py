@@ -57,18 +57,16 @@ def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1]
 
 
-def _elements(stream, name: str):
-    """The elements of one name, each dropped from memory once used."""
-    parents: list = []
+def _elements(stream, parent: str, name: str):
+    """The elements of one name below ``parent``, each dropped from memory once used."""
+    holder = None
     for event, element in ElementTree.iterparse(stream, events=("start", "end")):
         if event == "start":
-            parents.append(element)
-            continue
-        parents.pop()
-        if _local(element.tag) == name:
+            if holder is None and _local(element.tag) == parent:
+                holder = element
+        elif holder is not None and _local(element.tag) == name:
             yield element
-            if parents:
-                parents[-1].remove(element)
+            holder.clear()
 
 
 def _plain_text(element) -> str:
@@ -124,7 +122,7 @@ def _shared_strings(book: ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in book.namelist():
         return []
     with book.open("xl/sharedStrings.xml") as stream:
-        return [_plain_text(item) for item in _elements(stream, "si")]
+        return [_plain_text(item) for item in _elements(stream, "sst", "si")]
 
 
 def _sheets(book: ZipFile) -> tuple[dict[str, str], str | None, bool]:
@@ -166,10 +164,13 @@ def _date_text(serial: float, from_1904: bool) -> str:
 def _cell_text(cell, strings: list[str], dates: frozenset[int], from_1904: bool) -> str | None:
     """Text of a cell value; None for an empty cell."""
     kind = cell.get("t") or "n"
-    if kind == "inlineStr":
-        found = next((c for c in cell if _local(c.tag) == "is"), None)
-        return None if found is None else _plain_text(found)
-    value = next((c.text for c in cell if _local(c.tag) == "v"), None)
+    value = None
+    for child in cell:
+        name = _local(child.tag)
+        if name == "v":
+            value = child.text
+        elif name == "is" and kind == "inlineStr":
+            return _plain_text(child)
     if value is None:
         return None
     if kind == "s":
@@ -186,26 +187,27 @@ def _cell_text(cell, strings: list[str], dates: frozenset[int], from_1904: bool)
     return str(float(value)) if any(c in value for c in ".eE") else str(int(value))
 
 
-def _column(reference: str) -> int:
-    """Zero-based column of a reference such as ``AB12``."""
+def _column(letters: str) -> int:
+    """Zero-based column of the letters of a reference such as ``AB12``."""
     number = 0
-    for c in reference:
-        if not c.isalpha():
-            break
-        number = number * 26 + ord(c.upper()) - 64
+    for c in letters.upper():
+        number = number * 26 + ord(c) - 64
     return number - 1
 
 
 def _rows(book: ZipFile, member: str, strings, dates, from_1904):
     """Row number and cells of each row that has any value."""
     number = 0
+    columns: dict[str, int] = {}
     with book.open(member) as stream:
-        for row in _elements(stream, "row"):
+        for row in _elements(stream, "sheetData", "row"):
             number = int(row.get("r") or number + 1)
             cells: list[str | None] = []
             for cell in row:
-                reference = cell.get("r")
-                column = _column(reference) if reference else len(cells)
+                letters = (cell.get("r") or "").rstrip("0123456789")
+                if letters and letters not in columns:
+                    columns[letters] = _column(letters)
+                column = columns[letters] if letters else len(cells)
                 cells.extend([None] * (column + 1 - len(cells)))
                 cells[column] = _cell_text(cell, strings, dates, from_1904)
             if any(c is not None for c in cells):

@@ -189,7 +189,8 @@ def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = text_grid.grid_from_lines(_document_lines(spark, sf_dir))
+    names = ("doc_id", "text", "lang_code")
+    grid = text_grid.grid_from_lines(_document_lines(spark, sf_dir), names)
     return grid.select(
         text_grid.cell("doc_id").cast("bigint").alias("doc_id"),
         F.md5(text_grid.cell("text")).alias("text_hash"),

@@ -68,9 +68,15 @@ WITH_CL = f"WITH cl AS ({CL_SQL})"
 WITH_BOTH = f"WITH sh AS ({SH_SQL}), cl AS ({CL_SQL})"
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables; its schema is looked up once per application."""
+    place = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if place not in _TABLES:
+        _TABLES[place] = spark.read.parquet(place[1])
+    return _TABLES[place]
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,8 +92,10 @@ def as_workbooks(
 ) -> DataFrame:
     """The rows as workbooks of up to ``ROWS_PER_FILE`` rows: ``path file_name content``.
 
-    Each task writes the rows it has; nothing is shuffled or gathered.
+    Each task writes the rows it has. The rows are spread over all cores first,
+    because writing and reading workbooks takes far longer than moving the rows.
     """
+    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
     head = [list(r) for r in above] + [list(header)]
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,8 +124,10 @@ def as_workbooks(
 def as_lines(rows: DataFrame, file_number: Column, place: Column, line: Column, header: str) -> DataFrame:
     """The rows as lines of CSV files, every file with its header line.
 
-    File 0 claims to be large, so both ways of meeting the file's facts are used.
+    The given tables are single files, so their rows are spread over all cores, as
+    the blocks of real files would be.
     """
+    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
     numbered = rows.select(
         file_number.cast("bigint").alias("n"), place.cast("bigint").alias("row"), line.alias("line")
     )
@@ -135,7 +139,7 @@ def as_lines(rows: DataFrame, file_number: Column, place: Column, line: Column,
     return every.select(
         F.concat(F.lit("/"), name).alias("path"),
         name.alias("file_name"),
-        F.when(F.col("n") == 0, F.lit(1 << 31)).otherwise(F.lit(1 << 20)).cast("bigint").alias("file_size"),
+        F.lit(1 << 20).cast("bigint").alias("file_size"),
         F.lit(0).cast("bigint").alias("block"),
         "row",
         "line",
