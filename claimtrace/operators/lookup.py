@@ -18,9 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+SMALL_ROWS = 200_000
 SPREAD = 4096
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether a frame has at most ``SMALL_ROWS`` rows; counts no further than that."""
+    return df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+
+
 def attach(
     rows: DataFrame,
     wanted: Mapping[str, Column],
@@ -29,12 +35,16 @@ def attach(
     value: str,
     spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS,
+    small: bool = False,
 ) -> DataFrame:
     """``rows`` plus one column per entry of ``wanted``.
 
     The column holds ``lookup``'s ``value`` under the wanted text key, or NULL.
-    ``key`` must be unique in ``lookup``.
+    ``key`` must be unique in ``lookup``. With ``small``, the caller has checked that
+    ``lookup`` is small: it is broadcast and no row is shuffled.
     """
+    if small:
+        return _attach_small(rows, wanted, lookup, key, value)
     slots = {name: f"_key_{i}" for i, name in enumerate(wanted)}
     keyed = rows.withColumns({slots[name]: column for name, column in wanted.items()})
 
@@ -75,3 +85,16 @@ def attach(
             .drop("_hot", "_hot_value", "_route", "_cold", "_cold_value")
         )
     return keyed.drop(*slots.values())
+
+
+def _attach_small(
+    rows: DataFrame, wanted: Mapping[str, Column], lookup: DataFrame, key: str, value: str
+) -> DataFrame:
+    for name, column in wanted.items():
+        side = F.broadcast(lookup.select(F.col(key).alias("_found"), F.col(value).alias(name)))
+        rows = (
+            rows.withColumn("_wanted", column)
+            .join(side, F.col("_wanted") == F.col("_found"), "left")
+            .drop("_wanted", "_found")
+        )
+    return rows

@@ -25,10 +25,10 @@ _CLAIM_KEPT = ("order_id", "sscc18", "claim_type", "carrier_bp")
 
 def one_row(*frames: DataFrame) -> DataFrame:
     """One-row frames side by side."""
-    joined = frames[0].withColumn("_one", F.lit(1))
+    union = frames[0]
     for frame in frames[1:]:
-        joined = joined.join(frame.withColumn("_one", F.lit(1)), "_one")
-    return joined.drop("_one")
+        union = union.unionByName(frame, allowMissingColumns=True)
+    return union.agg(*[F.max(c).alias(c) for c in union.columns])
 
 
 def _all_set(key: Sequence[str]) -> Column:
@@ -38,11 +38,15 @@ def _all_set(key: Sequence[str]) -> Column:
     return condition
 
 
-def insert_ignore(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+def insert_ignore(
+    target: DataFrame, batch: DataFrame, key: Sequence[str], small: bool = False
+) -> DataFrame:
     """The rows of ``batch`` to append to ``target``.
 
     Of rows with the same key the first stays, unless the target has the key. A key
-    with a NULL equals no other key, so such rows are all kept.
+    with a NULL equals no other key, so such rows are all kept. With ``small``, the
+    caller has checked that the batch is small: its keys are broadcast to the scan of
+    the target, whose rows are then not shuffled.
     """
     rest = [c for c in batch.columns if c not in (*key, "seq")]
     keyed = batch.filter(_all_set(key))
@@ -52,17 +56,21 @@ def insert_ignore(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> Da
         .select(*key, "_first.*")
     )
     held = target.select(*key).filter(_all_set(key))
+    if small:
+        held = held.join(F.broadcast(keyed.select(*key).distinct()), list(key), "left_semi")
     fresh = first.join(held, list(key), "left_anti")
     loose = batch.filter(~_all_set(key)).select(*fresh.columns)
     return fresh.unionByName(loose)
 
 
-def insert_ignore_shipments(target: DataFrame, batch: DataFrame) -> DataFrame:
+def insert_ignore_shipments(
+    target: DataFrame, batch: DataFrame, small: bool = False
+) -> DataFrame:
     """New shipments by package and order."""
-    return insert_ignore(target, batch, SHIPMENT_KEY)
+    return insert_ignore(target, batch, SHIPMENT_KEY, small)
 
 
-def insert_ignore_rma(target: DataFrame, batch: DataFrame) -> DataFrame:
+def insert_ignore_rma(target: DataFrame, batch: DataFrame, small: bool = False) -> DataFrame:
     """New credits by carrier, credit and count."""
     typed = batch.withColumn(
         "claim_type",
@@ -70,7 +78,7 @@ def insert_ignore_rma(target: DataFrame, batch: DataFrame) -> DataFrame:
         if "claim_type" in batch.columns
         else F.lit(schemas.DEFAULT_CLAIM_TYPE),
     )
-    return insert_ignore(target, typed, RMA_KEY)
+    return insert_ignore(target, typed, RMA_KEY, small)
 
 
 def _blank_as_null(key: Sequence[str], texts: Sequence[str]) -> list[Column]:
@@ -158,17 +166,29 @@ def fold_files(batch: DataFrame) -> DataFrame:
     ).select(*last.columns)
 
 
-def upsert_claims(target: DataFrame, batch: DataFrame) -> DataFrame:
+_KEY_NAMES = ["_date", "_order", "_package", "_amount"]
+
+
+def upsert_claims(target: DataFrame, batch: DataFrame, small: bool = False) -> DataFrame:
     """The target after the load.
 
     A new key is added. On a known key the extension columns take the new value
     unless it is NULL; every other column keeps the old value. ``batch`` may hold a
-    key more than once; it is folded first.
+    key more than once; it is folded first. With ``small``, the caller has checked
+    that the batch is small: it is broadcast and the target's rows stay in place.
     """
     new = fold_files(batch).drop("seq")
     added = new.select(*_claim_key(), F.struct(*new.columns).alias("_new"))
     held = target.select(*_claim_key(), F.struct(*target.columns).alias("_old"))
-    joined = held.join(added, ["_date", "_order", "_package", "_amount"], "full")
+    if small:
+        kept = held.join(F.broadcast(added), _KEY_NAMES, "left")
+        known = target.select(*_claim_key()).join(
+            F.broadcast(added.select(*_KEY_NAMES)), _KEY_NAMES, "left_semi"
+        )
+        fresh = added.join(known, _KEY_NAMES, "left_anti")
+        joined = kept.unionByName(fresh, allowMissingColumns=True)
+    else:
+        joined = held.join(added, _KEY_NAMES, "full")
     is_old = F.col("_old").isNotNull()
     merged = []
     for column in target.columns:
@@ -190,7 +210,7 @@ def upsert_stats(target: DataFrame, batch: DataFrame) -> DataFrame:
     typed = batch.withColumn("claim_amount", F.col("claim_amount").cast(schemas.MONEY))
     per_key = typed.select(*columns).groupBy(*_claim_key()).agg(F.count(F.lit(1)).alias("_n"))
     held = target.select(*_claim_key()).withColumn("_held", F.lit(1))
-    tagged = per_key.join(held, ["_date", "_order", "_package", "_amount"], "left")
+    tagged = per_key.join(held, _KEY_NAMES, "left")
     return tagged.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("parsed_rows"),
         F.count(F.lit(1)).alias("unique_rows"),
@@ -220,20 +240,27 @@ def _orders(shipments: DataFrame) -> DataFrame:
 _SPREAD_BY = ("sscc18", "appointment_date")
 
 
-def _with_status(shipments: DataFrame, status: DataFrame, hot_rows: int) -> DataFrame:
+def _with_status(
+    shipments: DataFrame, status: DataFrame, hot_rows: int, small: bool = False
+) -> DataFrame:
     """Shipments with the status of their ``order_id`` where ``status`` has one."""
+    wanted = {"_status": F.col("order_id")}
     found = attach(
-        shipments, {"_status": F.col("order_id")}, status, "order_id", "status", _SPREAD_BY, hot_rows
+        shipments, wanted, status, "order_id", "status", _SPREAD_BY, hot_rows, small
     )
     return found.withColumn("order_status", F.coalesce("_status", "order_status")).drop("_status")
 
 
 def update_status(
-    shipments: DataFrame, rows: DataFrame, hot_rows: int = HOT_ROWS
+    shipments: DataFrame, rows: DataFrame, hot_rows: int = HOT_ROWS, small: bool = False
 ) -> DataFrame:
-    """Shipments after the status rows, applied in order: the last one of an order wins."""
+    """Shipments after the status rows, applied in order: the last one of an order wins.
+
+    With ``small``, the caller has checked that the status rows are few; they are
+    broadcast.
+    """
     status = _last_status(rows).withColumnRenamed("order_number", "order_id")
-    return _with_status(shipments, status, hot_rows)
+    return _with_status(shipments, status, hot_rows, small)
 
 
 def update_status_stats(shipments: DataFrame, rows: DataFrame) -> DataFrame:
@@ -284,10 +311,46 @@ def _suffix_hits(shipments: DataFrame, rows: DataFrame, hot_rows: int) -> DataFr
     )
 
 
+def _update_suffix_small(shipments: DataFrame, rows: DataFrame) -> DataFrame:
+    """The suffix update for few status rows: scans of the shipments, no shuffle of them."""
+    numbers = _last_status(rows).select(
+        "order_number", F.struct("last_seq", "status").alias("_set")
+    )
+    # At most one row per number.
+    present = (
+        shipments.select(F.col("order_id").alias("order_number"))
+        .join(F.broadcast(numbers.select("order_number")), "order_number", "left_semi")
+        .distinct()
+    )
+    rest = numbers.join(present, "order_number", "left_anti")
+    lengths = sorted(
+        r.n for r in rest.select(F.length("order_number").alias("n")).distinct().collect()
+    )
+    found = attach(
+        shipments, {"_exact": F.col("order_id")}, numbers, "order_number", "_set", (), small=True
+    )
+    tails = {
+        f"_tail_{n}": F.when(F.length("order_id") > n, F.right(F.col("order_id"), F.lit(n)))
+        for n in lengths
+    }
+    found = attach(found, tails, rest, "order_number", "_set", (), small=True)
+    # The latest of the rows that apply; NULLs are passed over.
+    sets = F.array_max(F.array(F.col("_exact"), *[F.col(c) for c in tails]))
+    return found.withColumn(
+        "order_status", F.coalesce(sets["status"], F.col("order_status"))
+    ).drop("_exact", *tails)
+
+
 def update_status_suffix(
-    shipments: DataFrame, rows: DataFrame, hot_rows: int = HOT_ROWS
+    shipments: DataFrame, rows: DataFrame, hot_rows: int = HOT_ROWS, small: bool = False
 ) -> DataFrame:
-    """Shipments after the status rows, matched exactly or, failing that, by suffix."""
+    """Shipments after the status rows, matched exactly or, failing that, by suffix.
+
+    With ``small``, the caller has checked that the status rows are few; they are
+    broadcast, once per length of the numbers that match no order.
+    """
+    if small:
+        return _update_suffix_small(shipments, rows)
     hits = _suffix_hits(shipments, rows, hot_rows)
     status = hits.groupBy("order_id").agg(F.max_by("status", "last_seq").alias("status"))
     return _with_status(shipments, status, hot_rows)

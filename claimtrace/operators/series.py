@@ -77,10 +77,10 @@ def full_join_buckets(left: DataFrame, right: DataFrame, zeros: list[str]) -> Da
 
 def ratio_of_counts(left: DataFrame, right: DataFrame, factor: int, places: int) -> DataFrame:
     """``factor * rows of left / rows of right`` as one ``value``; NULL when right is empty."""
-    one = left.agg(F.count(F.lit(1)).alias("_part"))
-    two = right.agg(F.count(F.lit(1)).alias("_total"))
-    # Two tables of exactly one row each.
-    pair = one.withColumn("_one", F.lit(1)).join(two.withColumn("_one", F.lit(1)), "_one")
+    counts = left.agg(F.count(F.lit(1)).alias("_part")).unionByName(
+        right.agg(F.count(F.lit(1)).alias("_total")), allowMissingColumns=True
+    )
+    pair = counts.agg(F.max("_part").alias("_part"), F.max("_total").alias("_total"))
     return pair.select(ratio(F.col("_part"), F.col("_total"), factor, places).alias("value"))
 
 

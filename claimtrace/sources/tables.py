@@ -74,7 +74,8 @@ class Tables:
             fields.append(T.StructField(MONTH, T.StringType()))
         return T.StructType(fields)
 
-    def _stored(self, name: str) -> DataFrame:
+    def stored(self, name: str) -> DataFrame:
+        """A table with its partition column, for filters on ``month``."""
         schema = self._stored_schema(name)
         try:
             return self.spark.read.schema(schema).parquet(self.path(name))
@@ -85,11 +86,11 @@ class Tables:
 
     def read(self, name: str) -> DataFrame:
         """A table; empty before its first load. Columns added later read as NULL."""
-        return self._stored(name).select(*schemas.TABLES[name].fieldNames())
+        return self.stored(name).select(*schemas.TABLES[name].fieldNames())
 
     def read_months(self, name: str, months: Sequence[str]) -> DataFrame:
         """The rows of some months; other partitions are not read."""
-        stored = self._stored(name).filter(F.col(MONTH).isin(*months))
+        stored = self.stored(name).filter(F.col(MONTH).isin(*months))
         return stored.select(*schemas.TABLES[name].fieldNames())
 
     def _writer(self, name: str, df: DataFrame):

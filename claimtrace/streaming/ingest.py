@@ -10,10 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimtrace import schemas
 from claimtrace.operators import merge
+from claimtrace.operators.lookup import is_small
 from claimtrace.operators.series import daily_history
 from claimtrace.sources import files as file_source
 from claimtrace.sources import parsers, text_grid, workbook
-from claimtrace.sources.tables import Tables, durable, months_of
+from claimtrace.sources.tables import MONTH, Tables, durable, months_of
 
 log = logging.getLogger(__name__)
 
@@ -138,7 +139,8 @@ def _load_shipments(tables: Tables, rows: DataFrame) -> DataFrame:
             "seq": F.struct(file_source.load_order(F.col("file_name")), F.col("seq")),
         }
     ).drop("file_name")
-    fresh = durable(merge.insert_ignore_shipments(tables.read("shipments"), batch))
+    held = tables.read("shipments")
+    fresh = durable(merge.insert_ignore_shipments(held, batch, is_small(rows)))
     tables.append("shipments", fresh)
     return _count_row(rows, fresh.withColumnRenamed("source_file", "file_name"))
 
@@ -147,20 +149,25 @@ def _load_credits(tables: Tables, rows: DataFrame) -> DataFrame:
     batch = rows.withColumns(
         {"source_file": F.col("file_name"), "ingested_at": F.current_timestamp()}
     ).drop("file_name")
-    fresh = durable(merge.insert_ignore_rma(tables.read("rma_credits"), batch))
+    held = tables.read("rma_credits")
+    fresh = durable(merge.insert_ignore_rma(held, batch, is_small(rows)))
     tables.append("rma_credits", fresh)
     return _count_row(rows, fresh.withColumnRenamed("source_file", "file_name"))
 
 
 def _update_statuses(tables: Tables, rows: DataFrame, by_suffix: bool) -> DataFrame:
-    """Applies status rows; rewrites only the months with a shipment that changes."""
-    shipments = tables.read("shipments")
+    """Applies status rows; rewrites only the months with a shipment that changes.
+
+    Both steps look at the whole table, because a number that equals any order must
+    not be matched by suffix.
+    """
     update = merge.update_status_suffix if by_suffix else merge.update_status
-    after = update(shipments.withColumn("_before", F.col("order_status")), rows)
+    before = tables.stored("shipments").withColumn("_before", F.col("order_status"))
+    after = update(before, rows, small=is_small(rows))
     changed = after.filter(~F.col("order_status").eqNullSafe(F.col("_before")))
     months = months_of(changed, "shipments")
     if months:
-        tables.rewrite_months("shipments", update(tables.read_months("shipments", months), rows))
+        tables.rewrite_months("shipments", after.filter(F.col(MONTH).isin(*months)))
     return _count_row(rows)
 
 
@@ -192,7 +199,8 @@ def _upsert_claims(tables: Tables, rows: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("unique"))
     )
     if months:
-        tables.rewrite_months("claim_details", merge.upsert_claims(held, batch))
+        after = merge.upsert_claims(held, batch, is_small(rows))
+        tables.rewrite_months("claim_details", after)
     return (
         _per_file(rows)
         .join(unique, "file_name", "left")
@@ -267,7 +275,11 @@ def load_files(
     listed = durable(listed)
     fresh = listed
     if skip_known:
-        fresh = durable(file_source.skip_processed(listed, tables.read("processed_attachments")))
+        # The hashes of the batch filter the scan of the known ones.
+        known = tables.read("processed_attachments").join(
+            F.broadcast(listed.select("attachment_hash").distinct()), "attachment_hash", "left_semi"
+        )
+        fresh = durable(file_source.skip_processed(listed, known))
     skipped = listed.join(F.broadcast(fresh.select("path")), "path", "left_anti")
     names = fresh.select("path", "file_name", "parser").collect()  # bounded by the batch
     load = _parse(spark, eligible, names, strict_parity)
@@ -301,8 +313,7 @@ def load_files(
         "left_semi",
     )
     if skip_known:
-        marked = file_source.mark_processed(done, tables.read("processed_attachments"))
-        tables.append("processed_attachments", durable(marked))
+        tables.append("processed_attachments", durable(file_source.mark_processed(done, known)))
     tables.append("load_audit", audit)
     return audit
 

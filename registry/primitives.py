@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from claimtrace.functions import cells, report
 from claimtrace.operators import filters, match, reducers, series
+from claimtrace.operators.merge import one_row
 from claimtrace.plans import monthly, scans, summary, volume
 from registry import reports
 from registry.views import (
@@ -379,7 +380,7 @@ _add(
 def _q2(sh):
     some = filters.one_of(sh, "scac", ("FXFE", "HSNR")).agg(F.count(F.lit(1)).alias("some"))
     every = filters.one_of(sh, "scac", None).agg(F.count(F.lit(1)).alias("every"))
-    return some.withColumn("k", F.lit(1)).join(every.withColumn("k", F.lit(1)), "k").drop("k")
+    return one_row(some, every)
 
 
 _add(

@@ -224,6 +224,24 @@ def test_only_touched_months_are_rewritten(spark, loaded):
     assert tables.read("shipments").filter("sscc18 = 'p4'").first().order_status == "Perfect"
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_suffix_rule_looks_at_all_months(spark, tmp_path, monkeypatch, small):
+    """A number that equals an order of an unchanged month is not matched by suffix elsewhere."""
+    monkeypatch.setattr(ingest, "is_small", lambda df: small)
+    tables = Tables(spark, str(tmp_path / "db"))
+    rows = [(day(1), "a", "12345678", "Perfect"), (datetime(2025, 5, 1), "b", "9912345678", "Short"),
+            (datetime(2025, 6, 1), "c", "77", None)]
+    tables.append("shipments", spark.createDataFrame(
+        rows, "appointment_date timestamp, sscc18 string, order_id string, order_status string"))
+    statuses = spark.createDataFrame(
+        [("f", "12345678", "Perfect", ("f", 0, 0)), ("f", "7", "New", ("f", 0, 1))],
+        "file_name string, order_number string, order_status string,"
+        " seq struct<file_name:string,block:long,row:long>")
+    ingest._update_statuses(tables, statuses, by_suffix=True)
+    got = {r.sscc18: r.order_status for r in tables.read("shipments").collect()}
+    assert got == {"a": "Perfect", "b": "Short", "c": "New"}
+
+
 def test_manifest_filters(spark):
     mails = spark.createDataFrame(
         [("A@x.org", False, True, "Result_1.CSV"), ("b@x.org", False, True, "a.pdf"),

@@ -64,6 +64,8 @@ def test_insert_ignore(spark, seed):
         "duplicate_rows": parsed - inserted, "duplicate_rows_in_file": parsed - unique,
         "duplicate_rows_existing": max(unique - inserted, 0),
     }
+    few = merge.insert_ignore_shipments(held, shipments(spark, new), small=True)
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, second.collect()))
     # Again: only rows without an order come in.
     again = merge.insert_ignore_shipments(
         held.unionByName(schemas.conform(second, schemas.SHIPMENTS)), shipments(spark, new)
@@ -129,8 +131,9 @@ def test_upsert(spark, seed):
     first = merge.upsert_claims(empty, spark.createDataFrame(loads[0], schema))
     # The second and third file come in one load.
     both = spark.createDataFrame(loads[1] + loads[2], schema)
-    result = merge.upsert_claims(first, both).select(columns).collect()
-    assert sorted(map(repr, map(tuple, result))) == sorted(map(repr, map(tuple, table.values())))
+    for small in (False, True):
+        result = merge.upsert_claims(first, both, small).select(columns).collect()
+        assert sorted(map(repr, map(tuple, result))) == sorted(map(repr, map(tuple, table.values())))
     counted = merge.upsert_stats(first, spark.createDataFrame(loads[1], schema)).first()
     parsed, unique, inserted = stats[1]
     assert counted.asDict() == {
@@ -152,9 +155,9 @@ def test_amounts_equal_after_rounding_are_one_claim(spark):
 STATUS = "order_number string, order_status string, seq struct<file_name:string,block:long,row:long>"
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 1_000_000])
+@pytest.mark.parametrize(("hot_rows", "small"), [(1, False), (3, False), (1_000_000, False), (1, True)])
 @pytest.mark.parametrize("by_suffix", [False, True])
-def test_status_updates(spark, by_suffix, hot_rows):
+def test_status_updates(spark, by_suffix, hot_rows, small):
     rng = random.Random(5)
     orders = [None, "", "12345678", "912345678", "812345678", "5678", "77", "0005678"]
     table = [
@@ -176,10 +179,10 @@ def test_status_updates(spark, by_suffix, hot_rows):
     target = spark.createDataFrame(table, schemas.SHIPMENTS)
     batch = spark.createDataFrame(rows, STATUS)
     if by_suffix:
-        after = merge.update_status_suffix(target, batch, hot_rows)
+        after = merge.update_status_suffix(target, batch, hot_rows, small)
         stats = merge.update_status_suffix_stats(target, batch, hot_rows)
     else:
-        after = merge.update_status(target, batch, hot_rows)
+        after = merge.update_status(target, batch, hot_rows, small)
         stats = merge.update_status_stats(target, batch)
     assert {r.sscc18: r.order_status for r in after.collect()} == status
     assert after.columns == target.columns
