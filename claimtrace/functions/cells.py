@@ -14,6 +14,7 @@ WHITE = (
 NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+)?$"
 ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 ISO_BASIC_DAY = r"^\d{8}$"
+ISO_BASIC_TIME = r"^\d{8}.\d{2}(\d{2}(\d{2})?)?$"
 ISO_TIME = (
     r"^\d{4}-\d{2}-\d{2}.\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?"
     r"(Z|[+-]\d{2}(:?\d{2}(:?\d{2}(\.\d+)?)?)?)?$"
@@ -60,10 +61,12 @@ def iso_timestamp(c: Column) -> Column:
     spaced = F.regexp_replace(c, r"^(\d{4}-\d{2}-\d{2}).", "$1 ")
     hour_only = F.regexp_replace(spaced, r"^(\S+ \d{2})($|Z|[+-])", "$1:00$2")
     plain = F.regexp_replace(hour_only, r",(\d)", ".$1")
+    basic = F.rpad(F.concat(F.left(c, F.lit(8)), F.substr(c, F.lit(10))), 14, "0")
     return (
         F.when(c.rlike(ISO_DAY), F.try_to_timestamp(c, F.lit("yyyy-MM-dd")))
         .when(c.rlike(ISO_BASIC_DAY), F.try_to_timestamp(c, F.lit("yyyyMMdd")))
         .when(c.rlike(ISO_TIME), F.try_to_timestamp(plain))
+        .when(c.rlike(ISO_BASIC_TIME), F.try_to_timestamp(basic, F.lit("yyyyMMddHHmmss")))
         .otherwise(_no_time())
     )
 

@@ -46,10 +46,31 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, name: str, properties: dict[str, str]
+    spark: SparkSession,
+    url: str,
+    name: str,
+    properties: dict[str, str],
+    split: tuple[str, str, str, int] | None = None,
 ) -> DataFrame:
-    """A table of an existing database, in the declared schema."""
-    return schemas.conform(spark.read.jdbc(url, name, properties=properties), schemas.TABLES[name])
+    """A table of an existing database, in the declared schema.
+
+    ``split`` names a number or time column, its range, and in how many parts to read
+    it; without it one task reads the whole table.
+    """
+    if split is None:
+        rows = spark.read.jdbc(url, name, properties=properties)
+    else:
+        column, low, high, parts = split
+        rows = spark.read.jdbc(
+            url,
+            name,
+            column=column,
+            lowerBound=low,
+            upperBound=high,
+            numPartitions=parts,
+            properties=properties,
+        )
+    return schemas.conform(rows, schemas.TABLES[name])
 
 
 def month_text(column: Column) -> Column:

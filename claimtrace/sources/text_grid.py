@@ -4,6 +4,7 @@ Files are read as text lines, so a large file is split over many tasks. What a
 line needs to know about its file - encoding, place of each column, whether
 records run over several lines - comes from one aggregation per file, which runs
 when a grid is made, as schema inference does. Its result has one row per file.
+A later line equal to the header line counts as a repeated header and is left out.
 When it is small, by its measured bytes, it is broadcast and no line is shuffled.
 Otherwise only the facts of large files are broadcast (at most total bytes /
 ``BIG_FILE`` rows), and the lines of other files meet theirs in an ordinary join,
@@ -27,6 +28,8 @@ SPREAD = 4096
 # Byte order mark, longest cell accepted.
 BYTE_ORDER_MARK = "\ufeff"
 CELL_LIMIT = 131_072
+# A record of several lines that grows beyond this comes from a quote never closed.
+RECORD_LIMIT = 64 * CELL_LIMIT
 # Normalised names of the columns that are read.
 COLUMNS = (
     "order_number",
@@ -122,6 +125,7 @@ def file_facts(lines: DataFrame, names: Sequence[str] = COLUMNS) -> DataFrame:
         "file_size",
         "utf8",
         "spanning",
+        F.col("_first.line").alias("first_line"),
         F.struct("_first.block", "_first.row").alias("first_place"),
         F.struct(*[c.alias(name) for name, c in place.items()]).alias("at"),
     )
@@ -162,8 +166,8 @@ def join_spanning(lines: DataFrame) -> DataFrame:
 
     A line starts a record when the quotes before it in the file balance. That is a
     running count, taken within each block and carried from block to block, so no
-    task sees a whole file. A record longer than any accepted cell stays in pieces,
-    marked in ``broken``: its file cannot be read.
+    task sees a whole file. A record beyond ``RECORD_LIMIT`` stays in pieces, marked in
+    ``broken``: its file cannot be read.
     """
     odd = _odd_quotes(F.col("line")).cast("int")
     in_block = Window.partitionBy("path", "block").orderBy("row")
@@ -203,7 +207,7 @@ def join_spanning(lines: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_pieces"),
     )
     broken_files = (
-        sizes.filter((F.col("_pieces") > 1) & (F.col("_size") > CELL_LIMIT))
+        sizes.filter((F.col("_pieces") > 1) & (F.col("_size") > RECORD_LIMIT))
         .select("path")
         .distinct()
     )
@@ -236,30 +240,54 @@ def grid_from_lines(
     """Data rows of CSV files: ``path file_name block row at cells broken``.
 
     ``cells`` holds the texts of the row, ``at`` the index of each of the ``names``
-    that the file's first line has.
+    that the file's first line has. ``broken`` marks a row with a cell longer than
+    accepted; a file with such a row cannot be read.
     """
     facts = durable(file_facts(lines, names))
-    per_file = F.length("path") + F.lit(8 * len(names) + 64)
+    per_file = F.length("path") + F.length("first_line") + F.lit(8 * len(names) + 64)
     size, spanning = facts.agg(F.sum(per_file), F.bool_or("spanning")).first()
-    known = _with_facts(lines, facts, (size or 0) <= broadcast_bytes, big_file)
-    known = known.withColumn("line", _decoded(F.col("utf8"), F.col("line")))
-    records = known.filter(~F.col("spanning")).withColumn("broken", F.lit(False))
+    small = (size or 0) <= broadcast_bytes
+    known = _with_facts(lines, facts, small, big_file)
+    # Row numbers can differ between two scans, so the header is known by its text.
+    flat = known.filter(~F.col("spanning") & (F.col("line") != F.col("first_line")))
+    records = flat.withColumn("line", _decoded(F.col("utf8"), F.col("line"))).select(
+        *lines.columns, "at", F.lit(False).alias("broken")
+    )
     if spanning:
-        # Written once, because the lines are needed several times.
-        apart = durable(known.filter(F.col("spanning")))
-        records = records.unionByName(join_spanning(apart))
-    place = F.struct("block", "row")
-    return records.filter((place != F.col("first_place")) & (F.col("line") != "")).select(
+        records = records.unionByName(
+            _spanning_records(known.filter("spanning"), lines.columns, names, small, big_file)
+        )
+    split = records.filter(F.col("line") != "").withColumn("cells", split_fields(F.col("line")))
+    too_long = (F.length("line") > CELL_LIMIT) & F.exists(
+        "cells", lambda c: F.length(c) > CELL_LIMIT
+    )
+    return split.select(
         "path",
         "file_name",
         "block",
         "row",
         "at",
-        split_fields(F.col("line")).alias("cells"),
-        "broken",
+        "cells",
+        (F.col("broken") | too_long).alias("broken"),
     )
 
 
+def _spanning_records(
+    known: DataFrame, columns: Sequence[str], names: Sequence[str], small: bool, big_file: int
+) -> DataFrame:
+    """Records of files in which some span lines; there the header may span lines too.
+
+    The lines are written once, because they are needed several times and their
+    numbers must stay the same.
+    """
+    decoded = known.withColumn("line", _decoded(F.col("utf8"), F.col("line")))
+    joined = durable(join_spanning(durable(decoded.select(*columns))))
+    facts = durable(file_facts(joined, names))
+    rows = _with_facts(joined, facts, small, big_file)
+    place = F.struct("block", "row")
+    return rows.filter(place != F.col("first_place")).select(*columns, "at", "broken")
+
+
 def scan_csv(
     spark: SparkSession, paths: str | Sequence[str], names: Sequence[str] = COLUMNS
 ) -> DataFrame:

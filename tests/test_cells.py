@@ -27,6 +27,8 @@ def one(spark, make, text):
         ("12/31/2025 12:00 am", datetime(2025, 12, 31)),
         ("2025-4-1", datetime(2025, 4, 1)),
         ("20250401", datetime(2025, 4, 1)),
+        ("20250401T0830", datetime(2025, 4, 1, 8, 30)),
+        ("20250401 083005", datetime(2025, 4, 1, 8, 30, 5)),
         ("2025-04-01T08:30:00+02:00", datetime(2025, 4, 1, 6, 30)),
         ("2025", None),
         ("2025-04", None),
