@@ -16,6 +16,10 @@ from claimtrace.functions.cells import content_hash
 FILE_GLOB = "*.{xlsx,csv}"
 FILE_PATTERN = r"\.(xlsx|csv)$"
 FOLDER_PREFIX = "demo::"
+# CSV files beyond this size are told apart by their lines, not read in one piece.
+WHOLE_FILE = 256 << 20
+# Largest file that fits in one value.
+LARGEST_VALUE = (1 << 31) - 1024
 
 BINARY_FILE = T.StructType(
     [
@@ -46,6 +50,11 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
+def read_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Files with their content, named; content is only read where it is used."""
+    return with_names(spark.read.schema(BINARY_FILE).format("binaryFile").load(paths))
+
+
 def scan_folder(spark: SparkSession, folder: str) -> DataFrame:
     """The workbooks and CSV files of a folder with their content; none if it is missing."""
     try:
@@ -147,6 +156,22 @@ def with_hash(files: DataFrame) -> DataFrame:
     return files.withColumn("attachment_hash", content_hash(F.col("content")))
 
 
+def line_hash(lines: DataFrame) -> DataFrame:
+    """One hash per file from the lines it holds: ``file_name attachment_hash``.
+
+    Lines are hashed where they are read and the hashes added up, so a file of any
+    size is spread over many tasks. Files with the same lines get the same hash.
+    """
+    first = F.xxhash64("line").cast("decimal(20,0)")
+    second = F.xxhash64(F.lit(1), "line").cast("decimal(20,0)")
+    sums = lines.groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(first).alias("_a"), F.sum(second).alias("_b")
+    )
+    return sums.select(
+        "file_name", F.sha2(F.concat_ws("|", "_n", "_a", "_b"), 256).alias("attachment_hash")
+    )
+
+
 def skip_processed(files: DataFrame, processed: DataFrame) -> DataFrame:
     """Files with a content hash not seen before; of equal files the first one.
 

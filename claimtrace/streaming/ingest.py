@@ -46,8 +46,8 @@ class _Load:
         self.failures.append(files.select("file_name", "reason").distinct())
 
 
-def _parse(spark: SparkSession, content: DataFrame, names: list, strict_parity: bool) -> _Load:
-    """Parses the files of a batch; ``names`` are its file rows, ``content`` its bytes."""
+def _parse(spark: SparkSession, names: list, strict_parity: bool) -> _Load:
+    """Parses the files of a batch; ``names`` are its file rows."""
     load = _Load(spark)
     chosen: dict[str, list] = {}
     for row in names:
@@ -65,8 +65,7 @@ def _parse(spark: SparkSession, content: DataFrame, names: list, strict_parity:
         ("rma_workbook", workbook.RMA_SHEETS),
     ):
         if paths := chosen.get(parser):
-            books = content.filter(F.col("path").isin(*paths))
-            grid = durable(workbook.scan_workbook(books, sheets))
+            grid = durable(workbook.scan_workbook(_read(spark, paths), sheets))
             errors = grid.filter(F.col("error").isNotNull())
             load.fail(errors.select("file_name", F.col("error").alias("reason")))
             if parser == "shipments_sheet":
@@ -252,6 +251,45 @@ def _audit(
     )
 
 
+def _listed(
+    spark: SparkSession, files: DataFrame, strict_parity: bool, whole_file: int
+) -> tuple[DataFrame, DataFrame]:
+    """The files of a batch, routed and with their hash, and those too large to read.
+
+    The filter on length reaches the reader and larger files are named one by one, so
+    no content is read that is not needed.
+    """
+    columns = ("path", "file_name", "email_id", "attachment_hash", "parser", "file_kind")
+    routed = file_source.route(files, strict_parity)
+    listed = file_source.with_hash(routed.filter(F.col("length") <= whole_file)).select(*columns)
+
+    facts = routed.select("path", "file_name", "email_id", "length", "parser", "file_kind")
+    large = facts.filter(F.col("length") > whole_file)
+    rows = large.collect()  # bounded by the batch
+    lines = [r["path"] for r in rows if r["parser"].endswith("_csv")]
+    books = [
+        r["path"]
+        for r in rows
+        if r["path"] not in lines and r["length"] <= file_source.LARGEST_VALUE
+    ]
+    if lines:
+        text = text_grid.scan_lines(spark, [file_source.literal_path(p) for p in lines])
+        hashed = large.join(F.broadcast(file_source.line_hash(text)), "file_name")
+        listed = listed.unionByName(hashed.select(*columns))
+    if books:
+        whole = _read(spark, books)
+        hashed = file_source.with_hash(file_source.route(whole, strict_parity))
+        listed = listed.unionByName(hashed.select(*columns))
+    beyond = large.filter(~F.col("path").isin(*lines, *books)).select(
+        "path", "file_name", "email_id", "parser", "file_kind"
+    )
+    return durable(listed), beyond
+
+
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return file_source.read_files(spark, [file_source.literal_path(p) for p in paths])
+
+
 def load_files(
     files: DataFrame,
     tables: Tables,
@@ -259,20 +297,19 @@ def load_files(
     skip_known: bool = True,
     strict_parity: bool = False,
     keywords: tuple[str, ...] = (),
+    whole_file: int = file_source.WHOLE_FILE,
 ) -> DataFrame:
     """Loads one batch of at most a few thousand files and returns its audit rows.
 
+    ``files`` comes from ``scan_folder`` or ``read_files``; names must be unique in it.
+
     Shipments come first, then the statuses that refer to them, then credits and
     claims. A file that cannot be read or holds an over-long text is left out as a
     whole, is not marked as processed, and does not stop the others.
     """
     spark = files.sparkSession
-    named = file_source.with_names(files) if "file_name" not in files.columns else files
-    eligible = file_source.keyword_allowed(file_source.supported(named), keywords)
-    listed = file_source.route(file_source.with_hash(eligible), strict_parity).select(
-        "path", "file_name", "email_id", "attachment_hash", "parser", "file_kind"
-    )
-    listed = durable(listed)
+    eligible = file_source.keyword_allowed(file_source.supported(files), keywords)
+    listed, beyond = _listed(spark, eligible, strict_parity, whole_file)
     fresh = listed
     if skip_known:
         # The hashes of the batch filter the scan of the known ones.
@@ -282,7 +319,8 @@ def load_files(
         fresh = durable(file_source.skip_processed(listed, known))
     skipped = listed.join(F.broadcast(fresh.select("path")), "path", "left_anti")
     names = fresh.select("path", "file_name", "parser").collect()  # bounded by the batch
-    load = _parse(spark, eligible, names, strict_parity)
+    load = _parse(spark, names, strict_parity)
+    load.fail(beyond.select("file_name", F.lit("too large for a workbook").alias("reason")))
     _refuse_over_long(load)
     failures = durable(_union(spark, load.failures, "file_name string, reason string"))
     bad = F.broadcast(failures.select("file_name").distinct())  # at most the files of the batch
@@ -304,9 +342,8 @@ def load_files(
         counts.append(durable(_upsert_claims(tables, rows)))
         tables.replace("claim_daily_history", daily_history(tables.read("claim_details")))
 
-    audit = durable(
-        _audit(fresh, _union(spark, counts, _COUNTS), failures, skipped, batch)
-    )
+    seen = fresh.unionByName(beyond, allowMissingColumns=True)
+    audit = durable(_audit(seen, _union(spark, counts, _COUNTS), failures, skipped, batch))
     done = fresh.join(
         F.broadcast(audit.filter(F.col("outcome") == LOADED).select("file_name")),
         "file_name",
@@ -330,13 +367,14 @@ def load_folder(
 def file_stream(
     spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """New files of a folder as a stream."""
+    """Paths of new files of a folder as a stream; their content is not read here."""
     return (
         spark.readStream.format("binaryFile")
         .schema(file_source.BINARY_FILE)
         .option("pathGlobFilter", file_source.FILE_GLOB)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
+        .select("path")
     )
 
 
@@ -357,9 +395,9 @@ def start(
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        load_files(
-            batch, tables, f"stream-{number}", True, strict_parity, keywords
-        )
+        paths = [r["path"] for r in batch.collect()]  # at most files_per_batch
+        if paths:
+            load_files(_read(spark, paths), tables, f"stream-{number}", True, strict_parity, keywords)
 
     writer = (
         file_stream(spark, folder, files_per_batch)

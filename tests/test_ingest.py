@@ -224,6 +224,20 @@ def test_only_touched_months_are_rewritten(spark, loaded):
     assert tables.read("shipments").filter("sscc18 = 'p4'").first().order_status == "Perfect"
 
 
+def test_large_csv_files_are_known_by_their_lines(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    write(folder, ["Result_1.csv", "MS_Kargo_1.xlsx"])
+    (folder / "Result_copy.csv").write_bytes(FILES["Result_1.csv"])
+    tables = Tables(spark, str(tmp_path / "db"))
+    monkeypatch.setattr(files, "LARGEST_VALUE", 1_000_000)
+    (folder / "MS_Kargo_huge.xlsx").write_bytes(b"x" * 1_000_001)
+    ingest.load_files(files.scan_folder(spark, str(folder)), tables, "b", whole_file=10)
+    assert {k: v[1] for k, v in audit(tables).items()} == {
+        ("Result_1.csv", "loaded"): 2, ("Result_copy.csv", "duplicate"): None, ("MS_Kargo_1.xlsx", "loaded"): 2,
+        ("MS_Kargo_huge.xlsx", "failed"): None,
+    }
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_suffix_rule_looks_at_all_months(spark, tmp_path, monkeypatch, small):
     """A number that equals an order of an unchanged month is not matched by suffix elsewhere."""
