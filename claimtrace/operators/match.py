@@ -18,8 +18,9 @@ from claimtrace.operators import filters
 from claimtrace.operators.lookup import HOT_ROWS, attach
 from claimtrace.params import Params
 
-# Status of a flawless delivery, suffix lengths, texts of the claim notes.
+# Order statuses, suffix lengths, texts of the claim notes.
 PERFECT = "Perfect"
+SHORT = "Short"
 SUFFIX_LENGTHS = (7, 8)
 BY_PACKAGE = "Matched by SSCC18"
 BY_ORDER = "Matched by Order ID"
@@ -168,17 +169,24 @@ def with_reason(
     The status is the best one among the shipments that match: Perfect, else
     Short, else any other, else a dash.
     """
+    status = F.col("order_status")
     rank = (
-        F.when(F.col("order_status") == PERFECT, 0)
-        .when(F.col("order_status") == "Short", 1)
-        .when(F.col("order_status").isNotNull(), 2)
+        F.when(status == PERFECT, 0)
+        .when(status == SHORT, 1)
+        .when(status.isNotNull(), 2)
         .otherwise(3)
     )
-    best = (
-        shipment_keys(shipments, params)
-        .withColumn("_ranked", F.struct(rank.alias("rank"), F.col("order_status").alias("status")))
-        .groupBy("match_key")
-        .agg(F.min("_ranked").alias("best"))
+    keys = shipment_keys(shipments, params)
+    # The rank is a number, so this aggregate hashes; texts are only kept for rare statuses.
+    ranked = keys.groupBy("match_key").agg(F.min(rank).alias("rank"))
+    rare = keys.filter(rank == 2).groupBy("match_key").agg(F.min("order_status").alias("rare"))
+    text = (
+        F.when(F.col("rank") == 0, F.lit(PERFECT))
+        .when(F.col("rank") == 1, F.lit(SHORT))
+        .when(F.col("rank") == 2, F.col("rare"))
+    )
+    best = ranked.join(rare, "match_key", "left").select(
+        "match_key", F.struct("rank", text.alias("status")).alias("best")
     )
     wanted = {
         "_by_package": package_key(F.col("sscc18")),

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from claimtrace.functions.report import dash, minute_text_half
 from claimtrace.operators import filters, series
-from claimtrace.operators.match import PERFECT
+from claimtrace.operators.match import PERFECT, SHORT
 from claimtrace.params import Params
 
-# Status of an incomplete delivery, rows of a detail list.
-SHORT = "Short"
+# Fixed value: rows of a detail list.
 PAGE = 500
 
 
