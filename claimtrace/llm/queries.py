@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtrace.llm import exact, packing, sharding, token_counts
+from claimtrace.llm import exact, near, packing, sharding, token_counts
 
 WORDS = "word_bpe_49k.json"
 
@@ -35,11 +35,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.label(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_sharding": op5_sharding,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
