@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtrace.llm import exact, near, packing, sharding, token_counts
+from claimtrace.llm import exact, near, packing, sharding, substrings, token_counts
 
 WORDS = "word_bpe_49k.json"
 
@@ -26,6 +26,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove(_table(spark, sf_dir, "documents"), texts=False)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.col("sha").alias("kept_sha256"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(_table(spark, sf_dir, "documents"), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -42,6 +47,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_sharding": op5_sharding,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
