@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtrace.llm import exact, near, packing, sharding, substrings, token_counts
+from claimtrace.llm import bpe, exact, near, packing, sharding, substrings, token_counts
 
 WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.col("sha").alias("kept_sha256"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return bpe.round_trip(docs, public_tokenizers.path(BYTES), public_tokenizers.PATTERN, outputs=False)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(_table(spark, sf_dir, "documents"), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -48,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_sharding": op5_sharding,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
