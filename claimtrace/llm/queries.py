@@ -8,9 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtrace.llm import bpe, exact, near, packing, sharding, substrings, token_counts
+from claimtrace.llm import bpe, exact, fingerprints, language, near, packing, sharding, substrings, token_counts, urls
 
 WORDS = "word_bpe_49k.json"
+# The rules of the URL filter.
+RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
 BYTES = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -42,10 +50,25 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = language.held_out("doc_id")
+    model = language.fit(docs.where(~held_out))
+    return language.predicted(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"), RULES)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.against_edits(_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.label(_table(spark, sf_dir, "documents"))
 
@@ -56,7 +79,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_sharding": op5_sharding,
+    "op6_language_id": op6_language_id,
+    "op7_url_filter": op7_url_filter,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_fingerprints": op9_fingerprints,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 

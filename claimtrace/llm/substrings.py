@@ -380,7 +380,7 @@ def remove(
     rows = docs.select(F.pmod(F.xxhash64(F.col(id_col), text), F.lit(count)).cast("int").alias("block"), F.col(id_col).alias("id"), rest.alias("rest"), text.alias("text"))
     sent = rows.select("block", "text").mapInArrow(_anchor_rows(width, count), KEYS)
     found = written(_answers(sent), "substring-anchors")
-    shape = T.StructType([*rows.select("id", "rest").schema, *RESULT])
+    shape = T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.select("id", "rest").schema), *RESULT])
     full = T.StructType([*shape, *SENT])
     second = _by_block(rows, found, parts).mapInArrow(_window_rows(width, count, texts, to_arrow_schema(full)), full)
     second = written(second, "substring-windows")
