@@ -7,14 +7,17 @@ agrees with the probability of their similarity, with concentration as if sample
 replacement.
 
 Candidates. ``T = BANDS * ROWS`` bins make ``BANDS`` keys. Sets as similar as the threshold 0.75
-share none of them with probability (1 - 0.75 ** ROWS) ** BANDS, below 3e-7.
-
-Links. Equal sets are one node (a 128-bit digest). In a bucket, the member with the least hash
-stands for it and all others are verified against it: as many pairs as members. Sets that
-link are joined into components. Buckets whose members then still belong to several components
-can hide a link that avoids both representatives, so their members are verified across the
-components (and only there): afterwards no bucket holds an unverified pair of two components. No
-cap applies anywhere. Verification counts common shingles on the full sets.
+share none of them with probability (1 - 0.75 ** ROWS) ** BANDS, below 2e-7, while a passage that
+many different texts share seldom fills a whole band. Three bits of each of the first ``CODED`` bins
+are packed into numbers; a pair whose codes differ in more than ``APART`` bins, seven standard
+deviations beyond what similar sets have, is no candidate. Nor is one of too different sizes.
+
+Links. Equal sets are one node (a 128-bit digest). In a bucket, the member that shares most buckets
+stands for it, and all others are verified against it: as many pairs as members. Sets that link are
+joined into components. Buckets whose members then still belong to several components can hide a
+link that avoids the representative, so members outside a bucket's largest component are verified
+against its members of other components. Sizes and codes are compared inside the join, so only
+plausible pairs leave it. No cap applies anywhere. Verification counts common shingles on full sets.
 
 Nulls: a null or blank text has an empty set, links with nothing and is its own component; a null
 id is never a component's name unless all its members' are. Rows with equal ids are linked by their
@@ -25,19 +28,23 @@ Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimtrace.llm import shingles
 from claimtrace.llm.common import U64, mix, seed, slices, whole_text, written
 
-ROWS = 4
-BANDS = 40
+ROWS = 6
+BANDS = 80
 BINS = ROWS * BANDS
+CODED = 192  # bins whose codes are compared, a multiple of 64
+APART = 82  # mean 42 and deviation 5.7 at a similarity of 0.75
+PLANES = [f"c{i}" for i in range(3 * CODED // 64)]
 _LOW = U64(0xFFFFFFFF)
 SLICE = 1 << 22
 
@@ -73,6 +80,23 @@ def bands(made: np.ndarray) -> np.ndarray:
     return key
 
 
+def codes(made: np.ndarray) -> np.ndarray:
+    """Three bits of each of the first bins: three planes of ``CODED`` bits as numbers."""
+    part = mix(made[:, :CODED] + seed(500))
+    planes = [((part >> U64(p)) & U64(1)).astype(np.uint8) for p in range(3)]
+    return np.concatenate([np.packbits(p, axis=1, bitorder="little").view("<u8") for p in planes], axis=1)
+
+
+def _apart(other: str) -> Column:
+    """In how many coded bins the sketches of two columns' structs differ."""
+    size = CODED // 64
+    total = F.lit(0)
+    for i in range(size):
+        differ = [F.col(f"codes.{PLANES[p * size + i]}").bitwiseXOR(F.col(f"{other}.{PLANES[p * size + i]}")) for p in range(3)]
+        total = total + F.bit_count(differ[0].bitwiseOR(differ[1]).bitwiseOR(differ[2]))
+    return total
+
+
 def _digests(elements: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
     """A 128-bit digest of each set; none for an empty one."""
     raw, at = memoryview(elements.view(np.uint8)), (8 * offsets.astype(np.int64)).tolist()
@@ -86,10 +110,13 @@ def _sketched(width: int, schema: pa.Schema):
             sizes = np.diff(np.concatenate([[0], ends])).astype(np.int64)
             digests = _digests(elements, np.concatenate([[0], ends]))
             filled = sizes > 0
-            keys = bands(sketch(elements, ends[filled])).view(np.int64) if filled.any() else np.zeros((0, BANDS), np.int64)
+            made = sketch(elements, ends[filled]) if filled.any() else np.zeros((0, BINS), U64)
+            keys, packed = bands(made).view(np.int64), np.zeros((len(sizes), len(PLANES)), np.int64)
+            packed[filled] = codes(made).view(np.int64)
+            coded = pa.StructArray.from_arrays([pa.array(packed[:, i]) for i in range(len(PLANES))], PLANES)
             offsets = np.concatenate([[0], np.cumsum(np.where(filled, BANDS, 0))]).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(digests, pa.binary()), listed], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(digests, pa.binary()), coded, listed], schema=schema)
 
     return run
 
@@ -145,36 +172,50 @@ def label(
     """One row per row: ``id, n_shingles, component_id, kept``."""
     kind = docs.select(id_col).schema[0].dataType
     texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).cast("binary").alias("text"))
-    arrow = pa.schema([("id", pa.int64() if kind.simpleString() == "bigint" else pa.string()), ("n", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
-    rows = texts.mapInArrow(_sketched(width, arrow), f"id {kind.simpleString()}, n long, node binary, bands array<long>")
+    arrow = pa.schema([("id", pa.int64() if kind.simpleString() == "bigint" else pa.string()), ("n", pa.int64()), ("node", pa.binary()), ("codes", pa.struct([(c, pa.int64()) for c in PLANES])), ("bands", pa.list_(pa.int64()))])
+    struct = ", ".join(f"{c}: long" for c in PLANES)
+    rows = texts.mapInArrow(_sketched(width, arrow), f"id {kind.simpleString()}, n long, node binary, codes struct<{struct}>, bands array<long>")
     rows = written(rows, "near-sketches")
-    nodes = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    nodes = rows.where("n > 0").groupBy("node").agg(
+        F.min("id").alias("least"), F.first("n").alias("n"), F.first("codes").alias("codes"), F.first("bands").alias("bands")
+    )
     nodes = written(nodes, "near-nodes")
     members = nodes.select(F.explode("bands").alias("key"), "node")
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
-    buckets = members.join(shared, "key").join(nodes.select("node", "n"), "node")
-    buckets = written(buckets.select("key", "node", "n"), "near-buckets")
-    heads = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "n")).alias("head"))
-    heads = heads.select("key", F.col("head.node").alias("node2"), F.col("head.n").alias("n2"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = written(members.join(shared, "key"), "near-buckets")
+    small = nodes.select("node", "n", "codes").join(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "node")
+    small = written(small, "near-shared")  # the nodes that share a bucket
+    heads = buckets.join(small.select("node", "degree"), "node").groupBy("key")
+    heads = heads.agg(F.max(F.struct("degree", "node")).alias("head")).select("key", F.col("head.node").alias("node2"))
     pair = (F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-    pairs = buckets.join(heads, "key").where("node <> node2").where(_size_close(threshold)).select(*pair)
-    pairs = written(pairs.distinct(), "near-pairs")
+    pairs = buckets.join(heads, "key").where("node <> node2").select(*pair).distinct()
+    other = small.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("codes").alias("codes2"))
+    pairs = pairs.join(small.withColumnRenamed("node", "a"), "a").join(other, "b")
+    pairs = written(pairs.where(_size_close(threshold)).where(_apart("codes2") <= APART).select("a", "b"), "near-pairs")
     # The full sets of all nodes that share a bucket, made again from their least document's text.
-    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select(F.col("least").alias("wanted")).distinct()
+    wanted = nodes.join(small.select("node"), "node", "left_semi").select(F.col("least").alias("wanted")).distinct()
     chosen = texts.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
     full = written(chosen.mapInArrow(_full_sets(width), "node binary, members array<long>"), "near-sets")
     links = written(_verified(pairs, full, threshold), "near-verified")
     roots = components(links)
     # Members of one bucket in several components: verified across them.
-    named = buckets.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    named = buckets.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     named = written(named, "near-named")
-    groups = named.select("key", "root").distinct()
-    mixed = groups.groupBy("key").agg(F.count(F.lit(1)).alias("roots")).where("roots > 1").select("key")
-    groups = groups.join(mixed, "key")
-    across = groups.join(groups.select("key", F.col("root").alias("root2")), "key").where("root < root2")
-    far = named.select("key", F.col("root").alias("root2"), F.col("node").alias("node2"), F.col("n").alias("n2"))
-    rest = across.join(named, ["key", "root"]).join(far, ["key", "root2"]).where(_size_close(threshold))
-    rest = written(rest.select(*pair).distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    groups = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    mixed = groups.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("size", "root")).alias("main"))
+    mixed = mixed.where("roots > 1").select("key", F.col("main.root").alias("main"))
+    # Similar sets have sizes of the same or neighbouring classes.
+    step = F.floor(F.log(F.col("n")) / math.log(100 / threshold)).cast("int")
+    open_ = named.join(mixed, "key").join(small.select("node", "n", "codes", step.alias("step")), "node")
+    open_ = written(open_, "near-open")
+    far = open_.select(
+        "key", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"),
+        *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "codes")],
+    )
+    once = (F.col("root") != F.col("root2")) & ((F.col("root2") == F.col("main")) | (F.col("root") < F.col("root2")))
+    likely = once & F.expr(_size_close(threshold)) & (_apart("codes2") <= APART)
+    near_by = open_.where("root <> main").join(far, (open_["key"] == far["key"]) & (open_["step"] == far["step"]) & likely)
+    rest = written(near_by.select(*pair).distinct(), "near-pairs")
     more = written(_verified(rest, full, threshold), "near-verified")
     if more.limit(1).count():
         roots = components(links.union(more))
