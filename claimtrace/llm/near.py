@@ -9,7 +9,7 @@ replacement.
 Candidates. ``T = BANDS * ROWS`` bins make ``BANDS`` keys. Sets as similar as the threshold 0.75
 share none of them with probability (1 - 0.75 ** ROWS) ** BANDS, below 2e-7, while a passage that
 many different texts share seldom fills a whole band. Three bits of each of the first ``CODED`` bins
-are packed into numbers; a pair whose codes differ in more than ``APART`` bins, seven standard
+are packed into numbers; a pair whose codes differ in more than ``APART`` bins, five standard
 deviations beyond what similar sets have, is no candidate. Nor is one of too different sizes.
 
 Links. Equal sets are one node (a 128-bit digest). In a bucket, the member that shares most buckets
@@ -17,7 +17,7 @@ stands for it, and all others are verified against it: as many pairs as members.
 joined into components. Buckets whose members then still belong to several components can hide a
 link that avoids the representative, so members outside a bucket's largest component are verified
 against its members of other components. Sizes and codes are compared inside the join, so only
-plausible pairs leave it. No cap applies anywhere. Verification counts common shingles on full sets.
+plausible pairs leave it; a large component is compared with its neighbours in tiles instead. No cap applies anywhere. Verification counts common shingles on full sets.
 
 Nulls: a null or blank text has an empty set, links with nothing and is its own component; a null
 id is never a component's name unless all its members' are. Rows with equal ids are linked by their
@@ -42,9 +42,11 @@ from claimtrace.llm.common import U64, mix, seed, slices, whole_text, written
 ROWS = 6
 BANDS = 80
 BINS = ROWS * BANDS
-CODED = 192  # bins whose codes are compared, a multiple of 64
-APART = 82  # mean 42 and deviation 5.7 at a similarity of 0.75
+CODED = 448  # bins whose codes are compared, a multiple of 64
+APART = 141  # mean 98 and deviation 8.7 at a similarity of 0.75
 PLANES = [f"c{i}" for i in range(3 * CODED // 64)]
+LARGE = 256  # nodes of a component that others are verified against in tiles
+OUTER, INNER = 256, 1024  # nodes on the sides of a tile
 _LOW = U64(0xFFFFFFFF)
 SLICE = 1 << 22
 
@@ -166,6 +168,58 @@ def _size_close(threshold: int) -> str:
     return f"100 * least(n, n2) >= {threshold} * greatest(n, n2)"
 
 
+def _tile_links(threshold: int):
+    """Of one tile, for each outer set the first member it is as similar to as the threshold."""
+
+    def run(table: pa.Table) -> pa.Table:
+        outer = table.column("outer").to_numpy(zero_copy_only=False)
+        coded = np.column_stack([table.column(c).to_numpy() for c in PLANES]).view(U64).reshape(len(outer), 3, -1)
+        sets = [np.asarray(m.values).view(U64) for m in table.column("members")]
+        sizes, nodes = np.array([len(x) for x in sets]), table.column("node")
+        inner, found = np.flatnonzero(~outer), []
+        for i in np.flatnonzero(outer):
+            differ = coded[inner] ^ coded[i]
+            apart = np.bitwise_count(differ[:, 0] | differ[:, 1] | differ[:, 2]).sum(axis=1, dtype=np.int64)
+            close = 100 * np.minimum(sizes[inner], sizes[i]) >= threshold * np.maximum(sizes[inner], sizes[i])
+            for j in inner[(apart <= APART) & close][np.argsort(apart[(apart <= APART) & close], kind="stable")]:
+                common = int((sets[i][np.minimum(np.searchsorted(sets[i], sets[j]), sizes[i] - 1)] == sets[j]).sum())
+                if 100 * common >= threshold * (sizes[i] + sizes[j] - common):
+                    found.append(sorted((nodes[int(i)].as_py(), nodes[int(j)].as_py())))
+                    break
+        return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
+
+    return run
+
+
+def _against_large(open_: DataFrame, large: DataFrame, roots: DataFrame, small: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
+    """Links of nodes with a large component that they share a bucket with but are not in.
+
+    Such a node is verified against the whole component, in tiles of bounded size, so what moves is
+    each set once for each tile, not once for each pair or bucket.
+    """
+    own = large.select(F.col("root").alias("target"))
+    holds = open_.join(large, "root", "left_semi").select("key", F.col("root").alias("target")).distinct()
+    outer = open_.select("key", "node", "root").join(holds, "key").where("root <> target")
+    both_large = own.withColumnRenamed("target", "root").withColumn("is_large", F.lit(True))
+    outer = outer.join(both_large, "root", "left").where("is_large IS NULL OR root < target").select("node", "target").distinct()
+    whole = roots.join(large, "root", "left_semi").select("node", F.col("root").alias("target"))
+    whole = whole.unionByName(own.select(F.col("target").alias("node"), "target"))
+    outer, whole = written(outer, "near-outer"), written(whole, "near-whole")
+    rows = outer.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / OUTER).cast("long").alias("rows"))
+    columns = whole.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / INNER).cast("long").alias("columns"))
+    tiles = rows.join(columns, "target")
+    h = F.xxhash64("node")
+    a = outer.join(tiles, "target").select(
+        "node", "target", F.pmod(h, "rows").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1)).alias("j"), F.lit(True).alias("outer")
+    )
+    b = whole.join(tiles, "target").select(
+        "node", "target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), F.pmod(h, "columns").alias("j"), F.lit(False).alias("outer")
+    )
+    coded = small.select("node", *[f"codes.{c}" for c in PLANES])
+    dealt = a.unionByName(b).join(coded, "node").join(full, "node")
+    return dealt.groupBy("target", "i", "j").applyInArrow(_tile_links(threshold), "a binary, b binary")
+
+
 def label(
     docs: DataFrame, width: int = 5, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -208,7 +262,9 @@ def label(
     step = F.floor(F.log(F.col("n")) / math.log(100 / threshold)).cast("int")
     open_ = named.join(mixed, "key").join(small.select("node", "n", "codes", step.alias("step")), "node")
     open_ = written(open_, "near-open")
-    far = open_.select(
+    large = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("root")
+    large = written(large, "near-large")
+    far = open_.join(large, "root", "left_anti").select(
         "key", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"),
         *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "codes")],
     )
@@ -216,7 +272,8 @@ def label(
     likely = once & F.expr(_size_close(threshold)) & (_apart("codes2") <= APART)
     near_by = open_.where("root <> main").join(far, (open_["key"] == far["key"]) & (open_["step"] == far["step"]) & likely)
     rest = written(near_by.select(*pair).distinct(), "near-pairs")
-    more = written(_verified(rest, full, threshold), "near-verified")
+    more = _verified(rest, full, threshold).unionByName(_against_large(open_, large, roots, small, full, threshold))
+    more = written(more, "near-verified")
     if more.limit(1).count():
         roots = components(links.union(more))
     named = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))

@@ -349,7 +349,11 @@ def shingle_sets(rows):
     return found
 
 
-def test_near(docs, none):
+@pytest.mark.parametrize("large", [near.LARGE, 2])
+def test_near(docs, none, monkeypatch, large):
+    monkeypatch.setattr(near, "LARGE", large)
+    monkeypatch.setattr(near, "OUTER", 3)
+    monkeypatch.setattr(near, "INNER", 4)
     rows = [(i, t) for i, (_, t) in enumerate(sample())]
     sets, parent = shingle_sets(rows), list(range(len(rows)))
 
@@ -370,8 +374,10 @@ def test_near(docs, none):
     assert near.label(docs).count() == len(rows) and near.label(none).count() == 0
 
 
-def test_links_that_avoid_the_representative(spark):
+@pytest.mark.parametrize("large", [near.LARGE, 2])
+def test_links_that_avoid_the_representative(spark, monkeypatch, large):
     """A chain of versions: neighbours are alike, the ends are not."""
+    monkeypatch.setattr(near, "LARGE", large)
     words = prose(9, 400).split()
     rows = [(i, " ".join(words[i * 8 : i * 8 + 100])) for i in range(30)]
     got = near.label(spark.createDataFrame(rows, "doc_id long, text string")).collect()
