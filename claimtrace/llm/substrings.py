@@ -46,7 +46,7 @@ WIDTH = 35
 ROUNDS = 4
 SLICE = 1 << 22
 FLUSH = 1 << 22  # numbers a task gathers before it sends them
-KEYS = "bucket int, block int, many int, keys binary"
+KEYS = "bucket int, keys binary, blocks binary, many binary"
 
 
 def joined(numbers: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,20 +171,16 @@ def window_numbers(row: np.ndarray, width: int) -> np.ndarray:
 
 
 def _packed(numbers: np.ndarray, blocks: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Rows of a bucket and block: the distinct numbers, first those that occur more than once."""
-    order = np.lexsort((numbers, blocks))
-    numbers, blocks = numbers[order], blocks[order]
-    first = np.flatnonzero(np.concatenate([[True], (numbers[1:] != numbers[:-1]) | (blocks[1:] != blocks[:-1])]))
-    many = np.diff(np.concatenate([first, [len(numbers)]])) > 1
-    numbers, blocks = numbers[first], blocks[first]
+    """A row for each bucket: the distinct numbers of each block, and which occur more than once."""
     bucket = (mix(numbers) % U64(buckets)).astype(np.int64)
-    group = bucket * (int(blocks.max()) + 1) + blocks
-    order = np.lexsort((~many, group))
-    numbers, blocks, bucket, many, group = (x[order] for x in (numbers, blocks, bucket, many, group))
-    last = np.flatnonzero(np.concatenate([group[1:] != group[:-1], [True]]))
-    counts = np.add.reduceat(many.astype(np.int64), np.concatenate([[0], last[:-1] + 1]))
-    ints = lambda x: pa.array(x.astype(np.int32))
-    return pa.RecordBatch.from_arrays([ints(bucket[last]), ints(blocks[last]), ints(counts), blobs(numbers, last + 1)], ["bucket", "block", "many", "keys"])
+    order = np.lexsort((numbers, blocks, bucket))
+    numbers, blocks, bucket = numbers[order], blocks[order], bucket[order]
+    first = np.flatnonzero(np.concatenate([[True], (numbers[1:] != numbers[:-1]) | (blocks[1:] != blocks[:-1])]))
+    many = (np.diff(np.concatenate([first, [len(numbers)]])) > 1).astype(np.uint8)
+    numbers, blocks, bucket = numbers[first], blocks[first].astype(np.int32), bucket[first]
+    last = np.flatnonzero(np.concatenate([bucket[1:] != bucket[:-1], [True]]))
+    parts = [blobs(x, last + 1) for x in (numbers, blocks, many)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[last].astype(np.int32)), *parts], ["bucket", "keys", "blocks", "many"])
 
 
 class _Sender:
@@ -227,23 +223,20 @@ def _anchor_rows(width: int, buckets: int):
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket, for each row the numbers that occur more than once in all rows together."""
-    rows = [np.frombuffer(k.as_py(), U64) for k in table.column("keys")]
-    sizes = np.array([len(k) for k in rows], np.int64)
-    keys = np.concatenate(rows)
-    begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    many = np.repeat(table.column("many").to_numpy(), sizes) > np.arange(len(keys)) - begin
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    weight = np.add.reduceat(1 + many[order].astype(np.int64), first)
-    good = np.zeros(len(keys), bool)
-    good[order] = np.repeat(weight > 1, np.diff(np.concatenate([first, [len(keys)]])))
-    left = np.add.reduceat(good.astype(np.int64), np.cumsum(sizes) - sizes)
-    has = left > 0
-    block = table.column("block").to_numpy()[has].astype(np.int32)
-    out = blobs(keys[good], np.cumsum(left[has]))
-    return pa.table({"block": pa.array(block), "keys": out})
+    """Of one bucket, for each block its numbers that occur more than once in all rows together."""
+    keys, blocks, many = (
+        np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(c)]) for c, kind in (("keys", U64), ("blocks", np.int32), ("many", np.uint8))
+    )
+    order = np.lexsort((blocks, keys))
+    keys, blocks, many = keys[order], blocks[order], many[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    weight = np.add.reduceat(1 + many.astype(np.int64), first)
+    good = np.repeat(weight > 1, np.diff(np.concatenate([first, [len(keys)]])))
+    keys, blocks = keys[good], blocks[good]
+    order = np.argsort(blocks, kind="stable")
+    keys, blocks = keys[order], blocks[order]
+    last = np.flatnonzero(np.concatenate([blocks[1:] != blocks[:-1], [True]])) if len(blocks) else np.zeros(0, np.int64)
+    return pa.table({"block": pa.array(blocks[last]), "keys": blobs(keys, last + 1)})
 
 
 def _answers(sent: DataFrame) -> DataFrame:
@@ -284,7 +277,9 @@ def _among(known: np.ndarray, numbers: np.ndarray) -> np.ndarray:
 DOC = ("id", "rest")
 RESULT = T.StructType().add("n_words", T.LongType()).add("n_removed", T.LongType()).add("sha", T.StringType()).add("text", T.BinaryType())
 # What a row is: null a result, 1 a text to look at again, 2 numbers.
-SENT = T.StructType([T.StructField(c, T.IntegerType()) for c in ("kind", "bucket", "block", "many")]).add("keys", T.BinaryType())
+SENT = T.StructType(
+    [*(T.StructField(c, T.IntegerType()) for c in ("kind", "bucket", "block")), *(T.StructField(c, T.BinaryType()) for c in ("keys", "blocks", "many"))]
+)
 
 
 def _kept_rows(part: pa.RecordBatch, words: list[list[bytes]], kept: list[list[bytes] | None], texts: bool, schema: pa.Schema) -> pa.RecordBatch:
@@ -374,7 +369,7 @@ def remove(
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    count = 4 * parts
+    count = 2 * parts
     rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
     text = whole_text(text_col).cast("binary")
     rows = docs.select(F.pmod(F.xxhash64(F.col(id_col), text), F.lit(count)).cast("int").alias("block"), F.col(id_col).alias("id"), rest.alias("rest"), text.alias("text"))
@@ -384,7 +379,7 @@ def remove(
     full = T.StructType([*shape, *SENT])
     second = _by_block(rows, found, parts).mapInArrow(_window_rows(width, count, texts, to_arrow_schema(full)), full)
     second = written(second, "substring-windows")
-    again = second.where("kind = 2").select("bucket", "block", "many", "keys")
+    again = second.where("kind = 2").select("bucket", "keys", "blocks", "many")
     repeated = written(_answers(again), "substring-repeats")
     hit = second.where("kind = 1").select("block", "id", "rest", "text")
     third = _by_block(hit, repeated, parts).mapInArrow(_removed_rows(width, texts, to_arrow_schema(shape)), shape)
