@@ -26,15 +26,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder that all executors share.
 
     It is ``spark.checkpoint.dir`` or one set on the context. Only a local session
-    without either gets a temporary folder.
+    without either, as in tests, gets a temporary folder.
     """
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

@@ -4,7 +4,7 @@ Files are read as text lines, so a large file is split over many tasks. What a
 line needs to know about its file - encoding, place of each column, whether
 records run over several lines - comes from one aggregation per file, which runs
 when a grid is made, as schema inference does. Its result has one row per file.
-A later line equal to the header line counts as a repeated header and is left out.
+A later line equal to the header line is data like any other.
 When it is small, by its measured bytes, it is broadcast and no line is shuffled.
 Otherwise only the facts of large files are broadcast (at most total bytes /
 ``BIG_FILE`` rows), and the lines of other files meet theirs in an ordinary join,
@@ -25,11 +25,10 @@ BIG_FILE = 1 << 30
 BROADCAST_BYTES = 64 << 20
 SPREAD = 4096
 
-# Byte order mark, longest cell accepted.
+# Fixed value: byte order mark.
 BYTE_ORDER_MARK = "\ufeff"
-CELL_LIMIT = 131_072
 # A record of several lines that grows beyond this comes from a quote never closed.
-RECORD_LIMIT = 64 * CELL_LIMIT
+RECORD_LIMIT = 8 << 20
 # Normalised names of the columns that are read.
 COLUMNS = (
     "order_number",
@@ -45,6 +44,8 @@ COLUMNS = (
 )
 
 _FIELD = r',("[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'
+# Whole cells, then a quoted one without its end; possessive, so that long cells need no stack.
+_OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+),)*+"[^"]*+(?:""[^"]*+)*+$'
 _QUOTED = r'(?s)^"((?:[^"]|"")*+)"(.*)$'
 
 
@@ -95,6 +96,14 @@ def _decoded(utf8: Column, line: Column) -> Column:
     return F.when(utf8, line).otherwise(F.decode(line.cast("binary"), "ISO-8859-1"))
 
 
+def _left_open(line: Column) -> Column:
+    """Whether a record that starts with the line goes on after it: its last cell is quoted and open.
+
+    A quote opens a cell only as its first character; anywhere else in an unquoted cell it is text.
+    """
+    return F.coalesce(line.contains('"') & line.rlike(_OPEN), F.lit(False))
+
+
 def _odd_quotes(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
@@ -105,7 +114,7 @@ def file_facts(lines: DataFrame, names: Sequence[str] = COLUMNS) -> DataFrame:
         F.first("file_size").alias("file_size"),
         F.bool_and(F.is_valid_utf8("line")).alias("utf8"),
         F.min(F.struct("block", "row", "line")).alias("_first"),
-        F.bool_or(_odd_quotes(F.col("line"))).alias("spanning"),
+        F.bool_or(_left_open(F.col("line"))).alias("spanning"),
     )
     first = F.regexp_replace(
         _decoded(F.col("utf8"), F.col("_first.line")), "^" + BYTE_ORDER_MARK, ""
@@ -240,16 +249,21 @@ def grid_from_lines(
     """Data rows of CSV files: ``path file_name block row at cells broken``.
 
     ``cells`` holds the texts of the row, ``at`` the index of each of the ``names``
-    that the file's first line has. ``broken`` marks a row with a cell longer than
-    accepted; a file with such a row cannot be read.
+    that the file's first line has. ``broken`` marks a piece of a record whose quote was
+    never closed; a file with such a row cannot be read.
     """
     facts = durable(file_facts(lines, names))
     per_file = F.length("path") + F.length("first_line") + F.lit(8 * len(names) + 64)
     size, spanning = facts.agg(F.sum(per_file), F.bool_or("spanning")).first()
     small = (size or 0) <= broadcast_bytes
     known = _with_facts(lines, facts, small, big_file)
-    # Row numbers can differ between two scans, so the header is known by its text.
-    flat = known.filter(~F.col("spanning") & (F.col("line") != F.col("first_line")))
+    # Row numbers can differ between two scans, so the header is known by its text; of the lines
+    # with that text, all but the first are data.
+    is_header = F.col("line") == F.col("first_line")
+    flat = known.filter(~F.col("spanning") & ~is_header)
+    alike = known.filter(~F.col("spanning") & is_header)
+    nth = F.row_number().over(Window.partitionBy("path").orderBy("block", "row"))
+    flat = flat.unionByName(alike.withColumn("_nth", nth).filter("_nth > 1").drop("_nth"))
     records = flat.withColumn("line", _decoded(F.col("utf8"), F.col("line"))).select(
         *lines.columns, "at", F.lit(False).alias("broken")
     )
@@ -258,9 +272,6 @@ def grid_from_lines(
             _spanning_records(known.filter("spanning"), lines.columns, names, small, big_file)
         )
     split = records.filter(F.col("line") != "").withColumn("cells", split_fields(F.col("line")))
-    too_long = (F.length("line") > CELL_LIMIT) & F.exists(
-        "cells", lambda c: F.length(c) > CELL_LIMIT
-    )
     return split.select(
         "path",
         "file_name",
@@ -268,7 +279,7 @@ def grid_from_lines(
         "row",
         "at",
         "cells",
-        (F.col("broken") | too_long).alias("broken"),
+        "broken",
     )
 
 

@@ -81,15 +81,29 @@ def test_latin1_file_is_decoded_as_a_whole(spark, tmp_path):
     assert sorted(r.order_number for r in parsed.collect()) == ["B\xc3\xa9", "B\xe9"]
 
 
-def test_header_may_span_lines_and_may_repeat(spark, tmp_path):
+def test_header_may_span_lines_and_a_row_like_it_is_data(spark, tmp_path):
     (tmp_path / "all_orders_1.csv").write_text('"note\non two lines",order_number,order_status\nx,A,Perfect\n')
     (tmp_path / "all_orders_2.csv").write_text("order_status,order_number\nShort,B\norder_status,order_number\nShort,C")
     parsed = parsers.parse_order_status_csv(text_grid.scan_csv(spark, str(tmp_path)))
     assert sorted((r.order_number, r.order_status) for r in parsed.collect()) == [
-        ("A", "Perfect"), ("B", "Short"), ("C", "Short"),
+        ("A", "Perfect"), ("B", "Short"), ("C", "Short"), ("order_number", "order_status"),
     ]
 
 
+def test_quotes_inside_unquoted_cells_are_text(spark, tmp_path):
+    text = 'ordernumber,note,orderstatus\n1111111122222222,5" pipe,COMPLETED\n1111111133333333,,INCOMPLETE\n1111111144444444,"a ""b""",COMPLETED\n'
+    grid = grid_of(spark, tmp_path, "order_level_1.csv", text.encode())
+    assert sorted(r.cells for r in grid.collect()) == [
+        ["1111111122222222", '5" pipe', "COMPLETED"], ["1111111133333333", "", "INCOMPLETE"], ["1111111144444444", 'a "b"', "COMPLETED"],
+    ]
+
+
+def test_long_cells_are_read(spark, tmp_path):
+    text = "order_number,order_status\n" + "x" * 200_000 + ',Perfect\n"' + "y" * 200_000 + '",Short\n'
+    grid = grid_of(spark, tmp_path, "all_orders.csv", text.encode())
+    assert sorted((len(r.cells[0]), r.broken) for r in grid.collect()) == [(200_000, False), (200_000, False)]
+
+
 def test_missing_columns_give_no_rows(spark, tmp_path):
     grid = grid_of(spark, tmp_path, "a.csv", b"order_number,sscc18\n1,2\n")
     assert parsers.parse_shipments_csv(grid).count() == 0
@@ -141,12 +155,12 @@ def test_unclosed_quote_marks_the_file_broken(spark, tmp_path):
     assert parsers.accepted(parsed).count() == 0
 
 
-def test_cell_limit_is_per_cell(spark, tmp_path):
+def test_no_cell_is_too_long(spark, tmp_path):
     part = "x" * 100_000
     text = f'order_number,order_status,a,b\nA,Perfect,"{part}\n","{part}"\nB,Short,{part}{part},\n'
     grid = grid_of(spark, tmp_path, "all_orders.csv", text.encode())
     rows = {r.cells[0]: (r.broken, len(r.cells[2])) for r in grid.collect()}
-    assert rows == {"A": (False, 100_001), "B": (True, 200_000)}
+    assert rows == {"A": (False, 100_001), "B": (False, 200_000)}
 
 
 def test_big_and_small_files_meet_their_facts(spark, tmp_path):
