@@ -512,44 +512,69 @@ _add(
 )
 
 
+def _sheet_grid(spark: SparkSession, sf_dir: str, heading: list[str]) -> DataFrame:
+    """One sheet per supplier as a grid: lines before the header, the header, the supplier's lines.
+
+    The number of a supplier's lines decides how many rows go before the header, how many empty
+    cells begin it, and whether the last column is there.
+    """
+    path = F.concat(F.lit("supplier-"), _text("l_suppkey")).alias("path")
+    lines = table(spark, sf_dir, "lineitem")
+    sheets = lines.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    kept = F.slice(F.array(*map(F.lit, heading)), F.lit(1), (len(heading) - F.col("n") % 2).cast("int"))
+    headings = F.concat(F.array_repeat(F.lit(""), (F.col("n") % 5).cast("int")), kept)
+    before = F.array_repeat(F.array(F.lit("Report"), _text("l_suppkey")), (F.col("n") % 8).cast("int"))
+    top = sheets.select(path, F.posexplode(F.concat(before, F.array(headings))).alias("row", "cells"))
+    data = lines.select(path, (F.lit(10) + F.col("l_linenumber")).cast("int").alias("row"), F.array(_text("l_extendedprice")).alias("cells"))
+    return top.withColumn("row", F.col("row") + 1).unionByName(data)
+
+
+_SHEETS_SQL = "(SELECT 'supplier-' || CAST(l_suppkey AS VARCHAR) AS path, count(*) AS n FROM lineitem GROUP BY 1) s"
+
+
 def _locate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    credits = workbook.scan_workbook(_credit_books(spark, sf_dir), workbook.RMA_SHEETS)
-    claim_grid = workbook.scan_workbook(_claim_books(spark, sf_dir), workbook.RMA_SHEETS)
-    sheets = workbook.scan_workbook(_shipment_books(spark, sf_dir), workbook.SHIPMENT_SHEETS)
-    found = (
-        header.carrier_row(credits)
-        .withColumn("rule", F.lit("carrier"))
-        .unionByName(header.date_row(claim_grid.filter("role = 'claims'")).withColumn("rule", F.lit("date")))
-        .unionByName(header.first_row(sheets).withColumn("rule", F.lit("first")))
-    )
-    return plain(
-        found.select("rule", "header_row", F.element_at("header", 1).alias("first_heading")).distinct()
-    )
+    rules = {
+        "carrier": (header.carrier_row, ["Carrier/BP", "Credit", "Count"]),
+        "date": (header.date_row, _CLAIM_HEADER),
+        "first": (header.first_row, ["APPOINTMENT_DATE", "SSCC18"]),
+    }
+    found = [
+        find(_sheet_grid(spark, sf_dir, names)).select(
+            F.lit(rule).alias("rule"), "path", "header_row", F.array_join("header", "|").alias("headings")
+        )
+        for rule, (find, names) in rules.items()
+    ]
+    return plain(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
+def _headings_sql(names: list[str]) -> str:
+    """The header row as text: the empty cells, then all headings or all but the last."""
+    return f"repeat('|', n % 5) || CASE WHEN n % 2 = 1 THEN '{'|'.join(names[:-1])}' ELSE '{'|'.join(names)}' END"
 
 
 _add(
     "src10_locate_header_row",
     _locate,
-    "SELECT 'carrier' AS rule, CAST(3 AS BIGINT) AS header_row, 'Carrier/BP' AS first_heading"
-    " FROM (SELECT count(*) AS n FROM customer) WHERE n > 0"
-    " UNION ALL SELECT 'date', 4, 'Effective Date' FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0"
-    " UNION ALL SELECT 'first', 1, 'APPOINTMENT_DATE' FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0",
+    f"SELECT 'carrier' AS rule, path, n % 8 + 1 AS header_row, {_headings_sql(['Carrier/BP', 'Credit', 'Count'])}"
+    f" AS headings FROM {_SHEETS_SQL}"
+    f" UNION ALL SELECT 'date', path, n % 8 + 1, {_headings_sql(_CLAIM_HEADER)} FROM {_SHEETS_SQL}"
+    " UNION ALL SELECT 'first', path, 1, CASE WHEN n % 8 = 0 THEN"
+    f" {_headings_sql(['APPOINTMENT_DATE', 'SSCC18'])} ELSE 'Report|' || substr(path, 10) END FROM {_SHEETS_SQL}",
 )
 
 
 def _map_columns(strict: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        grid = workbook.scan_workbook(_claim_books(spark, sf_dir), workbook.RMA_SHEETS)
-        headers = header.with_columns_found(
-            header.date_row(grid.filter("role = 'claims'")), header.claim_columns(strict)
-        )
-        at = headers.select("at.*").distinct()
-        pairs = F.array(*[F.struct(F.lit(c).alias("slot"), F.col(c).alias("place")) for c in at.columns])
-        return plain(at.select(F.inline(pairs)))
+        grid = _sheet_grid(spark, sf_dir, _CLAIM_HEADER)
+        names = header.claim_columns(strict)
+        headers = header.with_columns_found(header.date_row(grid), names).select("path", "at.*")
+        pairs = F.array(*[F.struct(F.lit(c).alias("slot"), F.col(c).alias("place")) for c in names])
+        return plain(headers.select("path", F.inline(pairs)))
 
     return run
 
 
+# Where each slot is in ``_CLAIM_HEADER``; its last heading is that of carrier_bp.
 _PLACES = {
     "effective_date": 0, "credit_issued": 16, "order_id": 4, "sscc18": 5, "carrier_bp": 21, "rma_status": 1,
     "rma_order_number": None, "order_type": None, "reference_number_qualifier": None, "bol_number": None,
@@ -566,7 +591,8 @@ def _places_sql(places: dict) -> str:
         f"('{slot}', CAST({'NULL' if place is None else place} AS BIGINT))" for slot, place in places.items()
     )
     return (
-        f"SELECT slot, place FROM (VALUES {values}) v(slot, place), (SELECT count(*) AS n FROM lineitem) WHERE n > 0"
+        "SELECT path, slot, CASE WHEN slot = 'carrier_bp' AND n % 2 = 1 THEN NULL ELSE place + n % 5 END AS place"
+        f" FROM {_SHEETS_SQL}, (VALUES {values}) v(slot, place)"
     )
 
 
@@ -711,23 +737,26 @@ _UPSERT_KEY = "claim_date, coalesce(order_id, ''), coalesce(sscc18, ''), claim_a
 _UPSERT_PLACE = "l_shipdate, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice"
 
 
-def _last_sql(flag: str) -> str:
+_HELD, _NEW = "l_returnflag = 'A'", "l_returnflag <> 'A'"  # rows stored before, rows of the load
+
+
+def _last_sql(rows: str) -> str:
     return (
         f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_UPSERT_KEY} ORDER BY"
         f" {', '.join(c + ' DESC' for c in _UPSERT_PLACE.split(', '))}) AS rn FROM c"
-        f" WHERE l_returnflag = '{flag}') WHERE rn = 1"
+        f" WHERE {rows}) WHERE rn = 1"
     )
 
 
-_UPSERT_WITH = f"WITH c AS ({_UPSERT_SQL}), o AS ({_last_sql('A')}), n AS ({_last_sql('R')})"
+_UPSERT_WITH = f"WITH c AS ({_UPSERT_SQL}), o AS ({_last_sql(_HELD)}), n AS ({_last_sql(_NEW)})"
 
 
-def _claim_load(spark: SparkSession, sf_dir: str, flag: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == flag)
+def _claim_load(spark: SparkSession, sf_dir: str, rows: str = "TRUE") -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").filter(rows)
     typed = lines.withColumn(
         "seq",
         F.struct(
-            F.lit(flag).alias("file_name"), *[F.col(c) for c in _UPSERT_PLACE.split(", ")]
+            F.lit("claims").alias("file_name"), *[F.col(c) for c in _UPSERT_PLACE.split(", ")]
         ),
     )
     return typed.selectExpr(
@@ -738,7 +767,7 @@ def _claim_load(spark: SparkSession, sf_dir: str, flag: str) -> DataFrame:
 
 
 def _m5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(merge.keep_last(_claim_load(spark, sf_dir, "R")).select(*_UPSERT_OUT))
+    return plain(merge.keep_last(_claim_load(spark, sf_dir)).select(*_UPSERT_OUT))
 
 
 def _out(alias: str = "") -> str:
@@ -747,12 +776,12 @@ def _out(alias: str = "") -> str:
     return ", ".join(special.get(c, "{}").format(dot + c) + f" AS {c}" for c in _UPSERT_OUT)
 
 
-_add("m5_keep_last_in_file", _m5, f"{_UPSERT_WITH} SELECT {_out()} FROM n")
+_add("m5_keep_last_in_file", _m5, f"WITH c AS ({_UPSERT_SQL}) SELECT {_out()} FROM ({_last_sql('TRUE')}) n")
 
 
 def _m6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = merge.keep_last(_claim_load(spark, sf_dir, "A")).drop("seq")
-    return plain(merge.upsert_claims(held, _claim_load(spark, sf_dir, "R")).select(*_UPSERT_OUT))
+    held = merge.keep_last(_claim_load(spark, sf_dir, _HELD)).drop("seq")
+    return plain(merge.upsert_claims(held, _claim_load(spark, sf_dir, _NEW)).select(*_UPSERT_OUT))
 
 
 _SAME = (
@@ -774,14 +803,14 @@ _add(
 
 
 def _m8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = merge.keep_last(_claim_load(spark, sf_dir, "A")).drop("seq")
-    return plain(merge.upsert_stats(held, _claim_load(spark, sf_dir, "R")))
+    held = merge.keep_last(_claim_load(spark, sf_dir, _HELD)).drop("seq")
+    return plain(merge.upsert_stats(held, _claim_load(spark, sf_dir, _NEW)))
 
 
 _add(
     "m8_load_stats_upsert",
     _m8,
-    f"{_UPSERT_WITH}, k AS (SELECT (SELECT count(*) FROM c WHERE l_returnflag = 'R') AS p, count(*) AS u,"
+    f"{_UPSERT_WITH}, k AS (SELECT (SELECT count(*) FROM c WHERE {_NEW}) AS p, count(*) AS u,"
     f" count(*) FILTER (WHERE EXISTS (SELECT 1 FROM o WHERE {_SAME})) AS h FROM n)"
     " SELECT p AS parsed_rows, u AS unique_rows, u - h AS inserted_rows, h AS updated_rows,"
     " p - u AS duplicate_rows_in_file FROM k",
@@ -955,8 +984,8 @@ _add("src12_read_table", _src12, SH_SQL)
 def _snk1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of claims: an append, then an upsert that rewrites the months it touches."""
     tables = Tables(spark, _folder(spark))
-    tables.append("claim_details", merge.keep_last(_claim_load(spark, sf_dir, "A")))
-    batch = _claim_load(spark, sf_dir, "R").withColumn("claim_date", F.col("claim_date").cast("timestamp"))
+    tables.append("claim_details", merge.keep_last(_claim_load(spark, sf_dir, _HELD)))
+    batch = _claim_load(spark, sf_dir, _NEW).withColumn("claim_date", F.col("claim_date").cast("timestamp"))
     ingest_months = batch.select(F.date_format("claim_date", "yyyy-MM").alias("m")).distinct()
     months = [r.m for r in ingest_months.collect()]  # bounded by the calendar
     held = tables.read_months("claim_details", months)
