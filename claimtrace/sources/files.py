@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,19 +157,38 @@ def with_hash(files: DataFrame) -> DataFrame:
 
 
 def line_hash(lines: DataFrame) -> DataFrame:
-    """One hash per file from the lines it holds: ``file_name attachment_hash``.
+    """One hash per file from its lines and their order: ``file_name attachment_hash``.
 
-    Lines are hashed where they are read and the hashes added up, so a file of any
-    size is spread over many tasks. Files with the same lines get the same hash.
+    A line's hash counts as often as its number in the file says. These sums are taken per block,
+    where the lines are read, and moved by the lines of the blocks before, so a file of any size is
+    spread over many tasks and the hash does not depend on where blocks end.
     """
-    first = F.xxhash64("line").cast("decimal(20,0)")
-    second = F.xxhash64(F.lit(1), "line").cast("decimal(20,0)")
-    sums = lines.groupBy("file_name").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(first).alias("_a"), F.sum(second).alias("_b")
+    place = F.col("row").bitwiseAND((1 << 33) - 1)  # rows of one scan are numbered without gaps
+    first, second = (
+        F.pmod(F.xxhash64(F.lit(i), "line"), F.lit(1 << 40)).cast("decimal(13,0)") for i in (0, 1)
     )
-    return sums.select(
-        "file_name", F.sha2(F.concat_ws("|", "_n", "_a", "_b"), 256).alias("attachment_hash")
+    blocks = lines.groupBy("file_name", "block").agg(
+        F.first("file_size").alias("_size"),
+        F.count(F.lit(1)).alias("_n"),
+        F.min(place).alias("_from"),
+        *[F.sum(h).alias(f"_s{i}") for i, h in enumerate((first, second))],
+        *[F.sum((h * place.cast("decimal(10,0)")).cast("decimal(28,0)")).alias(f"_p{i}") for i, h in enumerate((first, second))],
     )
+    earlier = Window.partitionBy("file_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    moved = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_from")
+    placed = blocks.withColumn("_moved", moved.cast("decimal(14,0)"))
+    sums = placed.groupBy("file_name").agg(
+        F.first("_size").alias("_size"),
+        F.sum("_n").alias("_n"),
+        *[F.sum(f"_s{i}").cast("decimal(38,0)").alias(f"_s{i}") for i in (0, 1)],
+        *[
+            F.sum(F.col(f"_p{i}").cast("decimal(38,0)") + (F.col(f"_s{i}").cast("decimal(23,0)") * F.col("_moved")).cast("decimal(38,0)"))
+            .cast("decimal(38,0)").alias(f"_p{i}")
+            for i in (0, 1)
+        ],
+    )
+    parts = ("_size", "_n", "_s0", "_s1", "_p0", "_p1")
+    return sums.select("file_name", F.sha2(F.concat_ws("|", *parts), 256).alias("attachment_hash"))
 
 
 def skip_processed(files: DataFrame, processed: DataFrame) -> DataFrame:

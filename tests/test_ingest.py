@@ -4,7 +4,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
-from claimtrace.sources import files
+from claimtrace.sources import files, text_grid
 from claimtrace.sources.tables import Tables
 from claimtrace.streaming import ingest
 from pyspark.sql import functions as F
@@ -269,3 +269,26 @@ def test_manifest_filters(spark):
     assert files.sender_allowed(mails, []).count() == 5
     assert files.keyword_allowed(mails, ["RESULT_", " order_level"]).count() == 2
     assert files.keyword_allowed(mails, [" "]).count() == 5
+
+
+def test_large_files_with_the_same_lines_in_another_order_both_load(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [f"61000000{i:02d},p{i},FXFE,S{i},2025-04-01" for i in range(40)]
+    (folder / "Result_1.csv").write_bytes(result_file(*lines))
+    (folder / "Result_2.csv").write_bytes(result_file(*reversed(lines)))
+    (folder / "Result_3.csv").write_bytes(result_file(*lines))
+    hashes = {}
+    for size in ("128m", "100b"):  # where blocks end changes nothing
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = files.line_hash(text_grid.scan_lines(spark, str(folder))).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        hashes[size] = {r.file_name: r.attachment_hash for r in found}
+    assert hashes["128m"] == hashes["100b"]
+    one = hashes["100b"]
+    assert one["Result_1.csv"] == one["Result_3.csv"] != one["Result_2.csv"]
+    tables = Tables(spark, str(tmp_path / "db"))
+    ingest.load_files(files.scan_folder(spark, str(folder)), tables, "b", whole_file=10)
+    assert {r.filename for r in tables.read("processed_attachments").collect()} == {"Result_1.csv", "Result_2.csv"}
