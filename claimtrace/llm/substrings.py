@@ -9,7 +9,7 @@ stands for, so all tasks give equal runs and pairs the same name without asking
 symbol became depends on a few neighbours; each symbol carries the range of words that decided
 it, and when that range lies inside two equal windows, both hold the same symbol there.
 
-Three jobs, each with one shuffle of packed 64-bit numbers:
+Three jobs that shuffle packed 64-bit numbers:
 
 1. each window picks, among the symbols of the highest level decided inside it, the one whose range
    has the least hash: its anchor. About one word in nine is one. Anchors that occur once in the
@@ -20,7 +20,8 @@ Three jobs, each with one shuffle of packed 64-bit numbers:
 3. words that repeated windows cover are removed.
 
 A task sends a number once for each block of texts, so a passage in a third of all texts never
-meets in one task more than once from each. Window numbers are 64-bit hashes of all their words.
+meets in one task more than once from each. Answers go back through relays. Window numbers are
+64-bit hashes of all their words.
 
 Nulls: a null text has no words; null ids are allowed. A word of any length is one word. Texts
 that occur twice and have ``WIDTH`` words or more lose all words; repeated rows are such texts. An
@@ -30,6 +31,7 @@ empty table gives no rows. Other columns are ignored, or carried along in ``rest
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -222,25 +224,56 @@ def _anchor_rows(width: int, buckets: int):
     return run
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket, for each block its numbers that occur more than once in all rows together."""
-    keys, blocks, many = (
-        np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(c)]) for c, kind in (("keys", U64), ("blocks", np.int32), ("many", np.uint8))
-    )
-    order = np.lexsort((blocks, keys))
-    keys, blocks, many = keys[order], blocks[order], many[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    weight = np.add.reduceat(1 + many.astype(np.int64), first)
-    good = np.repeat(weight > 1, np.diff(np.concatenate([first, [len(keys)]])))
-    keys, blocks = keys[good], blocks[good]
+def _split(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values ends."""
+    return np.flatnonzero(np.concatenate([values[1:] != values[:-1], [True]])) + 1 if len(values) else np.zeros(0, np.int64)
+
+
+def _column(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
+
+
+def _repeated(side: int):
+    """Of one bucket, the numbers that occur more than once in all rows together and their blocks, by region."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, blocks, many = (_column(table, c, kind) for c, kind in (("keys", U64), ("blocks", np.int32), ("many", np.uint8)))
+        order = np.lexsort((blocks, keys))
+        keys, blocks, many = keys[order], blocks[order], many[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        weight = np.add.reduceat(1 + many.astype(np.int64), first)
+        good = np.repeat(weight > 1, np.diff(np.concatenate([first, [len(keys)]])))
+        keys, blocks = keys[good], blocks[good]
+        order = np.argsort(blocks, kind="stable")
+        keys, blocks = keys[order], blocks[order]
+        region = blocks // side
+        ends = _split(region)
+        relay = np.full(len(ends), table.column("bucket")[0].as_py() % side, np.int32)
+        made = {"region": pa.array(region[ends - 1].astype(np.int32)), "relay": pa.array(relay)}
+        return pa.table(made | {"keys": blobs(keys, ends), "blocks": blobs(blocks, ends)})
+
+    return run
+
+
+def _handed_on(table: pa.Table) -> pa.Table:
+    """The numbers of one region that some buckets found, one row for each of its blocks."""
+    keys, blocks = _column(table, "keys", U64), _column(table, "blocks", np.int32)
     order = np.argsort(blocks, kind="stable")
     keys, blocks = keys[order], blocks[order]
-    last = np.flatnonzero(np.concatenate([blocks[1:] != blocks[:-1], [True]])) if len(blocks) else np.zeros(0, np.int64)
-    return pa.table({"block": pa.array(blocks[last]), "keys": blobs(keys, last + 1)})
+    ends = _split(blocks)
+    return pa.table({"block": pa.array(blocks[ends - 1]), "keys": blobs(keys, ends)})
 
 
-def _answers(sent: DataFrame) -> DataFrame:
-    return sent.groupBy("bucket").applyInArrow(_repeated, "block int, keys binary")
+def _answers(sent: DataFrame, count: int) -> DataFrame:
+    """The repeated numbers of each block, from all buckets.
+
+    There are as many buckets as blocks, and a bucket may answer all of them. Sent straight, the rows
+    would grow with the square of their number; through relays, each for some buckets and a region of
+    blocks, they grow with its power 1.5, and a relay holds no more than a bucket on average.
+    """
+    side = math.isqrt(count - 1) + 1
+    found = sent.groupBy("bucket").applyInArrow(_repeated(side), "region int, relay int, keys binary, blocks binary")
+    return found.groupBy("region", "relay").applyInArrow(_handed_on, "block int, keys binary")
 
 
 def _by_block(docs: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
@@ -374,13 +407,13 @@ def remove(
     text = whole_text(text_col).cast("binary")
     rows = docs.select(F.pmod(F.xxhash64(F.col(id_col), text), F.lit(count)).cast("int").alias("block"), F.col(id_col).alias("id"), rest.alias("rest"), text.alias("text"))
     sent = rows.select("block", "text").mapInArrow(_anchor_rows(width, count), KEYS)
-    found = written(_answers(sent), "substring-anchors")
+    found = written(_answers(sent, count), "substring-anchors")
     shape = T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.select("id", "rest").schema), *RESULT])
     full = T.StructType([*shape, *SENT])
     second = _by_block(rows, found, parts).mapInArrow(_window_rows(width, count, texts, to_arrow_schema(full)), full)
     second = written(second, "substring-windows")
     again = second.where("kind = 2").select("bucket", "keys", "blocks", "many")
-    repeated = written(_answers(again), "substring-repeats")
+    repeated = written(_answers(again, count), "substring-repeats")
     hit = second.where("kind = 1").select("block", "id", "rest", "text")
     third = _by_block(hit, repeated, parts).mapInArrow(_removed_rows(width, texts, to_arrow_schema(shape)), shape)
     calm = second.where("kind IS NULL").select(*shape.names)
