@@ -289,6 +289,36 @@ def test_url_model_learns(spark):
     assert np.mean([(x.verdict == "block") == (x.page_id % 2 == 1) for x in got]) > 0.95
 
 
+def test_every_suffix_counts(spark, monkeypatch):
+    monkeypatch.setattr(urls, "RARE", 4)
+    hosts = [f"http://a{i}.site{i % 50}.com/{'de' if i % 50 < 25 else 'fr'}/x" for i in range(1000)] + ["http://big.org/x"] * 3000
+    hosts += [f"http://www.site{i}.com/other" for i in range(50)] + [f"http://www.new{i}.com/other" for i in range(50)] + ["http://b.hot.net/x"] * 5000
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(hosts)], "page_id long, url string")
+    rows = {r.page_id: r for r in urls.judge(pages, RULES).collect()}
+    assert len(rows) == len(hosts)
+    verdicts = [rows[4000 + i].verdict for i in range(50)]
+    assert verdicts == ["block"] * 25 + ["allow"] * 25
+
+
+def test_suffix_statistics_equal_brute_force(spark, monkeypatch):
+    r = random.Random(5)
+    given = [(i, f"http://u{i}", h, r.choice(["block", "allow", None])) for i, h in enumerate(r.choice(["a.b", "c.b", "d", "e.f", "", f"x{j}.b"]) for j in range(300))]
+    tail = lambda h, k: ".".join(h.split(".")[-k:])
+    frame = spark.createDataFrame([(i, u, v, tail(h, 1), tail(h, 2)) for i, u, h, v in given], "id long, url string, says string, suffix_1 string, suffix_2 string")
+    want = {}
+    for i, _, h, _ in given:
+        want[i] = tuple(x for k in (1, 2) for v in [[v for _, _, o, v in given if tail(o, k) == tail(h, k) and v]] for x in (len(v), v.count("block")))
+    for rare in (1, 8, 1000):
+        monkeypatch.setattr(urls, "RARE", rare)
+        got = urls._with_suffixes(frame).collect()
+        assert len(got) == 300 and {x.id: (x.n_1, x.b_1, x.n_2, x.b_2) for x in got} == want
+    labelled = frame.where("says is not null").selectExpr("*", "double(says = 'block') AS label")
+    known = labelled.withColumn("fold", urls._fold()).collect()
+    for x in urls._out_of_fold(labelled, labelled).collect():
+        others = [y for y in known if y.suffix_2 == x.suffix_2 and y.fold != x.fold]
+        assert (x.n_2, x.b_2) == (len(others), sum(y.label for y in others))
+
+
 def test_exact(docs, none):
     rows = exact.groups(docs).collect()
     best, size = {}, Counter()
