@@ -45,7 +45,10 @@ COLUMNS = (
 
 _FIELD = r',("[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'
 # Whole cells, then a quoted one without its end; possessive, so that long cells need no stack.
-_OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+),)*+"[^"]*+(?:""[^"]*+)*+$'
+_BEGUN = r'(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!")[^,]*+),)*+"[^"]*+(?:""[^"]*+)*+'
+_OPEN = "^" + _BEGUN + "$"
+# The same for a line that starts inside a quoted cell, which goes on to the end or closes first.
+_STAYS_OPEN = r'^[^"]*+(?:""[^"]*+)*+(?:"[^,]*+,' + _BEGUN + ")?$"
 _QUOTED = r'(?s)^"((?:[^"]|"")*+)"(.*)$'
 
 
@@ -104,8 +107,9 @@ def _left_open(line: Column) -> Column:
     return F.coalesce(line.contains('"') & line.rlike(_OPEN), F.lit(False))
 
 
-def _odd_quotes(line: Column) -> Column:
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+def _stays_open(line: Column) -> Column:
+    """Whether a record that is inside a quoted cell where the line starts goes on after the line."""
+    return F.coalesce(~line.contains('"') | line.rlike(_STAYS_OPEN), F.lit(True))
 
 
 def file_facts(lines: DataFrame, names: Sequence[str] = COLUMNS) -> DataFrame:
@@ -173,27 +177,59 @@ def _with_facts(lines: DataFrame, facts: DataFrame, small: bool, big_file: int)
 def join_spanning(lines: DataFrame) -> DataFrame:
     """Records of several lines put together; ``lines`` come from files that have such records.
 
-    A line starts a record when the quotes before it in the file balance. That is a
-    running count, taken within each block and carried from block to block, so no
-    task sees a whole file. A record beyond ``RECORD_LIMIT`` stays in pieces, marked in
-    ``broken``: its file cannot be read.
+    Whether a cell is open after a line depends on the line and on whether one was open
+    before it: a line settles that, keeps it, or turns it around. So the state is that of
+    the last line that settles it, turned around by each later line that does; both are
+    running values within a block, carried from block to block, and no task sees a whole
+    file. A record beyond ``RECORD_LIMIT`` stays in pieces, marked in ``broken``: its file
+    cannot be read.
     """
-    odd = _odd_quotes(F.col("line")).cast("int")
     in_block = Window.partitionBy("path", "block").orderBy("row")
     up_to_here = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     over_blocks = Window.partitionBy("path").orderBy("block")
     earlier_blocks = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
 
-    counted = lines.withColumn("_odd", odd)
-    offsets = (
+    def state(settled: str, turns: str) -> Column:
+        """Whether a cell is open; none is at the start of a file."""
+        last = F.col(settled)
+        since = F.col(turns) - F.coalesce(last["turns"], F.lit(0))
+        return (F.coalesce(last["open"].cast("int"), F.lit(0)) + since) % 2 == 1
+
+    counted = (
+        lines.withColumn("_if_closed", _left_open(F.col("line")))
+        .withColumn("_if_open", _stays_open(F.col("line")))
+        .withColumn("_turn", (F.col("_if_closed") & ~F.col("_if_open")).cast("int"))
+        .withColumn("_turns", F.sum("_turn").over(up_to_here))
+    )
+    settles = F.when(
+        F.col("_if_closed") == F.col("_if_open"),
+        F.struct(F.col("_turns").alias("turns"), F.col("_if_closed").alias("open")),
+    )
+    counted = counted.withColumn("_settled", F.last(settles, True).over(up_to_here))
+    # Turns of a block are counted on from those of the blocks before.
+    blocks = (
         counted.groupBy("path", "block")
-        .agg(F.sum("_odd").alias("_sum"))
+        .agg(F.max("_turns").alias("_sum"), F.max_by("_settled", "row").alias("_settled"))
         .withColumn("_offset", F.coalesce(F.sum("_sum").over(earlier_blocks), F.lit(0)))
-        .select("path", "block", "_offset")
     )
-    placed = counted.join(offsets, ["path", "block"]).withColumn(
-        "_starts",
-        (F.col("_offset") + F.sum("_odd").over(up_to_here) - F.col("_odd")) % 2 == 0,
+    shifted = F.when(
+        F.col("_settled").isNotNull(),
+        F.struct((F.col("_settled.turns") + F.col("_offset")).alias("turns"), F.col("_settled.open").alias("open")),
+    )
+    blocks = (
+        blocks.withColumn("_own", shifted)
+        .withColumn("_before", F.last("_own", True).over(earlier_blocks))
+        .withColumn("_was_open", state("_before", "_offset"))
+    )
+    offsets = blocks.select("path", "block", "_was_open")
+    # Open after the line; without a settling line before it in the block, that of the block's start counts.
+    here = F.when(F.col("_settled").isNotNull(), state("_settled", "_turns")).otherwise(
+        F.col("_was_open") != (F.col("_turns") % 2 == 1)
+    )
+    placed = (
+        counted.join(offsets, ["path", "block"])
+        .withColumn("_open", here)
+        .withColumn("_starts", ~F.coalesce(F.lag("_open").over(in_block), F.col("_was_open")))
     )
     placed = placed.withColumn(
         "_start_row", F.max(F.when(F.col("_starts"), F.col("row"))).over(up_to_here)

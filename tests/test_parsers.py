@@ -163,6 +163,15 @@ def test_no_cell_is_too_long(spark, tmp_path):
     assert rows == {"A": (False, 100_001), "B": (False, 200_000)}
 
 
+def test_a_stray_quote_beside_a_record_of_two_lines(spark, tmp_path):
+    text = 'order_number,note,order_status\n1,"two\nlines",COMPLETED\n2,5" pipe,COMPLETED\n3,,INCOMPLETE\n4,,COMPLETED\n'
+    grid = grid_of(spark, tmp_path, "all_orders.csv", text.encode())
+    assert [(r.cells, r.broken) for r in grid.orderBy("block", "row").collect()] == [
+        (["1", "two\nlines", "COMPLETED"], False), (["2", '5" pipe', "COMPLETED"], False),
+        (["3", "", "INCOMPLETE"], False), (["4", "", "COMPLETED"], False),
+    ]
+
+
 def test_big_and_small_files_meet_their_facts(spark, tmp_path):
     for i in range(3):
         head = "order_number,order_status" if i else "order_status,order_number"
