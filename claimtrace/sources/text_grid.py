@@ -27,8 +27,6 @@ SPREAD = 4096
 
 # Fixed value: byte order mark.
 BYTE_ORDER_MARK = "\ufeff"
-# A record of several lines that grows beyond this comes from a quote never closed.
-RECORD_LIMIT = 8 << 20
 # Normalised names of the columns that are read.
 COLUMNS = (
     "order_number",
@@ -181,12 +179,15 @@ def join_spanning(lines: DataFrame) -> DataFrame:
     before it: a line settles that, keeps it, or turns it around. So the state is that of
     the last line that settles it, turned around by each later line that does; both are
     running values within a block, carried from block to block, and no task sees a whole
-    file. A record beyond ``RECORD_LIMIT`` stays in pieces, marked in ``broken``: its file
-    cannot be read.
+    file. A file that ends inside a quoted cell has a quote that was never closed: its lines
+    stay in pieces, marked in ``broken``, and it cannot be read. Else a record may have any
+    length that one text can have.
     """
     in_block = Window.partitionBy("path", "block").orderBy("row")
     up_to_here = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     over_blocks = Window.partitionBy("path").orderBy("block")
+    up_to_block = over_blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    all_blocks = over_blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     earlier_blocks = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
 
     def state(settled: str, turns: str) -> Column:
@@ -196,8 +197,13 @@ def join_spanning(lines: DataFrame) -> DataFrame:
         return (F.coalesce(last["open"].cast("int"), F.lit(0)) + since) % 2 == 1
 
     counted = (
-        lines.withColumn("_if_closed", _left_open(F.col("line")))
-        .withColumn("_if_open", _stays_open(F.col("line")))
+        lines.select(
+            "path",
+            "block",
+            "row",
+            _left_open(F.col("line")).alias("_if_closed"),
+            _stays_open(F.col("line")).alias("_if_open"),
+        )
         .withColumn("_turn", (F.col("_if_closed") & ~F.col("_if_open")).cast("int"))
         .withColumn("_turns", F.sum("_turn").over(up_to_here))
     )
@@ -219,9 +225,13 @@ def join_spanning(lines: DataFrame) -> DataFrame:
     blocks = (
         blocks.withColumn("_own", shifted)
         .withColumn("_before", F.last("_own", True).over(earlier_blocks))
+        .withColumn("_after", F.last("_own", True).over(up_to_block))
+        .withColumn("_all", F.col("_offset") + F.col("_sum"))
         .withColumn("_was_open", state("_before", "_offset"))
+        .withColumn("_ends_open", state("_after", "_all"))
     )
-    offsets = blocks.select("path", "block", "_was_open")
+    blocks = blocks.withColumn("broken", F.last("_ends_open").over(all_blocks))
+    offsets = blocks.select("path", "block", "_was_open", "broken")
     # Open after the line; without a settling line before it in the block, that of the block's start counts.
     here = F.when(F.col("_settled").isNotNull(), state("_settled", "_turns")).otherwise(
         F.col("_was_open") != (F.col("_turns") % 2 == 1)
@@ -229,7 +239,10 @@ def join_spanning(lines: DataFrame) -> DataFrame:
     placed = (
         counted.join(offsets, ["path", "block"])
         .withColumn("_open", here)
-        .withColumn("_starts", ~F.coalesce(F.lag("_open").over(in_block), F.col("_was_open")))
+        .withColumn(
+            "_starts",
+            F.col("broken") | ~F.coalesce(F.lag("_open").over(in_block), F.col("_was_open")),
+        )
     )
     placed = placed.withColumn(
         "_start_row", F.max(F.when(F.col("_starts"), F.col("row"))).over(up_to_here)
@@ -240,40 +253,32 @@ def join_spanning(lines: DataFrame) -> DataFrame:
         .withColumn("_carried", F.max("_last").over(earlier_blocks))
         .select("path", "block", "_carried")
     )
-    named = placed.join(carried, ["path", "block"]).withColumn(
-        "_record",
-        F.when(
-            F.col("_start_row").isNotNull(),
-            F.struct(F.col("block"), F.col("_start_row").alias("row")),
-        ).otherwise(F.col("_carried")),
-    )
-    sizes = named.groupBy("path", "_record").agg(
-        F.sum(F.length("line") + 1).alias("_size"),
-        F.count(F.lit(1)).alias("_pieces"),
-    )
-    broken_files = (
-        sizes.filter((F.col("_pieces") > 1) & (F.col("_size") > RECORD_LIMIT))
-        .select("path")
-        .distinct()
+    record = F.when(
+        F.col("_start_row").isNotNull(),
+        F.struct(F.col("block"), F.col("_start_row").alias("row")),
+    ).otherwise(F.col("_carried"))
+    named = placed.join(carried, ["path", "block"]).select(
+        "path", "block", "row", record.alias("_record"), "broken"
     )
-    fine = named.join(broken_files, "path", "left_anti")
     rest = [c for c in lines.columns if c not in ("path", "block", "row", "line")]
-    joined = fine.groupBy("path", "_record").agg(
-        *[F.first(c).alias(c) for c in rest],
-        F.array_sort(F.collect_list(F.struct("block", "row", "line"))).alias("_lines"),
+    # The texts are shuffled only here: to their record, and with it.
+    joined = (
+        lines.join(named, ["path", "block", "row"])
+        .groupBy("path", "_record")
+        .agg(
+            *[F.first(c).alias(c) for c in rest],
+            F.array_sort(F.collect_list(F.struct("block", "row", "line"))).alias("_lines"),
+            F.first("broken").alias("broken"),
+        )
     )
-    whole = joined.select(
+    return joined.select(
         "path",
         F.col("_record.block").alias("block"),
         F.col("_record.row").alias("row"),
         *rest,
         F.array_join(F.col("_lines.line"), "\n").alias("line"),
-        F.lit(False).alias("broken"),
-    )
-    pieces = named.join(broken_files, "path", "left_semi").select(
-        "path", "block", "row", *rest, "line", F.lit(True).alias("broken")
+        "broken",
     )
-    return whole.unionByName(pieces)
 
 
 def grid_from_lines(

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from claimtrace.sources import files, header, parsers, text_grid, workbook
+from claimtrace.sources.tables import durable
 from pyspark.sql import functions as F
 
 from registry.workbooks import write_workbook
@@ -172,6 +174,58 @@ def test_a_stray_quote_beside_a_record_of_two_lines(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("block", [1 << 20, 256])
+def test_records_equal_a_reader_of_signs(spark, tmp_path, block):
+    r = random.Random(block)
+    signs = ["a", "b", ",", ",", '"', '"', '""', "\n", "\n", ',"', '",']
+    wanted = {}
+    for i in range(40):
+        text = "h,i\n" + "".join(r.choice(signs) for _ in range(r.choice([12, 60, 900]))) + "\n"
+        records, record, inside, start, j = [], "", False, True, 0
+        while j < len(text):
+            c = text[j]
+            if inside and text[j : j + 2] == '""':
+                record, j = record + '""', j + 2
+                continue
+            if c == "\n" and not inside:
+                records, record, start = [*records, record], "", True
+            else:
+                record += c
+                if c == '"':
+                    inside = not inside if inside or start else inside
+                start = c == "," and not inside
+            j += 1
+        broken = inside
+        (tmp_path / f"f{i:02d}.csv").write_text(text)
+        wanted[f"f{i:02d}.csv"] = (broken, [] if broken else [x for x in records[1:] if x])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        lines = durable(text_grid.scan_lines(spark, str(tmp_path)))
+        joined = text_grid.join_spanning(lines).orderBy("file_name", "block", "row").collect()
+        flat = text_grid.grid_from_lines(lines).select("file_name", "broken").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert any(b for b, _ in wanted.values()) and not all(b for b, _ in wanted.values())
+    for name, (broken, records) in wanted.items():
+        mine = [x for x in joined if x.file_name == name]
+        assert {x.broken for x in mine} == {broken}
+        if not broken:
+            assert [x.line for x in mine if x.line][1:] == records
+            assert sum(x.file_name == name for x in flat) == len(records)
+
+
+def test_a_record_of_many_lines_may_be_large(spark, tmp_path):
+    cell = "x" * 99_999 + "\n"
+    text = "order_number,order_status,note\nA,Perfect,\"" + cell * 90 + '"\nB,Short,\n'
+    (tmp_path / "all_orders_1.csv").write_text(text)
+    (tmp_path / "all_orders_2.csv").write_text('order_number,order_status\nC,Short\n"D,Short\n')
+    grid = text_grid.scan_csv(spark, str(tmp_path))
+    rows = sorted((r.file_name, r.cells[0], r.broken, len(r.cells[-1])) for r in grid.collect())
+    assert rows[:2] == [("all_orders_1.csv", "A", False, 9_000_000), ("all_orders_1.csv", "B", False, 0)]
+    assert {x[2] for x in rows[2:]} == {True} and len(rows) > 2
+
+
 def test_big_and_small_files_meet_their_facts(spark, tmp_path):
     for i in range(3):
         head = "order_number,order_status" if i else "order_status,order_number"
