@@ -134,6 +134,14 @@ TABLES = {
     "load_audit": LOAD_AUDIT,
 }
 
+# Status rows as loaded, for shipments that come later; kept beside the tables above.
+STATUS_ROWS = T.StructType(
+    _schema(("order_number", _TEXT), ("order_status", _TEXT), ("by_suffix", T.BooleanType())).fields
+    + SEQ.fields
+    + _schema(("applied_at", _TIME)).fields
+)
+STORED = {**TABLES, "status_rows": STATUS_ROWS}
+
 # Length limits of the stored text columns; see ``over_long``.
 TEXT_LIMITS = {
     "shipments": {

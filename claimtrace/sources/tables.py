@@ -90,7 +90,7 @@ class Tables:
         return f"{self.root}/{name}"
 
     def _stored_schema(self, name: str) -> T.StructType:
-        fields = list(schemas.TABLES[name].fields)
+        fields = list(schemas.STORED[name].fields)
         if name in MONTH_OF:
             fields.append(T.StructField(MONTH, T.StringType()))
         return T.StructType(fields)
@@ -107,15 +107,15 @@ class Tables:
 
     def read(self, name: str) -> DataFrame:
         """A table; empty before its first load. Columns added later read as NULL."""
-        return self.stored(name).select(*schemas.TABLES[name].fieldNames())
+        return self.stored(name).select(*schemas.STORED[name].fieldNames())
 
     def read_months(self, name: str, months: Sequence[str]) -> DataFrame:
         """The rows of some months; other partitions are not read."""
         stored = self.stored(name).filter(F.col(MONTH).isin(*months))
-        return stored.select(*schemas.TABLES[name].fieldNames())
+        return stored.select(*schemas.STORED[name].fieldNames())
 
     def _writer(self, name: str, df: DataFrame):
-        shaped = schemas.conform(df, schemas.TABLES[name])
+        shaped = schemas.conform(df, schemas.STORED[name])
         if name not in MONTH_OF:
             return shaped.write
         # One month per task at first; AQE splits months that are large.
@@ -143,7 +143,7 @@ class Tables:
 
     def reset(self) -> None:
         """Empties all tables."""
-        for name, schema in schemas.TABLES.items():
+        for name, schema in schemas.STORED.items():
             self.replace(name, self.spark.createDataFrame([], schema))
 
 

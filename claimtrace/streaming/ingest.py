@@ -162,12 +162,42 @@ def _update_statuses(tables: Tables, rows: DataFrame, by_suffix: bool) -> DataFr
     """
     update = merge.update_status_suffix if by_suffix else merge.update_status
     before = tables.stored("shipments").withColumn("_before", F.col("order_status"))
-    after = update(before, rows, small=is_small(rows))
+    _rewrite_changed(tables, update(before, rows, small=is_small(rows)))
+    last = rows.groupBy("order_number").agg(F.max_by(F.struct("order_status", "seq"), "seq").alias("_last"))
+    kept = last.select("order_number", "_last.order_status", "_last.seq.*")
+    kept = kept.withColumns({"by_suffix": F.lit(by_suffix), "applied_at": F.current_timestamp()})
+    tables.append("status_rows", kept)
+    return _count_row(rows)
+
+
+def _rewrite_changed(tables: Tables, after: DataFrame) -> None:
     changed = after.filter(~F.col("order_status").eqNullSafe(F.col("_before")))
     months = months_of(changed, "shipments")
     if months:
         tables.rewrite_months("shipments", after.filter(F.col(MONTH).isin(*months)))
-    return _count_row(rows)
+
+
+def _apply_kept_statuses(tables: Tables) -> None:
+    """Gives shipments without a status the one that earlier loads had for them.
+
+    As within one load, exact numbers come first and suffixes win; of rows alike, the
+    one loaded last counts. A shipment that has a status met its rows before.
+    """
+    place = F.struct("applied_at", "file_name", "block", "row")
+    kept = tables.read("status_rows").withColumn("seq", place)
+    kept = durable(
+        kept.groupBy("by_suffix", "order_number").agg(
+            F.max_by("order_status", "seq").alias("order_status"), F.max("seq").alias("seq")
+        )
+    )
+    if kept.isEmpty():
+        return
+    before = tables.stored("shipments").withColumn("_before", F.col("order_status"))
+    after = before
+    for by_suffix, update in ((False, merge.update_status), (True, merge.update_status_suffix)):
+        rows = kept.filter(F.col("by_suffix") == by_suffix).drop("by_suffix")
+        after = update(after, rows, small=is_small(rows))
+    _rewrite_changed(tables, after.withColumn("order_status", F.coalesce("_before", "order_status")))
 
 
 def _upsert_claims(tables: Tables, rows: DataFrame) -> DataFrame:
@@ -304,7 +334,7 @@ def load_files(
     ``files`` comes from ``scan_folder`` or ``read_files``; names must be unique in it.
 
     Shipments come first, then the statuses that refer to them, then credits and
-    claims. A file that cannot be read or holds an over-long text is left out as a
+    claims. Statuses are kept, so that shipments of a later load get them too. A file that cannot be read or holds an over-long text is left out as a
     whole, is not marked as processed, and does not stop the others.
     """
     spark = files.sparkSession
@@ -332,6 +362,7 @@ def load_files(
     counts = []
     if (rows := good("shipments_csv")) is not None:
         counts.append(durable(_load_shipments(tables, rows)))
+        _apply_kept_statuses(tables)
     if (rows := good("order_status_csv")) is not None:
         counts.append(durable(_update_statuses(tables, rows, by_suffix=False)))
     if (rows := good("order_level_csv")) is not None:

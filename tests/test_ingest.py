@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 from decimal import Decimal
 
@@ -155,6 +156,30 @@ def test_two_batches_equal_one(spark, loaded, tmp_path):
     assert state(split) == before
 
 
+def test_statuses_that_come_before_their_shipments(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    given = {
+        "AllOrders_1.csv": csv("Order_Number,Order_Status", "6187654321,Short", "6100,Perfect", "6155555555,Short"),
+        "AllOrders_2.csv": csv("Order_Number,Order_Status", "6187654321,Perfect"),
+        "order_level_1.csv": FILES["order_level_1.csv"],
+        "Result_1.csv": FILES["Result_1.csv"],
+        "Result_2.csv": result_file("6187654321,p9,HSNR,S2,2025-06-02", "6155555555,p4,x,S,2025-04-03", "6999999999,p8,x,S,2025-04-03"),
+    }
+    for i, (name, content) in enumerate(given.items()):
+        (folder / name).write_bytes(content)
+        os.utime(folder / name, (1_700_000_000 + 100 * i,) * 2)
+    found = []
+    for batch in (1, 64):
+        tables = Tables(spark, str(tmp_path / f"db{batch}"))
+        run(spark, folder, tables, tmp_path / f"progress{batch}", files_per_batch=batch)
+        found.append({r.sscc18: r.order_status for r in tables.read("shipments").collect()})
+    assert found[0] == found[1]
+    assert found[0] == {"p1": "Perfect", "p2": "Perfect", "p3": None, "p4": "Short", "p8": None, "p9": "Perfect"}
+    tables.reset()
+    assert tables.read("status_rows").count() == 0
+
+
 def test_manual_upload_twice_and_claim_update(spark, tmp_path):
     folder = tmp_path / "in"
     write(folder, ["CS_RMA_1.xlsx"])
