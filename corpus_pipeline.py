@@ -21,11 +21,18 @@ REST = ("lang", "source", "n_chars")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are surely of no learned language go: no letters, or no likely language."""
+    """Documents that are surely of no learned language go: no letters, or no likely language.
+
+    Without labels no language is learned, and only those without letters go.
+    """
     docs = docs.select(*COLUMNS)
     model = language.fit(docs.where(~language.held_out("doc_id")))
     found = language.predicted(docs, model)
-    return found.where(language.accepted(F.col("language.lang_pred"), F.col("language.score"))).select(*COLUMNS)
+    if model.languages:
+        keep = language.accepted(F.col("language.lang_pred"), F.col("language.score"))
+    else:
+        keep = F.col("language.score") < 1  # only a text without features is surely of none
+    return found.where(keep).select(*COLUMNS)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers as P
 import pytest
@@ -238,6 +239,14 @@ def test_language(spark, docs, none):
     assert nothing.predict("abc") == ("und", 0.0) and language.predicted(none, model).count() == 0
 
 
+def test_pipeline_without_labels_keeps_texts_with_letters(spark):
+    rows = [(1, "clean words", None, "s", 11), (2, "", None, "s", 0), (3, None, None, "s", 0), (4, "12 34 !?", None, "s", 8), (None, "more words", None, "s", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.identify_language(spark, docs, "")
+    want = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(want, key=str)
+
+
 def test_features_of_pieces_equal_the_whole(monkeypatch):
     text = prose(4, 500) + " ÀÉ日本 x"
     whole = language.counts(text)
