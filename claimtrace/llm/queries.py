@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtrace.llm import bpe, exact, fingerprints, language, near, packing, sharding, substrings, token_counts, urls
+from claimtrace.llm import bpe, exact, fingerprints, language, near, packing, secrets, sharding, substrings, token_counts, urls
 
 WORDS = "word_bpe_49k.json"
 # The rules of the URL filter.
@@ -73,6 +73,40 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.label(_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE]
+    counts = [F.size(secrets.of_kinds(F.col("spans"), [k])).cast("long").alias(f"n_{k}") for k in base]
+    digest = F.sha2(secrets.listed(secrets.of_kinds(F.col("spans"), base)), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+def _secrets_sql() -> str:
+    """Between the pieces that a regex splits a text into lie its matches; their lengths give the places."""
+
+    def hits(i: int, rule: secrets.Rule) -> str:
+        find, keep = (x and x.replace("'", "''") for x in (rule.find, rule.keep))
+        return f"""
+SELECT rid, first + length(hit) AS stop, first AS start, {i} AS rule, '{rule.kind}' AS kind FROM (
+  SELECT rid, hit, sum(length(piece)) OVER w + coalesce(sum(length(hit)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
+  FROM (SELECT rid, unnest(string_split_regex(text, '{find}')) AS piece, unnest(regexp_extract_all(text, '{find}')) AS hit,
+    unnest(range(len(string_split_regex(text, '{find}')))) AS n FROM texts)
+  WINDOW w AS (PARTITION BY rid ORDER BY n))
+WHERE hit IS NOT NULL{f" AND regexp_full_match(hit, '{keep}')" if keep else ""}"""
+
+    base = len(secrets.BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    every = " UNION ALL ".join(hits(i, r) for i, r in enumerate(secrets.RULES))
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
+hits AS (SELECT *, concat(kind, ':', start, ':', stop) AS span FROM ({every}))
+SELECT any_value(doc_id) AS doc_id, {counts},
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rule) FILTER (rule < {base}), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, rule), '') AS spans
+FROM texts LEFT JOIN hits USING (rid) GROUP BY rid
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -84,9 +118,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_secret_scan": op11_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_secret_scan": _secrets_sql(),
     "op8_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
