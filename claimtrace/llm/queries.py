@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtrace.llm import bpe, exact, fingerprints, language, near, packing, secrets, sharding, substrings, token_counts, urls
+from claimtrace.llm import bpe, exact, fingerprints, language, near, packing, secrets, sharding, substrings, token_counts, trie, urls
+from claimtrace.llm.common import written
 
 WORDS = "word_bpe_49k.json"
 # The rules of the URL filter.
@@ -81,6 +82,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = written(trie.turns(_table(spark, sf_dir, "conversations")), "trie-turns")
+    return trie.nodes(trie.shared_openings(held))
+
+
 def _secrets_sql() -> str:
     """Between the pieces that a regex splits a text into lie its matches; their lengths give the places."""
 
@@ -107,6 +113,42 @@ FROM texts LEFT JOIN hits USING (rid) GROUP BY rid
 """
 
 
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a short ASCII text, bit by bit."""
+    byte = "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda r, i: xor(r >> 1, (r & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)), {byte}), 4294967295)"
+
+
+_TRIE_SQL = f"""
+WITH held AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ranked AS (
+  SELECT c, role, text,
+    row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, substr(sha256(length(role) || ':' || role || text), 1, 32)) AS place
+  FROM held),
+convs AS (
+  SELECT c, c - ((c % 100) + 100) % 100 AS base, {_crc32_sql("c::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT c FROM held)),
+rebuilt AS (
+  SELECT v.c, o.place, o.role, o.text FROM convs v JOIN ranked o ON o.c = v.base AND o.place <= v.h
+  UNION ALL SELECT v.c, o.place + 6, o.role, o.text FROM convs v JOIN ranked o ON o.c = v.c AND o.place > v.h),
+paths AS (
+  SELECT c, row_number() OVER w AS depth, length(text) AS chars,
+    sha256(string_agg(concat(length(role), ':', role, length(text), ':', text), '') OVER w) AS node
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY place)
+  UNION ALL SELECT c, 0, 0, 'root' FROM convs),
+marked AS (SELECT *, depth = max(depth) OVER (PARTITION BY c) AS last FROM paths),
+nodes AS (
+  SELECT node, depth, min(c) AS owner, count(*) AS n, any_value(chars) AS chars, count(*) FILTER (last) AS ends,
+    string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last) AS ids
+  FROM marked GROUP BY node, depth),
+sums AS (
+  SELECT a.node, sum((v.n - 1) * v.chars) AS saved, count(*) FILTER (v.n = v.ends) AS leaves, count(*) FILTER (v.depth = a.depth + 1) AS children
+  FROM nodes v JOIN paths a ON a.c = v.owner AND a.depth <= v.depth GROUP BY a.node)
+SELECT v.owner AS conv_id, v.depth, q.owner AS parent_conv_id, v.n AS n_convs, children AS n_children, leaves AS n_leaves,
+  saved AS saved_tokens, sha256(coalesce(v.ids, '')) AS ends_sha256
+FROM nodes v JOIN sums USING (node) LEFT JOIN paths p ON p.c = v.owner AND p.depth = v.depth - 1 LEFT JOIN nodes q ON q.node = p.node
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -119,10 +161,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_secret_scan": op11_secret_scan,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op11_secret_scan": _secrets_sql(),
+    "op12_prefix_trie": _TRIE_SQL,
     "op8_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
