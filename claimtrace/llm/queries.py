@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimtrace.llm import bpe, exact, fingerprints, language, near, packing, secrets, sharding, substrings, token_counts, trie, urls
+from claimtrace.llm import bpe, exact, fingerprints, language, near, packing, repair, secrets, sharding, substrings, token_counts, trie, urls
 from claimtrace.llm.common import written
 
 WORDS = "word_bpe_49k.json"
@@ -87,6 +87,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(trie.shared_openings(held))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.reports(repair.repair(repair.damaged(_table(spark, sf_dir, "conversations"))))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def _secrets_sql() -> str:
     """Between the pieces that a regex splits a text into lie its matches; their lengths give the places."""
 
@@ -149,6 +154,74 @@ SELECT v.owner AS conv_id, v.depth, q.owner AS parent_conv_id, v.n AS n_convs, c
 FROM nodes v JOIN sums USING (node) LEFT JOIN paths p ON p.c = v.owner AND p.depth = v.depth - 1 LEFT JOIN nodes q ON q.node = p.node
 """
 
+def _repair_sql() -> str:
+    """Plain dynamic programming, row by row from the end: for each state the cheapest (cost, letters, text)."""
+
+    def option(cost: str, letter: str, to: str, line: str) -> str:
+        return f"{{'c': {to}.c + {cost}, 'a': '{letter}' || {to}.a, 't': {line} || {to}.t}}"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    after = {"n": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}  # states: nothing yet, or the last initial
+    far = "{'c': 1000000, 'a': '', 't': ''}"
+    names = {"u": "user", "a": "assistant"}
+    steps, inserts = [], []
+    for state, to in after.items():
+        options = [option("3", "D", f"g.{state}", "''")]
+        wanted = next(i for i in to if i != "s")
+        for initial, then in to.items():
+            options.append(f"CASE WHEN NOT must AND left(role, 1) = '{initial}' THEN {option('cut', 'K', f'g.{then}', "chr(10) || role || ':' || text")} ELSE {far} END")
+        options.append(f"CASE WHEN NOT must THEN {option('2 + cut', 'R', f'g.{wanted}', f"chr(10) || '{names[wanted]}:' || text")} ELSE {far} END")
+        steps.append(f"{least(*options)} AS {state}")
+    for state, wanted in (("u", "a"), ("a", "u")):
+        inserts.append(f"{least(f'b.{state}', option('2', 'I', f'b.{wanted}', f"chr(10) || '{names[wanted]}:'"))} AS {state}")
+    opened = [f"{least(f'b.{state}', option('2', 'I', 'u', "chr(10) || 'user:'"))} AS {state}" for state in "ns"]
+    last = {
+        "n": "{'c': 0, 'a': '', 't': ''}",
+        "s": "{'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}",
+        "u": "{'c': 2, 'a': 'I', 't': chr(10) || 'assistant:'}",
+        "a": "{'c': 0, 'a': '', 't': ''}",
+    }
+    key = "concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))"
+    return f"""
+WITH RECURSIVE held AS (
+  SELECT coalesce(conv_id::VARCHAR, ' ') AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32_sql(key)} % 20 AS kind
+  FROM conversations),
+hurt AS (
+  SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM held WHERE kind <> 0),
+placed AS (
+  SELECT c, turn, CASE WHEN role = '' THEN ' ' ELSE role END AS first, role, text,
+    row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, substr(sha256(length(role) || ':' || role || text), 1, 32), copy) AS i,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid
+  FROM hurt),
+judged AS (
+  SELECT *, solid = '' AS blank, solid <> '' AND row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS duplicate,
+    left(lag(first) OVER (PARTITION BY c ORDER BY i), 1) || left(first, 1) AS pair
+  FROM placed),
+rows AS (
+  SELECT *, blank OR duplicate AS must, (NOT blank AND NOT duplicate AND right(solid, 1) NOT IN ('.', '!', '?'))::INT AS cut FROM judged),
+dp AS (
+  SELECT c, max(i) + 1 AS i, {{'n': {last["n"]}, 's': {last["s"]}, 'u': {last["u"]}, 'a': {last["a"]}}} AS g FROM rows GROUP BY c
+  UNION ALL
+  SELECT c, i, {{'n': n, 's': s, 'u': u, 'a': a}} FROM (
+    SELECT c, i, {", ".join(opened)}, u, a FROM (
+      SELECT c, i, b, {", ".join(inserts)} FROM (
+        SELECT c, i, {{'n': n, 's': s, 'u': u, 'a': a}} AS b FROM (
+          SELECT r.c, r.i, {", ".join(steps)} FROM dp JOIN rows r ON r.c = dp.c AND r.i = dp.i - 1))))),
+best AS (SELECT c, g.n AS b FROM dp WHERE i = 1),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    sum(cut) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY c)
+SELECT k.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit, sha256(coalesce(substr(b.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM held) k LEFT JOIN counts USING (c) LEFT JOIN best USING (c)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -162,11 +235,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_secret_scan": op11_secret_scan,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 ORACLES: dict[str, str] = {
     "op11_secret_scan": _secrets_sql(),
     "op12_prefix_trie": _TRIE_SQL,
+    "op13_structure_repair": _repair_sql(),
     "op8_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
