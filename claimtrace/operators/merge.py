@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from claimtrace import schemas
 from claimtrace.operators.lookup import HOT_ROWS, attach
+from claimtrace.operators.suffix import match_numbers
 
 SHIPMENT_KEY = ("sscc18", "order_id")
 RMA_KEY = ("carrier_bp", "credit", "count")
@@ -280,65 +281,16 @@ def _status_counts(joined: DataFrame) -> DataFrame:
     )
 
 
-def _suffix_hits(shipments: DataFrame, rows: DataFrame, hot_rows: int) -> DataFrame:
-    """Every (order, status row) pair of the suffix update, at most one row per order and number.
-
-    A number equal to an order touches only that order; a number equal to none
-    touches all orders that end with it.
-    """
-    numbers = _last_status(rows)
-    orders = _orders(shipments)
-    exact = numbers.join(orders, F.col("order_number") == F.col("order_id"))
-    rest = numbers.join(orders, F.col("order_number") == F.col("order_id"), "left_anti")
-    # Only the lengths in use are cut off; a scalar subquery with one short array.
-    lengths = rest.agg(F.collect_set(F.length("order_number")).alias("lengths"))
-    tails = (
-        orders.withColumn("_lengths", lengths.scalar())
-        .select("order_id", "rows", F.explode("_lengths").alias("_length"))
-        .filter(F.col("_length") < F.length("order_id"))
-        .withColumn("_tail", F.right(F.col("order_id"), F.col("_length")))
-    )
-    packed = rest.select(
-        F.col("order_number").alias("_number"),
-        F.struct("order_number", "status", "last_seq", "n").alias("_row"),
-    )
-    by_tail = attach(
-        tails, {"_row": F.col("_tail")}, packed, "_number", "_row", ("order_id", "_length"), hot_rows
-    ).filter(F.col("_row").isNotNull())
-    columns = ["order_id", "rows", "order_number", "status", "last_seq", "n"]
-    return exact.select(*columns).unionByName(
-        by_tail.select("order_id", "rows", "_row.*").select(*columns)
-    )
-
-
-def _update_suffix_small(shipments: DataFrame, rows: DataFrame) -> DataFrame:
-    """The suffix update for few status rows: scans of the shipments, no shuffle of them."""
+def _by_suffix(shipments: DataFrame, rows: DataFrame) -> DataFrame:
+    """What the suffix update says about each order and meets with each number; see ``match_numbers``."""
     numbers = _last_status(rows).select(
-        "order_number", F.struct("last_seq", "status").alias("_set")
+        "order_number",
+        F.lit(True).alias("by_suffix"),
+        F.lit(None).cast("boolean").alias("is_order"),
+        "status",
+        F.col("last_seq").alias("seq"),
     )
-    # At most one row per number.
-    present = (
-        shipments.select(F.col("order_id").alias("order_number"))
-        .join(F.broadcast(numbers.select("order_number")), "order_number", "left_semi")
-        .distinct()
-    )
-    rest = numbers.join(present, "order_number", "left_anti")
-    lengths = sorted(
-        r.n for r in rest.select(F.length("order_number").alias("n")).distinct().collect()
-    )
-    found = attach(
-        shipments, {"_exact": F.col("order_id")}, numbers, "order_number", "_set", (), small=True
-    )
-    tails = {
-        f"_tail_{n}": F.when(F.length("order_id") > n, F.right(F.col("order_id"), F.lit(n)))
-        for n in lengths
-    }
-    found = attach(found, tails, rest, "order_number", "_set", (), small=True)
-    # The latest of the rows that apply; NULLs are passed over.
-    sets = F.array_max(F.array(F.col("_exact"), *[F.col(c) for c in tails]))
-    return found.withColumn(
-        "order_status", F.coalesce(sets["status"], F.col("order_status"))
-    ).drop("_exact", *tails)
+    return match_numbers(_orders(shipments), numbers)
 
 
 def update_status_suffix(
@@ -346,27 +298,21 @@ def update_status_suffix(
 ) -> DataFrame:
     """Shipments after the status rows, matched exactly or, failing that, by suffix.
 
-    With ``small``, the caller has checked that the status rows are few; they are
-    broadcast, once per length of the numbers that match no order.
+    A number equal to an order touches only that order; a number equal to none touches all orders that
+    end with it. Blank numbers touch nothing. ``small`` changes nothing: few numbers can still touch many orders.
     """
-    if small:
-        return _update_suffix_small(shipments, rows)
-    hits = _suffix_hits(shipments, rows, hot_rows)
-    status = hits.groupBy("order_id").agg(F.max_by("status", "last_seq").alias("status"))
-    return _with_status(shipments, status, hot_rows)
+    found = _by_suffix(shipments, rows).filter(~F.col("is_number") & F.col("status").isNotNull())
+    return _with_status(shipments, found.select(F.col("text").alias("order_id"), "status"), hot_rows)
 
 
 def update_status_suffix_stats(
     shipments: DataFrame, rows: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Counts as for ``update_status_stats``."""
-    touched = (
-        _suffix_hits(shipments, rows, hot_rows)
-        .groupBy("order_number")
-        .agg(F.sum("rows").alias("rows"))
-    )
-    numbers = _last_status(rows)
-    return _status_counts(numbers.join(touched, "order_number", "left").select("n", "rows"))
+    touched = _by_suffix(shipments, rows).filter(F.col("is_number") & (F.col("rows") > 0))
+    numbers = _last_status(rows).select("order_number", "n")
+    met = touched.select(F.col("text").alias("order_number"), "rows")
+    return _status_counts(numbers.join(met, "order_number", "left").select("n", "rows"))
 
 
 def table_count(table: DataFrame) -> DataFrame:

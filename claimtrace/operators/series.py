@@ -103,6 +103,32 @@ def daily_history(claims: DataFrame) -> DataFrame:
     )
 
 
+def refresh_history(history: DataFrame, claims: DataFrame, days: DataFrame) -> DataFrame:
+    """The months of the daily history that change when claims of some ``day`` rows came in, whole.
+
+    ``claims`` holds all claims of these days. Only their totals are taken anew; the average changes on them and on
+    the six rows that follow each. The history has one row per day, so the window over it is small.
+    """
+    chosen = F.broadcast(days.select("day").distinct())  # bounded by the calendar
+    totals = claims.withColumn("day", day(F.col("claim_date"))).join(chosen, "day", "left_semi")
+    totals = totals.groupBy("day").agg(
+        sum_abs(F.col("claim_amount")).alias("total_amount"), F.count(F.lit(1)).alias("claim_count")
+    )
+    kept = history.withColumnRenamed("claim_date", "day").join(chosen, "day", "left_anti")
+    kept = kept.select("day", "total_amount", "claim_count", F.lit(False).alias("_new"))
+    rows = kept.unionByName(totals.withColumn("_new", F.lit(True)))
+    frame = Window.orderBy("day").rowsBetween(-ROWS_BEFORE, Window.currentRow)
+    month = F.date_trunc("month", F.col("day"))
+    averaged = rows.withColumns(
+        {
+            "moving_avg_7d": F.sum("total_amount").over(frame) / F.count(F.lit(1)).over(frame),
+            "_moved": F.max("_new").over(frame),
+        }
+    )
+    changed = averaged.withColumn("_touched", F.max("_moved").over(Window.partitionBy(month))).filter("_touched")
+    return schemas.conform(changed.withColumnRenamed("day", "claim_date"), schemas.CLAIM_DAILY_HISTORY)
+
+
 def moving_average_rounded(daily: DataFrame, value: str, order: str) -> DataFrame:
     """The frame with ``moving_avg_7d``, the moving average rounded to cents."""
     return daily.withColumn(

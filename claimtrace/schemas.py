@@ -123,6 +123,14 @@ LOAD_AUDIT = _schema(
     ("updated_rows", T.LongType()),
     ("duplicate_rows", T.LongType()),
     ("logged_at", _TIME),
+    ("unique_rows", T.LongType()),
+    ("duplicate_rows_in_file", T.LongType()),
+    ("duplicate_rows_existing", T.LongType()),
+    # Of status files: shipment rows they are about, and their own rows about none.
+    ("shipments_updated", T.LongType()),
+    ("not_found_rows", T.LongType()),
+    ("rejected_rows", T.LongType()),
+    ("reject_reasons", _TEXT),
 )
 
 TABLES = {
@@ -134,11 +142,11 @@ TABLES = {
     "load_audit": LOAD_AUDIT,
 }
 
-# Status rows as loaded, for shipments that come later; kept beside the tables above.
+# The latest status row of each number and kind, and whether the number is an order; kept beside the tables above.
 STATUS_ROWS = T.StructType(
     _schema(("order_number", _TEXT), ("order_status", _TEXT), ("by_suffix", T.BooleanType())).fields
     + SEQ.fields
-    + _schema(("applied_at", _TIME)).fields
+    + _schema(("applied_at", _TIME), ("file_time", _TIME), ("is_order", T.BooleanType())).fields
 )
 STORED = {**TABLES, "status_rows": STATUS_ROWS}
 

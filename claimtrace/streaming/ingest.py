@@ -1,25 +1,34 @@
-"""Loading files: one batch function for the stream, a single run and manual upload."""
+"""Loading files: one batch function for the stream, a single run and manual upload.
+
+A batch writes new parts of the tables and publishes them together at its end, with its number; see ``sources.tables``.
+"""
 
 from __future__ import annotations
 
 import logging
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from claimtrace import schemas
-from claimtrace.operators import merge
-from claimtrace.operators.lookup import is_small
-from claimtrace.operators.series import daily_history
+from claimtrace.functions.report import day
+from claimtrace.operators import merge, statuses
+from claimtrace.operators.lookup import attach, is_small
+from claimtrace.operators.series import refresh_history
 from claimtrace.sources import files as file_source
 from claimtrace.sources import parsers, text_grid, workbook
-from claimtrace.sources.tables import MONTH, Tables, durable, months_of
+from claimtrace.sources.tables import MONTH, Load, Tables, durable, months_of, scratch, slot_of
 
 log = logging.getLogger(__name__)
 
 # Files per micro-batch; bounds every list of files held by the driver.
 FILES_PER_BATCH = 1_000
+# Parts of one size class that a partition may have before they are merged.
+PARTS_AT_MOST = 16
 
 _CSV_PARSERS = {
     "shipments_csv": parsers.parse_shipments_csv,
@@ -29,7 +38,7 @@ _CSV_PARSERS = {
 LOADED, FAILED, DUPLICATE, EMPTY = "loaded", "failed", "duplicate", "no data"
 
 
-class _Load:
+class _Parsed:
     """Parsed rows of one batch, by target, with what is known per file."""
 
     def __init__(self, spark: SparkSession):
@@ -46,9 +55,9 @@ class _Load:
         self.failures.append(files.select("file_name", "reason").distinct())
 
 
-def _parse(spark: SparkSession, names: list, strict_parity: bool) -> _Load:
+def _parse(spark: SparkSession, names: list, strict_parity: bool) -> _Parsed:
     """Parses the files of a batch; ``names`` are its file rows."""
-    load = _Load(spark)
+    load = _Parsed(spark)
     chosen: dict[str, list] = {}
     for row in names:
         chosen.setdefault(row["parser"], []).append(row["path"])
@@ -81,56 +90,54 @@ def _parse(spark: SparkSession, names: list, strict_parity: bool) -> _Load:
     return load
 
 
-def _refuse_over_long(load: _Load) -> None:
-    """Files with a text longer than its column are not loaded."""
-    for target, table in (
-        ("shipments_csv", "shipments"),
-        ("rma_credits", "rma_credits"),
-        ("claims", "claim_details"),
-    ):
-        if target in load.rows:
-            rows = schemas.over_long(parsers.accepted(load.rows[target]), table)
-            load.fail(rows.select("file_name", F.lit("text too long").alias("reason")))
+_TEXT_OF = {
+    "shipments_csv": "shipments",
+    "order_status_csv": "shipments",
+    "order_level_csv": "shipments",
+    "rma_credits": "rma_credits",
+    "claims": "claim_details",
+}
 
 
-def _nothing(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def _refuse_over_long(load: _Parsed) -> None:
+    """Files with a text longer than its column are not loaded."""
+    for target, table in _TEXT_OF.items():
+        if target in load.rows:
+            rows = parsers.accepted(load.rows[target])
+            if target.startswith("order_"):
+                rows = rows.select("file_name", "order_status")
+            load.fail(schemas.over_long(rows, table).withColumn("reason", F.lit("text too long")))
 
 
 def _union(spark: SparkSession, frames: list[DataFrame], schema: str) -> DataFrame:
-    result = _nothing(spark, schema)
+    result = spark.createDataFrame([], schema)
     for frame in frames:
-        result = result.unionByName(frame)
+        result = result.unionByName(frame, allowMissingColumns=True)
     return result
 
 
-_COUNTS = "file_name string, parsed long, inserted long, updated long"
+_COUNTS = (
+    "file_name string, parsed long, inserted long, updated long, uniques long, shipments_updated long, not_found long"
+)
+_SPREAD_BY = ("sscc18", "appointment_date")
 
 
-def _per_file(parsed: DataFrame) -> DataFrame:
-    return parsed.groupBy("file_name").agg(F.count(F.lit(1)).alias("parsed"))
+def _zero(column: str):
+    return F.coalesce(F.col(column), F.lit(0))
 
 
-def _count_row(parsed: DataFrame, inserted: DataFrame | None = None) -> DataFrame:
-    """Parsed and inserted rows per file; ``inserted`` has a ``file_name`` per row."""
-    counts = _per_file(parsed)
-    if inserted is None:
-        return counts.select(
-            "file_name",
-            "parsed",
-            F.lit(0).cast("long").alias("inserted"),
-            F.lit(0).cast("long").alias("updated"),
-        )
-    new = inserted.groupBy("file_name").agg(F.count(F.lit(1)).alias("inserted"))
-    return counts.join(new, "file_name", "left").select(
-        "file_name",
-        "parsed",
-        F.coalesce("inserted", F.lit(0)).alias("inserted"),
-        F.lit(0).cast("long").alias("updated"),
+def _insert_counts(rows: DataFrame, fresh: DataFrame, key: tuple[str, ...], texts: tuple[str, ...]) -> DataFrame:
+    """Rows, distinct keys and inserted rows per file; NULL and blank are one key here."""
+    blank = [F.coalesce(F.col(c), F.lit("")).alias(c) if c in texts else F.col(c) for c in key]
+    per_key = rows.groupBy("file_name", *blank).agg(F.count(F.lit(1)).alias("n"))
+    per_file = per_key.groupBy("file_name").agg(F.sum("n").alias("parsed"), F.count(F.lit(1)).alias("uniques"))
+    new = fresh.groupBy(F.col("source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("inserted"))
+    return per_file.join(new, "file_name", "left").withColumns(
+        {"inserted": _zero("inserted"), "updated": F.lit(0).cast("long")}
     )
 
 
-def _load_shipments(tables: Tables, rows: DataFrame) -> DataFrame:
+def _new_shipments(load: Load, rows: DataFrame) -> DataFrame:
     batch = rows.withColumns(
         {
             "source_file": F.col("file_name"),
@@ -138,72 +145,141 @@ def _load_shipments(tables: Tables, rows: DataFrame) -> DataFrame:
             "seq": F.struct(file_source.load_order(F.col("file_name")), F.col("seq")),
         }
     ).drop("file_name")
-    held = tables.read("shipments")
-    fresh = durable(merge.insert_ignore_shipments(held, batch, is_small(rows)))
-    tables.append("shipments", fresh)
-    return _count_row(rows, fresh.withColumnRenamed("source_file", "file_name"))
+    return durable(merge.insert_ignore_shipments(load.read("shipments"), batch, is_small(rows)))
 
 
-def _load_credits(tables: Tables, rows: DataFrame) -> DataFrame:
+def _load_credits(load: Load, rows: DataFrame) -> DataFrame:
     batch = rows.withColumns(
         {"source_file": F.col("file_name"), "ingested_at": F.current_timestamp()}
     ).drop("file_name")
-    held = tables.read("rma_credits")
-    fresh = durable(merge.insert_ignore_rma(held, batch, is_small(rows)))
-    tables.append("rma_credits", fresh)
-    return _count_row(rows, fresh.withColumnRenamed("source_file", "file_name"))
+    fresh = durable(merge.insert_ignore_rma(load.read("rma_credits"), batch, is_small(rows)))
+    load.append("rma_credits", fresh)
+    return _insert_counts(rows, fresh, merge.RMA_KEY, ("carrier_bp",))
 
 
-def _update_statuses(tables: Tables, rows: DataFrame, by_suffix: bool) -> DataFrame:
-    """Applies status rows; rewrites only the months with a shipment that changes.
+def _events(rows: DataFrame, by_suffix: bool, times: DataFrame | None) -> DataFrame:
+    """Parsed status rows in the form of the kept ones. ``times``: when each file was last changed; else now."""
+    known = rows.select("file_name", "order_number", "order_status", "seq.block", "seq.row")
+    if times is not None:
+        known = known.join(F.broadcast(times), "file_name", "left")  # at most the files of the batch
+    else:
+        known = known.withColumn("file_time", F.lit(None).cast("timestamp"))
+    return known.withColumns(
+        {
+            "by_suffix": F.lit(by_suffix),
+            "file_time": F.coalesce("file_time", F.current_timestamp()),
+            "is_order": F.lit(None).cast("boolean"),
+            "applied_at": F.current_timestamp(),
+        }
+    )
 
-    Both steps look at the whole table, because a number that equals any order must
-    not be matched by suffix.
-    """
-    update = merge.update_status_suffix if by_suffix else merge.update_status
-    before = tables.stored("shipments").withColumn("_before", F.col("order_status"))
-    _rewrite_changed(tables, update(before, rows, small=is_small(rows)))
-    last = rows.groupBy("order_number").agg(F.max_by(F.struct("order_status", "seq"), "seq").alias("_last"))
-    kept = last.select("order_number", "_last.order_status", "_last.seq.*")
-    kept = kept.withColumns({"by_suffix": F.lit(by_suffix), "applied_at": F.current_timestamp()})
-    tables.append("status_rows", kept)
-    return _count_row(rows)
-
-
-def _rewrite_changed(tables: Tables, after: DataFrame) -> None:
-    changed = after.filter(~F.col("order_status").eqNullSafe(F.col("_before")))
-    months = months_of(changed, "shipments")
-    if months:
-        tables.rewrite_months("shipments", after.filter(F.col(MONTH).isin(*months)))
 
+def _kept_near(load: Load, orders: DataFrame) -> DataFrame:
+    """The kept status rows that could be about the orders: only their slots are read."""
+    slots = [r[0] for r in orders.select(slot_of(F.col("order_id"))).distinct().collect()]  # at most SLOTS + 1
+    return load.read_months("status_rows", sorted({*slots, "short"}))
 
-def _apply_kept_statuses(tables: Tables) -> None:
-    """Gives shipments without a status the one that earlier loads had for them.
 
-    As within one load, exact numbers come first and suffixes win; of rows alike, the
-    one loaded last counts. A shipment that has a status met its rows before.
+def _apply_statuses(load: Load, fresh: DataFrame | None, events: DataFrame | None) -> DataFrame | None:
+    """Gives shipments the status that follows from all status rows, and appends the new ones.
+
+    Looked at are the orders of ``fresh`` and those that the rows of ``events`` are about, and for them only the
+    status rows that end like them. Only the months with a shipment that changes are written again. Returns the
+    shipment rows that each number of ``events`` is about.
     """
-    place = F.struct("applied_at", "file_name", "block", "row")
-    kept = tables.read("status_rows").withColumn("seq", place)
-    kept = durable(
-        kept.groupBy("by_suffix", "order_number").agg(
-            F.max_by("order_status", "seq").alias("order_status"), F.max("seq").alias("seq")
+    held = load.read("shipments")
+    known = bool(load.parts("status_rows"))
+    if fresh is not None and not known and events is None:
+        load.append("shipments", fresh)
+        return None
+    new_orders = durable(statuses.order_counts(fresh)) if fresh is not None else None
+    found: list[DataFrame] = []  # held orders to look at again, and whether their status may go
+    delta: list[DataFrame] = []
+    numbers = None
+    if events is not None:
+        last = durable(statuses.latest(events))
+        orders = statuses.order_counts(statuses.ending_like(held, last))
+        if new_orders is not None:
+            orders = orders.unionByName(new_orders).groupBy("order_id").agg(F.sum("rows").alias("rows"))
+        met = durable(statuses.meet(orders, last))
+        numbers = statuses.numbers_met(met)
+        met_order = numbers.select("order_number", "by_suffix", F.col("is_order").alias("_met"))
+        delta.append(
+            last.join(met_order, ["order_number", "by_suffix"], "left")
+            .withColumn("is_order", F.coalesce("is_order", "_met", F.lit(False)))
+            .drop("_met")
         )
+        found.append(statuses.touched(met).select("order_id", F.lit(False).alias("may_go")))
+    if new_orders is not None and known:
+        kept = statuses.latest(_kept_near(load, new_orders)).filter("by_suffix AND NOT coalesce(is_order, false)")
+        ids = new_orders.select(F.col("order_id").alias("order_number"))
+        turned = durable(kept.join(ids, "order_number", "left_semi"))
+        if not turned.isEmpty():
+            orders = statuses.order_counts(statuses.ending_like(held, turned))
+            lost = statuses.touched(statuses.meet(orders, turned))
+            found.append(lost.select("order_id", F.lit(True).alias("may_go")))
+            delta.append(turned.withColumn("is_order", F.lit(True)))
+    if delta:
+        rows = delta[0]
+        for more in delta[1:]:
+            rows = rows.unionByName(more)
+        load.append("status_rows", rows.withColumn("applied_at", F.current_timestamp()))
+
+    asked = new_orders.select("order_id", F.lit(False).alias("may_go")) if new_orders is not None else None
+    for more in found:
+        asked = more if asked is None else asked.unionByName(more)
+    asked = durable(asked.groupBy("order_id").agg(F.max("may_go").alias("may_go")))
+    resolved = durable(statuses.resolve(asked, _kept_near(load, asked)).join(asked, "order_id"))
+    if found:
+        _rewrite_changed(load, held, resolved)
+    if fresh is not None:
+        small = is_small(resolved)
+        status = attach(fresh, {"_status": F.col("order_id")}, resolved, "order_id", "status", _SPREAD_BY, small=small)
+        load.append("shipments", status.withColumn("order_status", F.col("_status")).drop("_status"))
+    return numbers
+
+
+def _rewrite_changed(load: Load, held: DataFrame, resolved: DataFrame) -> None:
+    """Writes the months anew in which ``resolved`` gives a stored shipment another status."""
+    small = is_small(resolved)
+    value = resolved.select("order_id", F.struct("status", "may_go").alias("_set"))
+
+    def after(shipments: DataFrame) -> DataFrame:
+        found = attach(shipments, {"_new": F.col("order_id")}, value, "order_id", "_set", _SPREAD_BY, small=small)
+        gone = F.col("_new.may_go") & F.col("_new.status").isNull()
+        status = F.when(gone, F.lit(None)).otherwise(F.coalesce("_new.status", "order_status"))
+        return found.withColumn("_after", status).drop("_new")
+
+    changed = after(held.select("order_id", "order_status", *_SPREAD_BY))
+    months = months_of(changed.filter(~F.col("_after").eqNullSafe(F.col("order_status"))), "shipments")
+    if months:
+        whole = after(load.read_months("shipments", months))
+        load.rewrite_months("shipments", whole.withColumn("order_status", F.col("_after")).drop("_after"))
+
+
+def _status_counts(events: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Per file: status rows, shipment rows they are about (again for each repeat), rows about none."""
+    per_number = events.groupBy("file_name", "order_number", "by_suffix").agg(F.count(F.lit(1)).alias("n"))
+    joined = per_number.join(numbers.drop("is_order"), ["order_number", "by_suffix"], "left")
+    return joined.groupBy("file_name").agg(
+        F.sum("n").alias("parsed"),
+        F.sum(F.col("n") * _zero("rows")).alias("shipments_updated"),
+        F.sum(F.when(_zero("rows") == 0, F.col("n")).otherwise(0)).alias("not_found"),
     )
-    if kept.isEmpty():
-        return
-    before = tables.stored("shipments").withColumn("_before", F.col("order_status"))
-    after = before
-    for by_suffix, update in ((False, merge.update_status), (True, merge.update_status_suffix)):
-        rows = kept.filter(F.col("by_suffix") == by_suffix).drop("by_suffix")
-        after = update(after, rows, small=is_small(rows))
-    _rewrite_changed(tables, after.withColumn("order_status", F.coalesce("_before", "order_status")))
-
-
-def _upsert_claims(tables: Tables, rows: DataFrame) -> DataFrame:
-    """Upserts claims. The date is part of the key, so only the months of the batch change."""
+
+
+def _update_statuses(tables: Tables, rows: DataFrame, by_suffix: bool) -> DataFrame:
+    """Applies parsed status rows alone, as if their file had just changed."""
+    with tables.begin() as load, scratch(tables.spark, load.scratch):
+        events = durable(_events(rows, by_suffix, None))
+        counts = _status_counts(events, _apply_statuses(load, None, events)).toPandas()
+    return tables.spark.createDataFrame(counts)
+
+
+def _upsert_claims(load: Load, rows: DataFrame) -> DataFrame:
+    """Upserts claims. The date is part of the key, so only the months of the batch change; so does the history."""
     months = months_of(rows, "claim_details")
-    held = tables.read_months("claim_details", months)
+    held = load.read_months("claim_details", months)
     batch = rows.drop("file_name")
     keys = ["claim_date", "order_id", "sscc18", "claim_amount"]
     named = rows.groupBy(
@@ -218,35 +294,77 @@ def _upsert_claims(tables: Tables, rows: DataFrame) -> DataFrame:
         F.coalesce("sscc18", F.lit("")).alias("sscc18"),
         "claim_amount",
     )
-    # Counted before the write: the first file with an unknown key inserts it.
-    inserted = durable(
-        named.join(known, keys, "left_anti").groupBy("file_name").agg(F.count(F.lit(1)).alias("inserted"))
-    )
-    unique = durable(
+    # The first file with an unknown key inserts it.
+    fresh = durable(named.join(known, keys, "left_anti"))
+    inserted = fresh.groupBy("file_name").agg(F.count(F.lit(1)).alias("inserted"))
+    unique = (
         merge.keep_last(batch)
         .groupBy(F.col("seq.file_name").alias("file_name"))
-        .agg(F.count(F.lit(1)).alias("unique"))
+        .agg(F.count(F.lit(1)).alias("uniques"))
     )
     if months:
-        after = merge.upsert_claims(held, batch, is_small(rows))
-        tables.rewrite_months("claim_details", after)
+        load.rewrite_months("claim_details", merge.upsert_claims(held, batch, is_small(rows)))
+        days = durable(fresh.select(day(F.col("claim_date")).alias("day")).distinct())
+        if not days.isEmpty():
+            _refresh(load, days)
+    parsed = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("parsed"))
     return (
-        _per_file(rows)
-        .join(unique, "file_name", "left")
+        parsed.join(unique, "file_name", "left")
         .join(inserted, "file_name", "left")
         .select(
             "file_name",
             "parsed",
-            F.coalesce("inserted", F.lit(0)).alias("inserted"),
-            F.greatest(
-                F.coalesce("unique", F.lit(0)) - F.coalesce("inserted", F.lit(0)), F.lit(0)
-            ).alias("updated"),
+            _zero("inserted").alias("inserted"),
+            F.greatest(_zero("uniques") - _zero("inserted"), F.lit(0)).alias("updated"),
+            "uniques",
         )
     )
 
 
+def _refresh(load: Load, days: DataFrame) -> None:
+    """Brings the daily history up to date after new claims of ``days``: reads the claims of their months only.
+
+    A history that was never written is made from all claims.
+    """
+    if not load.parts("claim_daily_history"):
+        days = load.read("claim_details").select(day(F.col("claim_date")).alias("day")).distinct()
+        claims = load.read("claim_details")
+    else:
+        months = [r[0] for r in days.select(F.date_format("day", "yyyy-MM")).distinct().collect()]
+        claims = load.read_months("claim_details", sorted(months))
+    load.rewrite_months("claim_daily_history", refresh_history(load.read("claim_daily_history"), claims, days))
+
+
+def _apply(load: Load, rows: Mapping[str, DataFrame], times: DataFrame | None) -> DataFrame:
+    """Writes accepted rows of all kinds into the load's tables and counts them per file.
+
+    Shipments and statuses come together, whatever their order; then credits and claims.
+    """
+    counts = []
+    fresh = events = None
+    if "shipments_csv" in rows:
+        fresh = _new_shipments(load, rows["shipments_csv"])
+        counts.append(durable(_insert_counts(rows["shipments_csv"], fresh, merge.SHIPMENT_KEY, merge.SHIPMENT_KEY)))
+    told = [
+        _events(rows[target], by_suffix, times)
+        for target, by_suffix in (("order_status_csv", False), ("order_level_csv", True))
+        if target in rows
+    ]
+    if told:
+        events = durable(told[0] if len(told) == 1 else told[0].unionByName(told[1]))
+    if fresh is not None or events is not None:
+        numbers = _apply_statuses(load, fresh, events)
+        if events is not None:
+            counts.append(durable(_status_counts(events, numbers)))
+    if "rma_credits" in rows:
+        counts.append(durable(_load_credits(load, rows["rma_credits"])))
+    if "claims" in rows:
+        counts.append(durable(_upsert_claims(load, rows["claims"])))
+    return _union(load.spark, counts, _COUNTS)
+
+
 def _audit(
-    names: DataFrame, counts: DataFrame, failures: DataFrame, skipped: DataFrame, batch: str
+    names: DataFrame, counts: DataFrame, failures: DataFrame, rejects: DataFrame, skipped: DataFrame, batch: str
 ) -> DataFrame:
     """One row per file of the batch, in the audit schema."""
     why = failures.groupBy("file_name").agg(F.min("reason").alias("reason"))
@@ -254,26 +372,52 @@ def _audit(
         F.sum("parsed").alias("parsed_rows"),
         F.sum("inserted").alias("inserted_rows"),
         F.sum("updated").alias("updated_rows"),
+        F.sum("uniques").alias("unique_rows"),
+        F.sum("shipments_updated").alias("shipments_updated"),
+        F.sum("not_found").alias("not_found_rows"),
+    )
+    one = F.struct("reject_reason", "rejected_rows")
+    left_out = rejects.groupBy("file_name").agg(
+        F.sum("rejected_rows").alias("rejected_rows"),
+        F.array_join(
+            F.transform(
+                F.array_sort(F.collect_list(one)),  # one row per file and reason
+                lambda r: F.concat(r["reject_reason"], F.lit(": "), r["rejected_rows"].cast("string")),
+            ),
+            "; ",
+        ).alias("reject_reasons"),
     )
-    judged = names.join(F.broadcast(why), "file_name", "left").join(
-        F.broadcast(done), "file_name", "left"
+    judged = (
+        names.join(F.broadcast(why), "file_name", "left")
+        .join(F.broadcast(done), "file_name", "left")
+        .join(F.broadcast(left_out), "file_name", "left")
     )
     failed = F.col("reason").isNotNull()
     outcome = (
         F.when(failed, F.lit(FAILED))
-        .when(F.coalesce("parsed_rows", F.lit(0)) == 0, F.lit(EMPTY))
+        .when(_zero("parsed_rows") == 0, F.lit(EMPTY))
         .otherwise(F.lit(LOADED))
     )
+    read = F.col("parsed_rows").isNotNull()
     judged = judged.withColumn("outcome", outcome).unionByName(
         skipped.withColumn("outcome", F.lit(DUPLICATE)), allowMissingColumns=True
     )
+    told = F.col("shipments_updated").isNotNull()
     return schemas.conform(
         judged.withColumns(
             {
                 "batch": F.lit(batch),
-                "duplicate_rows": F.col("parsed_rows")
-                - F.col("inserted_rows")
-                - F.col("updated_rows"),
+                "inserted_rows": F.when(read, _zero("inserted_rows")),
+                "updated_rows": F.when(read, _zero("updated_rows")),
+                # A status row is no duplicate: it is applied, again or not.
+                "duplicate_rows": F.when(told, F.lit(0)).otherwise(
+                    F.col("parsed_rows") - _zero("inserted_rows") - _zero("updated_rows")
+                ),
+                "duplicate_rows_in_file": F.col("parsed_rows") - F.col("unique_rows"),
+                "duplicate_rows_existing": F.when(
+                    F.col("unique_rows").isNotNull(),
+                    F.greatest(F.col("unique_rows") - _zero("inserted_rows") - _zero("updated_rows"), F.lit(0)),
+                ),
                 "logged_at": F.current_timestamp(),
             }
         ),
@@ -281,6 +425,9 @@ def _audit(
     )
 
 
+_LISTED = ("path", "file_name", "email_id", "attachment_hash", "parser", "file_kind", "modificationTime")
+
+
 def _listed(
     spark: SparkSession, files: DataFrame, strict_parity: bool, whole_file: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -289,11 +436,10 @@ def _listed(
     The filter on length reaches the reader and larger files are named one by one, so
     no content is read that is not needed.
     """
-    columns = ("path", "file_name", "email_id", "attachment_hash", "parser", "file_kind")
     routed = file_source.route(files, strict_parity)
-    listed = file_source.with_hash(routed.filter(F.col("length") <= whole_file)).select(*columns)
+    listed = file_source.with_hash(routed.filter(F.col("length") <= whole_file)).select(*_LISTED)
 
-    facts = routed.select("path", "file_name", "email_id", "length", "parser", "file_kind")
+    facts = routed.select("path", "file_name", "email_id", "length", "parser", "file_kind", "modificationTime")
     large = facts.filter(F.col("length") > whole_file)
     rows = large.collect()  # bounded by the batch
     lines = [r["path"] for r in rows if r["parser"].endswith("_csv")]
@@ -305,11 +451,11 @@ def _listed(
     if lines:
         text = text_grid.scan_lines(spark, [file_source.literal_path(p) for p in lines])
         hashed = large.join(F.broadcast(file_source.line_hash(text)), "file_name")
-        listed = listed.unionByName(hashed.select(*columns))
+        listed = listed.unionByName(hashed.select(*_LISTED))
     if books:
         whole = _read(spark, books)
         hashed = file_source.with_hash(file_source.route(whole, strict_parity))
-        listed = listed.unionByName(hashed.select(*columns))
+        listed = listed.unionByName(hashed.select(*_LISTED))
     beyond = large.filter(~F.col("path").isin(*lines, *books)).select(
         "path", "file_name", "email_id", "parser", "file_kind"
     )
@@ -320,6 +466,16 @@ def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
     return file_source.read_files(spark, [file_source.literal_path(p) for p in paths])
 
 
+_UTC = {"UTC", "Etc/UTC", "Z", "GMT", "Etc/GMT", "+00:00", "UTC+00:00", "Etc/UCT", "UCT", "Zulu", "Etc/Zulu", "Universal"}
+
+
+def _check_utc(spark: SparkSession) -> None:
+    """Stored days and months are those of UTC, as the files' times are."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in _UTC:
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, not {zone}: days and months would shift")
+
+
 def load_files(
     files: DataFrame,
     tables: Tables,
@@ -328,71 +484,150 @@ def load_files(
     strict_parity: bool = False,
     keywords: tuple[str, ...] = (),
     whole_file: int = file_source.WHOLE_FILE,
+    stream: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Loads one batch of at most a few thousand files and returns its audit rows.
 
-    ``files`` comes from ``scan_folder`` or ``read_files``; names must be unique in it.
+    ``files`` comes from ``scan_folder`` or ``read_files``; names must be unique in it. ``stream`` names a stream and the
+    number of its batch: one that is published already is not loaded again.
 
-    Shipments come first, then the statuses that refer to them, then credits and
-    claims. Statuses are kept, so that shipments of a later load get them too. A file that cannot be read or holds an over-long text is left out as a
-    whole, is not marked as processed, and does not stop the others.
+    A file that cannot be read or holds an over-long text is left out as a whole, is not marked as processed, and
+    does not stop the others. Nothing of the batch is visible before all of it is.
     """
     spark = files.sparkSession
+    _check_utc(spark)
+    if stream is not None and tables.last_batch(stream[0]) >= stream[1]:
+        return tables.read("load_audit").filter(F.col("batch") == batch)
+    load = tables.begin()
+    with scratch(spark, load.scratch):
+        _load_batch(load, files, batch, skip_known, strict_parity, keywords, whole_file)
+        load.publish(stream)
+    return load.written("load_audit")
+
+
+def _load_batch(
+    load: Load,
+    files: DataFrame,
+    batch: str,
+    skip_known: bool,
+    strict_parity: bool,
+    keywords: tuple[str, ...],
+    whole_file: int,
+) -> None:
+    spark = load.spark
     eligible = file_source.keyword_allowed(file_source.supported(files), keywords)
     listed, beyond = _listed(spark, eligible, strict_parity, whole_file)
     fresh = listed
     if skip_known:
         # The hashes of the batch filter the scan of the known ones.
-        known = tables.read("processed_attachments").join(
+        known = load.read("processed_attachments").join(
             F.broadcast(listed.select("attachment_hash").distinct()), "attachment_hash", "left_semi"
         )
         fresh = durable(file_source.skip_processed(listed, known))
     skipped = listed.join(F.broadcast(fresh.select("path")), "path", "left_anti")
     names = fresh.select("path", "file_name", "parser").collect()  # bounded by the batch
-    load = _parse(spark, names, strict_parity)
-    load.fail(beyond.select("file_name", F.lit("too large for a workbook").alias("reason")))
-    _refuse_over_long(load)
-    failures = durable(_union(spark, load.failures, "file_name string, reason string"))
+    parsed = _parse(spark, names, strict_parity)
+    parsed.fail(beyond.select("file_name", F.lit("too large for a workbook").alias("reason")))
+    _refuse_over_long(parsed)
+    failures = durable(_union(spark, parsed.failures, "file_name string, reason string"))
     bad = F.broadcast(failures.select("file_name").distinct())  # at most the files of the batch
 
-    def good(target: str) -> DataFrame | None:
-        rows = load.rows.get(target)
-        return None if rows is None else parsers.accepted(rows).join(bad, "file_name", "left_anti")
-
-    counts = []
-    if (rows := good("shipments_csv")) is not None:
-        counts.append(durable(_load_shipments(tables, rows)))
-        _apply_kept_statuses(tables)
-    if (rows := good("order_status_csv")) is not None:
-        counts.append(durable(_update_statuses(tables, rows, by_suffix=False)))
-    if (rows := good("order_level_csv")) is not None:
-        counts.append(durable(_update_statuses(tables, rows, by_suffix=True)))
-    if (rows := good("rma_credits")) is not None:
-        counts.append(durable(_load_credits(tables, rows)))
-    if (rows := good("claims")) is not None:
-        counts.append(durable(_upsert_claims(tables, rows)))
-        tables.replace("claim_daily_history", daily_history(tables.read("claim_details")))
+    good = {
+        target: parsers.accepted(rows).join(bad, "file_name", "left_anti") for target, rows in parsed.rows.items()
+    }
+    times = fresh.select("file_name", F.col("modificationTime").alias("file_time"))
+    counts = _apply(load, good, times)
+    rejects = [parsers.reject_counts(rows) for rows in parsed.rows.values()]
+    left_out = _union(spark, rejects, "file_name string, reject_reason string, rejected_rows long")
 
     seen = fresh.unionByName(beyond, allowMissingColumns=True)
-    audit = durable(_audit(seen, _union(spark, counts, _COUNTS), failures, skipped, batch))
-    done = fresh.join(
-        F.broadcast(audit.filter(F.col("outcome") == LOADED).select("file_name")),
-        "file_name",
-        "left_semi",
-    )
+    audit = durable(_audit(seen, counts, failures, left_out, skipped, batch))
     if skip_known:
-        tables.append("processed_attachments", durable(file_source.mark_processed(done, known)))
-    tables.append("load_audit", audit)
-    return audit
+        loaded = F.broadcast(audit.filter(F.col("outcome") == LOADED).select("file_name"))
+        done = fresh.join(loaded, "file_name", "left_semi")
+        load.append("processed_attachments", file_source.mark_processed(done, known))
+    load.append("load_audit", audit)
+
+
+_SCHEMA_OF = {"shipments_csv": schemas.SHIPMENT_ROW, "claims": schemas.CLAIM_ROW}
+
+
+def _complete(rows: DataFrame, schema: StructType | None) -> DataFrame:
+    """The rows with the columns of their kind that they lack, as NULL."""
+    fields = [f for f in schema.fields if f.name not in rows.columns] if schema else []
+    return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fields})
+
+
+_KIND_OF = {**file_source.KINDS, "rma_credits": "rma", "claims": "rma"}
+
+
+def load_rows(
+    tables: Tables, rows: Mapping[str, DataFrame], batch: str, stream: tuple[str, int] | None = None
+) -> DataFrame:
+    """Loads rows that are parsed already, as the parsers give them, and returns audit rows per ``file_name``.
+
+    Keys: ``shipments_csv``, ``order_status_csv``, ``order_level_csv``, ``rma_credits``, ``claims``.
+    """
+    _check_utc(tables.spark)
+    if stream is not None and tables.last_batch(stream[0]) >= stream[1]:
+        return tables.read("load_audit").filter(F.col("batch") == batch)
+    load = tables.begin()
+    with scratch(tables.spark, load.scratch):
+        none = tables.spark.createDataFrame([], "file_name string, reason string")
+        rejects = tables.spark.createDataFrame([], "file_name string, reject_reason string, rejected_rows long")
+        good = {k: parsers.accepted(r) if "reject_reason" in r.columns else r for k, r in rows.items()}
+        good = {k: durable(_complete(r, _SCHEMA_OF.get(k))) for k, r in good.items()}
+        counts = durable(_apply(load, good, None))
+        named = [r.select("file_name", F.lit(_KIND_OF[k]).alias("file_kind")) for k, r in good.items()]
+        names = _union(tables.spark, named, "file_name string, file_kind string").distinct()
+        load.append("load_audit", _audit(names, counts, none, rejects, names.limit(0), batch))
+        load.publish(stream)
+    return load.written("load_audit")
+
+
+def tidy(tables: Tables, most: int = PARTS_AT_MOST) -> int:
+    """Merges parts where a partition has ``most`` of one size class; says how many partitions it wrote again.
+
+    Merged parts are of the next class, so a row is written again only as often as the classes are many. Of kept
+    status rows only the latest of each number stays.
+    """
+    crowded = [(name, value, parts) for name in schemas.STORED for value, parts in tables.crowded(name, most)]
+    if not crowded:
+        return 0
+    with tables.begin() as load:
+        for name, value, parts in crowded:
+            rows = load.read_parts(name, value, parts)
+            if name == "status_rows":
+                rows = statuses.latest(rows).withColumn("applied_at", F.current_timestamp())
+            load.merge(name, value, parts, rows)
+    return len(crowded)
+
+
+def _in_batches(spark: SparkSession, folder: str, files_per_batch: int) -> Iterator[list[str]]:
+    """Paths of a folder or file, oldest first, in lists of bounded size."""
+    listed = file_source.scan_folder(spark, folder).select("path", "modificationTime")
+    some: list[str] = []
+    for row in listed.orderBy("modificationTime", "path").toLocalIterator():
+        some.append(row["path"])
+        if len(some) == files_per_batch:
+            yield some
+            some = []
+    if some:
+        yield some
 
 
 def load_folder(
-    spark: SparkSession, folder: str, tables: Tables, strict_parity: bool = False
+    spark: SparkSession,
+    folder: str,
+    tables: Tables,
+    strict_parity: bool = False,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Manual upload of a folder or file: no check for known files, keys make it repeatable."""
-    return load_files(
-        file_source.scan_folder(spark, folder), tables, "manual", False, strict_parity
-    )
+    audit = spark.createDataFrame([], schemas.LOAD_AUDIT)
+    for paths in _in_batches(spark, folder, files_per_batch):
+        audit = audit.unionByName(load_files(_read(spark, paths), tables, "manual", False, strict_parity))
+    return audit
 
 
 def file_stream(
@@ -422,13 +657,17 @@ def start(
     """Loads new files of ``folder`` every so often; ``every=None`` loads what is there and ends.
 
     ``progress`` is the query's checkpoint folder. It remembers paths; content seen
-    before under another name is recognised by its hash.
+    before under another name is recognised by its hash. A batch is published with its number under that name, so
+    one that Spark runs again after a crash is not loaded twice.
     """
+    _check_utc(spark)
 
     def load(batch: DataFrame, number: int) -> None:
         paths = [r["path"] for r in batch.collect()]  # at most files_per_batch
         if paths:
-            load_files(_read(spark, paths), tables, f"stream-{number}", True, strict_parity, keywords)
+            options = (True, strict_parity, keywords)
+            load_files(_read(spark, paths), tables, f"stream-{number}", *options, stream=(progress, number))
+            tidy(tables)
 
     writer = (
         file_stream(spark, folder, files_per_batch)

@@ -130,6 +130,28 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/claimtrace-{uuid4().hex}"
 
 
+def _name_files(spark: SparkSession, folder: str, name: str) -> None:
+    """Gives the files that Spark wrote last into a folder names that tell their kind."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i, file in enumerate(store.globStatus(path(f"{folder}/part-*.csv")) or []):  # one per task of the write
+        store.rename(file.getPath(), path(f"{folder}/{name}_{i}.csv"))
+
+
+def _export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as rows of shipment exports, some without an order number."""
+    lines = table(spark, sf_dir, "lineitem")
+    order = F.concat(F.lit("6"), (F.col("l_orderkey") + 10_000_000).cast("string"))
+    return lines.select(
+        F.col("l_returnflag").alias("flag"),
+        F.when(F.col("l_partkey") % 9 != 0, order).alias("order_number"),
+        F.lpad((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"), 18, "0").alias("sscc18"),
+        F.lit("FXFE").alias("scac"),
+        _text("l_partkey").alias("kargo_shipment_id"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("appointment_date"),
+    )
+
+
 def _shipment_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Shipment exports of all line items, written by Spark."""
     rows = shipments(spark, sf_dir).select(
@@ -370,10 +392,27 @@ _add(
 _SHEET_HEADER = ("APPOINTMENT_DATE", "Pro Number", "SSCC18", "SCAC", "Order/ID", "shipment_id", "note")
 
 
+def _as_sheets(
+    rows: DataFrame, place: Column, header: tuple[str, ...], above: list[list] | None = None
+) -> DataFrame:
+    """Rows as the cells of sixteen sheets, each with the lines above its header, the header, and its rows."""
+    above = above or []
+    number, name = F.pmod(place, F.lit(16)), F.concat(F.lit("book_"), F.col("_n").cast("string"), F.lit(".xlsx"))
+    cells = F.array(*[F.col(c).cast("string") for c in rows.columns if c != "_place"])
+    data = rows.select(number.alias("_n"), (place + len(above) + 2).cast("bigint").alias("row"), cells.alias("cells"))
+    tops = [F.array(*[F.lit(c).cast("string") for c in line]) for line in [*above, header]]
+    top = data.select("_n").distinct().select("_n", F.posexplode(F.array(*tops)).alias("row", "cells"))
+    top = top.withColumn("row", (F.col("row") + 1).cast("bigint"))
+    return top.unionByName(data).select(
+        F.concat(F.lit("/"), name).alias("path"), name.alias("file_name"), "row", "cells"
+    )
+
+
 def _shipment_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     rows = lines.select(
-        "l_shipdate",
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_place"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
         F.when(F.col("l_linenumber") == 1, F.lit(None)).otherwise(F.concat(F.lit(" PRO"), _text("l_suppkey"))).alias("pro"),
         F.when(F.col("l_linenumber") != 7, F.lpad(_text("l_orderkey"), 18, "0")).alias("sscc18"),
         F.lit("FXFE").alias("scac"),
@@ -381,11 +420,11 @@ def _shipment_books(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity"),
         F.lit("x").alias("note"),
     )
-    return as_workbooks(rows, "Sheet1", _SHEET_HEADER)
+    return _as_sheets(rows, F.col("_place"), _SHEET_HEADER)
 
 
 def _p1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = workbook.scan_workbook(_shipment_books(spark, sf_dir), workbook.SHIPMENT_SHEETS)
+    grid = _shipment_books(spark, sf_dir)
     return plain(parsers.accepted(parsers.parse_shipments_sheet(grid)).drop("seq", "file_name"))
 
 
@@ -399,22 +438,27 @@ _add(
 )
 
 
-def _credit_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _credit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
-    rows = customers.select(
+    return customers.select(
         F.when(F.col("c_nationkey") % 6 != 0, F.concat(F.col("c_name"), F.lit(" "))).alias("carrier"),
         "c_acctbal",
         "c_custkey",
         "c_mktsegment",
     )
+
+
+def _credit_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _credit_rows(spark, sf_dir)
     return as_workbooks(
         rows, "Summary", ("Carrier/BP", "Credit", "Count", "x"), [["Credits"], [None, "by carrier"]]
     )
 
 
 def _p3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = workbook.scan_workbook(_credit_books(spark, sf_dir), workbook.RMA_SHEETS)
-    parsed = parsers.parse_rma_summary(grid.filter("role = 'credits'"))
+    rows = _credit_rows(spark, sf_dir).withColumn("_place", F.col("c_custkey"))
+    heading = ("Carrier/BP", "Credit", "Count", "x")
+    parsed = parsers.parse_rma_summary(_as_sheets(rows, F.col("_place"), heading, [["Credits"], [None, "by carrier"]]))
     return plain(parsers.accepted(parsed).drop("seq", "file_name"))
 
 
@@ -438,7 +482,8 @@ def _claim_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     number = F.col("l_linenumber")
     rows = lines.select(
-        F.when(number != 7, F.col("l_shipdate")).alias("date"),
+        (F.col("l_orderkey") * 10 + number).alias("_place"),
+        F.when(number != 7, F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("date"),
         F.col("l_linestatus").alias("status"),
         F.lit("D1").alias("type"),
         F.concat(F.lit("PO"), _text("l_partkey")).alias("po"),
@@ -463,12 +508,11 @@ def _claim_books(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Unit F").alias("unit_name"),
         F.when(number == 5, F.lit(" ")).otherwise(F.lit("HSNR")).alias("carrier"),
     )
-    return as_workbooks(rows, "Data", _CLAIM_HEADER, [["Report"], [], [None, "Claims"]])
+    return _as_sheets(rows, F.col("_place"), _CLAIM_HEADER, [["Report"], [None, "Claims"]])
 
 
 def _claim_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = workbook.scan_workbook(_claim_books(spark, sf_dir), workbook.RMA_SHEETS)
-    return parsers.parse_claim_sheet(grid.filter("role = 'claims'"))
+    return parsers.parse_claim_sheet(_claim_books(spark, sf_dir))
 
 
 _CLAIM_OUT = (
@@ -604,26 +648,30 @@ _add(
 
 
 def _isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good workbooks and cut-off ones in one scan."""
-    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate", _text("l_orderkey").alias("sscc18"))
-    head = ("flag", "appointment_date", "sscc18")
-    good = as_workbooks(lines.filter("l_returnflag = 'A'"), "Sheet1", head, name="good")
-    bad = as_workbooks(lines.filter("l_returnflag <> 'A'"), "Sheet1", head, name="bad")
-    cut = bad.withColumn("content", F.substring("content", 1, 200))
-    grid = workbook.scan_workbook(good.unionByName(cut), workbook.SHIPMENT_SHEETS)
-    read = parsers.accepted(parsers.parse_shipments_sheet(grid)).agg(F.count(F.lit(1)).alias("rows"))
-    failed = grid.agg(
-        F.bool_or(F.col("error").isNotNull() & F.col("file_name").startswith("bad")).alias("bad_reported"),
-        F.count_if(F.col("error").isNotNull() & F.col("file_name").startswith("good")).alias("good_failed"),
+    """Good files and files whose last quote never closes, in one load."""
+    folder = _folder(spark)
+    rows = _export_rows(spark, sf_dir).withColumn("flag", F.col("flag") == "A")
+    rows.filter("flag").drop("flag").write.option("header", True).csv(f"{folder}/in")
+    _name_files(spark, f"{folder}/in", "Result_good")
+    bad = rows.filter("NOT flag").drop("flag").withColumn("scac", F.concat(F.lit('"'), F.col("scac")))
+    bad.write.option("header", True).option("quote", "").mode("append").csv(f"{folder}/in")
+    _name_files(spark, f"{folder}/in", "Result_bad")
+    tables = Tables(spark, f"{folder}/db")
+    audit = ingest.load_folder(spark, f"{folder}/in", tables)
+    good = F.col("file_name").startswith("Result_good")
+    failed = audit.agg(
+        F.bool_and(good | (F.col("outcome") == "failed")).alias("bad_reported"),
+        F.count_if(good & (F.col("outcome") != "loaded")).alias("good_failed"),
     )
-    return plain(merge.one_row(read, failed))
+    return plain(merge.one_row(merge.table_count(tables.read("shipments")), failed))
 
 
 _add(
     "t3_per_file_isolation",
     _isolation,
-    "SELECT count(*) AS rows, TRUE AS bad_reported, CAST(0 AS BIGINT) AS good_failed FROM lineitem"
-    " WHERE l_returnflag = 'A'",
+    "WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey % 9 <> 0 AS has_order FROM lineitem WHERE l_returnflag = 'A')"
+    " SELECT (SELECT count(*) FROM x WHERE NOT has_order) + (SELECT count(*) FROM (SELECT DISTINCT * FROM x WHERE has_order))"
+    " AS rows, TRUE AS bad_reported, CAST(0 AS BIGINT) AS good_failed",
 )
 
 # Merges ------------------------------------------------------------------------------------
@@ -982,15 +1030,15 @@ _add("src12_read_table", _src12, SH_SQL)
 
 
 def _snk1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads of claims: an append, then an upsert that rewrites the months it touches."""
+    """Two loads of claims: the first fills the table, the second rewrites the months it touches."""
     tables = Tables(spark, _folder(spark))
-    tables.append("claim_details", merge.keep_last(_claim_load(spark, sf_dir, _HELD)))
-    batch = _claim_load(spark, sf_dir, _NEW).withColumn("claim_date", F.col("claim_date").cast("timestamp"))
-    ingest_months = batch.select(F.date_format("claim_date", "yyyy-MM").alias("m")).distinct()
-    months = [r.m for r in ingest_months.collect()]  # bounded by the calendar
-    held = tables.read_months("claim_details", months)
-    tables.rewrite_months("claim_details", merge.upsert_claims(held, batch))
-    return plain(tables.read("claim_details").select(*_UPSERT_OUT))
+    for batch, rows in enumerate((_HELD, _NEW)):
+        claims_in = _claim_load(spark, sf_dir, rows).withColumns(
+            {"claim_date": F.col("claim_date").cast("timestamp"), "file_name": F.lit("claims")}
+        )
+        ingest.load_rows(tables, {"claims": claims_in}, f"claims-{batch}", stream=("claims", batch))
+    stored = tables.read("claim_details").withColumn("claim_date", F.col("claim_date").cast("timestamp_ntz"))
+    return plain(stored.select(*_UPSERT_OUT))
 
 
 _add("snk1_append_upsert_tables", _snk1, ORACLES["m6_upsert_claims_coalesce"])
@@ -1028,14 +1076,56 @@ def _streamed(spark: SparkSession, sf_dir: str, copies: int = 1) -> Tables:
     return tables
 
 
-def _t1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(
-        _streamed(spark, sf_dir).read("shipments").select("sscc18", "order_id")
+def _all_kinds(spark: SparkSession, sf_dir: str, root: str) -> Tables:
+    """Statuses of every third order, by suffix those of every fifth, then exports of all line items, as a stream.
+
+    The status files come first. An order in both has its status from the later files, those by suffix.
+    """
+    orders = table(spark, sf_dir, "orders")
+    key = (F.col("o_orderkey") + 10_000_000).cast("string")
+    exact = orders.filter("o_orderkey % 3 = 0").select(
+        F.concat(F.lit("6"), key).alias("Order_Number"), F.col("o_orderpriority").alias("Order_Status")
+    )
+    level = orders.filter("o_orderkey % 5 = 0").select(
+        F.concat(F.lit("11111111"), key).alias("orderNumber"),
+        F.when(F.col("o_orderstatus") == "F", "COMPLETED").otherwise("INCOMPLETE").alias("orderStatus"),
+        F.lit("").alias("missedLpns"),
     )
+    exports = _export_rows(spark, sf_dir).drop("flag")
+    for name, rows in (("AllOrders", exact), ("order_level", level), ("Result", exports)):
+        rows.write.option("header", True).mode("append").csv(f"{root}/in")
+        _name_files(spark, f"{root}/in", name)
+    tables = Tables(spark, f"{root}/db")
+    query = ingest.start(spark, f"{root}/in", tables, f"{root}/progress", every=None, files_per_batch=4)
+    query.awaitTermination()
+    return tables
+
+
+_STREAM_WITH = (
+    "WITH x AS (SELECT l_orderkey, CASE WHEN l_partkey % 9 <> 0 THEN '6' || CAST(10000000 + l_orderkey AS VARCHAR) END"
+    " AS order_id, lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 18, '0') AS sscc18 FROM lineitem),"
+    " s AS (SELECT DISTINCT * FROM x WHERE order_id IS NOT NULL"
+    " UNION ALL SELECT * FROM x WHERE order_id IS NULL)"
+)
+
+
+def _t1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of all kinds of CSV files in small batches, and its first batch once more."""
+    root = _folder(spark)
+    tables = _all_kinds(spark, sf_dir, root)
+    again = files.scan_folder(spark, f"{root}/in/Result_0.csv")
+    ingest.load_files(again, tables, "stream-0", stream=(f"{root}/progress", 0))
+    return plain(tables.read("shipments").select("sscc18", "order_id", "order_status"))
 
 
 _KEYS_SQL = "SELECT DISTINCT sscc18, order_id FROM sh"
-_add("t1_micro_batch_ingest", _t1, f"{WITH_SH} {_KEYS_SQL}")
+_add(
+    "t1_micro_batch_ingest",
+    _t1,
+    f"{_STREAM_WITH} SELECT sscc18, order_id, CASE WHEN order_id IS NULL THEN NULL WHEN o_orderkey % 5 = 0 THEN"
+    " CASE o_orderstatus WHEN 'F' THEN 'Perfect' ELSE 'Short' END WHEN o_orderkey % 3 = 0 THEN o_orderpriority END"
+    " AS order_status FROM s JOIN orders ON l_orderkey = o_orderkey",
+)
 
 
 def _t2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1053,33 +1143,145 @@ _add(
 )
 
 
-def _snk2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    audit = _streamed(spark, sf_dir).read("load_audit")
-    return plain(
-        audit.groupBy("file_kind", "outcome").agg(
-            F.sum("parsed_rows").alias("parsed_rows"),
-            F.sum("inserted_rows").alias("inserted_rows"),
-            F.sum("duplicate_rows").alias("duplicate_rows"),
-        )
+_AUDITED = (
+    "parsed_rows", "unique_rows", "inserted_rows", "updated_rows", "duplicate_rows", "duplicate_rows_in_file",
+    "duplicate_rows_existing", "shipments_updated", "not_found_rows", "rejected_rows",
+)
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> Tables:
+    """Rows of all kinds, loaded in two batches; in the second, some shipments, credits and claims come again."""
+    tables = Tables(spark, _folder(spark))
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+
+    def place(name: str, row: Column) -> Column:
+        return F.struct(F.lit(name).alias("file_name"), F.lit(0).cast("long").alias("block"), row.cast("long").alias("row"))
+
+    exports = _export_rows(spark, sf_dir).select(
+        "flag",
+        F.lit("ship.csv").alias("file_name"),
+        F.to_timestamp("appointment_date").alias("appointment_date"),
+        F.lit(None).cast("string").alias("pro_number"),
+        "sscc18",
+        "scac",
+        F.col("order_number").alias("order_id"),
+        F.col("kargo_shipment_id").alias("shipment_id"),
+        place("ship.csv", F.col("sscc18")).alias("seq"),
+    )
+    told = orders.select(
+        "o_orderkey",
+        F.lit("all.csv").alias("file_name"),
+        F.concat(F.lit("6"), (F.col("o_orderkey") + 10_000_000).cast("string")).alias("order_number"),
+        F.col("o_orderpriority").alias("order_status"),
+        place("all.csv", F.col("o_orderkey")).alias("seq"),
+    )
+    level = told.filter("o_orderkey % 2 = 0").withColumns(
+        {"file_name": F.lit("level.csv"), "order_number": F.right("order_number", F.lit(8))}
     )
+    credits = lines.select(
+        "l_returnflag",
+        F.lit("rma.xlsx").alias("file_name"),
+        F.concat(F.lit("C"), _text("l_suppkey")).alias("carrier_bp"),
+        F.when(F.col("l_partkey") % 10 != 0, F.col("l_quantity").cast(schemas.CREDIT)).alias("credit"),
+        F.col("l_linenumber").cast("int").alias("count"),
+        F.struct("l_orderkey", "l_linenumber").alias("seq"),
+    )
+    loads = (("flag = 'A'", "l_returnflag = 'A'", _HELD), ("flag <> 'N'", "l_returnflag <> 'A'", _NEW))
+    for batch, (shipped, credited, claimed) in enumerate(loads):
+        claims_in = _claim_load(spark, sf_dir, claimed).withColumns(
+            {"claim_date": F.col("claim_date").cast("timestamp"), "file_name": F.lit("claims")}
+        )
+        rows = {
+            "shipments_csv": exports.filter(shipped).drop("flag"),
+            "order_status_csv": told.drop("o_orderkey"),
+            "order_level_csv": level.drop("o_orderkey"),
+            "rma_credits": credits.filter(credited).drop("l_returnflag"),
+            "claims": claims_in,
+        }
+        ingest.load_rows(tables, rows, f"load-{batch}")
+    return tables
 
 
-_add(
-    "snk2_load_audit",
-    _snk2,
-    f"{WITH_SH}, c AS (SELECT (SELECT count(*) FROM sh) AS p, (SELECT count(*) FROM ({_KEYS_SQL})) AS i)"
-    " SELECT 'shipments' AS file_kind, 'loaded' AS outcome, p AS parsed_rows, i AS inserted_rows,"
-    " p - i AS duplicate_rows FROM c",
+def _snk2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = _two_loads(spark, sf_dir).read("load_audit")
+    return plain(audit.groupBy("batch", "file_name", "file_kind", "outcome").agg(*[F.sum(c).alias(c) for c in _AUDITED]))
+
+
+# Shipment rows of an order when its statuses come, in either load.
+_HELD_SQL = (
+    "(SELECT count(DISTINCT sscc18) FROM loads WHERE l_orderkey = o_orderkey AND has_order AND load <= {load})"
+)
+_TOLD_SQL = " UNION ALL ".join(
+    f"SELECT '{batch}' AS batch, '{name}' AS file_name, '{kind}' AS kind, {_HELD_SQL.format(load=batch[-1])} AS n FROM orders WHERE {which}"
+    for batch in ("load-0", "load-1")
+    for name, kind, which in (("all.csv", "order_status", "TRUE"), ("level.csv", "order_level", "o_orderkey % 2 = 0"))
 )
+_AUDIT_SQL = f"""
+WITH xs AS (
+  SELECT l_orderkey, l_returnflag AS flag, l_partkey % 9 <> 0 AS has_order,
+    lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 18, '0') AS sscc18 FROM lineitem),
+-- Equal rows without an order are all added, in either load; one with an order is added once.
+loads AS (SELECT 0 AS load, * FROM xs WHERE flag = 'A' UNION ALL SELECT 1, * FROM xs WHERE flag <> 'N'),
+firsts AS (SELECT sscc18, min(load) AS load FROM loads WHERE has_order GROUP BY 1),
+ships AS (
+  SELECT 'load-' || load AS batch, count(*) AS p, count(DISTINCT (sscc18, has_order)) AS u,
+    count(*) FILTER (NOT has_order) + (SELECT count(*) FROM firsts WHERE firsts.load = loads.load) AS i
+  FROM loads GROUP BY load),
+told AS ({_TOLD_SQL}),
+r AS ({_CREDIT_SQL.replace('SELECT ', 'SELECT l_returnflag, ', 1)}),
+credit_keys AS (SELECT DISTINCT l_returnflag = 'A' AS first, carrier_bp, credit, count FROM r),
+credit_rows AS (SELECT l_returnflag = 'A' AS first, count(*) AS p, count(*) FILTER (credit IS NULL) AS loose FROM r GROUP BY 1),
+c AS ({_UPSERT_SQL}),
+claim_keys AS (
+  SELECT DISTINCT l_returnflag = 'A' AS first, claim_date, coalesce(order_id, '') AS o, coalesce(sscc18, '') AS s, claim_amount FROM c),
+claim_rows AS (SELECT l_returnflag = 'A' AS first, count(*) AS p FROM c GROUP BY 1),
+counts AS (
+  SELECT batch, 'ship.csv' AS file_name, 'shipments' AS kind, p, u, i, 0 AS up, NULL::BIGINT AS told, NULL::BIGINT AS missed FROM ships
+  UNION ALL
+  SELECT batch, file_name, kind, count(*), NULL, 0, 0, sum(n), count(*) FILTER (n = 0) FROM told GROUP BY batch, file_name, kind
+  UNION ALL
+  SELECT CASE WHEN first THEN 'load-0' ELSE 'load-1' END, 'rma.xlsx', 'rma', p, k.u, loose + k.i, 0, NULL, NULL
+  FROM credit_rows JOIN (
+    SELECT first, count(*) AS u, count(*) FILTER (credit IS NOT NULL AND (first OR NOT EXISTS (
+      SELECT 1 FROM credit_keys o WHERE o.first AND o.carrier_bp = n.carrier_bp AND o.credit = n.credit AND o.count = n.count))) AS i
+    FROM credit_keys n GROUP BY first) k USING (first)
+  UNION ALL
+  SELECT CASE WHEN first THEN 'load-0' ELSE 'load-1' END, 'claims', 'rma', p, k.u, k.i, k.u - k.i, NULL, NULL
+  FROM claim_rows JOIN (
+    SELECT first, count(*) AS u, count(*) FILTER (first OR NOT EXISTS (
+      SELECT 1 FROM claim_keys o WHERE o.first AND o.claim_date = n.claim_date AND o.o = n.o AND o.s = n.s AND o.claim_amount = n.claim_amount)) AS i
+    FROM claim_keys n GROUP BY first) k USING (first))
+SELECT batch, file_name, kind AS file_kind, 'loaded' AS outcome, p::BIGINT AS parsed_rows, u::BIGINT AS unique_rows,
+  i::BIGINT AS inserted_rows, up::BIGINT AS updated_rows, CASE WHEN told IS NULL THEN p - i - up ELSE 0 END::BIGINT AS duplicate_rows,
+  (p - u)::BIGINT AS duplicate_rows_in_file, greatest(u - i - up, CASE WHEN u IS NOT NULL THEN 0 END)::BIGINT AS duplicate_rows_existing,
+  told::BIGINT AS shipments_updated, missed::BIGINT AS not_found_rows, NULL::BIGINT AS rejected_rows
+FROM counts
+"""
+_add("snk2_load_audit", _snk2, _AUDIT_SQL)
 
 
 def _t4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The history follows the stored claims after a load."""
+    """The history after two loads of claims, the second with days before, between and after those of the first."""
     tables = Tables(spark, _folder(spark))
     rows = claims(spark, sf_dir)
-    tables.append("claim_details", rows)
-    tables.replace("claim_daily_history", series.daily_history(tables.read("claim_details")))
+    row = F.xxhash64(*rows.columns).alias("row")
+    seq = F.struct(F.lit("claims").alias("file_name"), F.lit(0).cast("long").alias("block"), row)
+    rows = rows.withColumns(
+        {"file_name": F.lit("claims"), "seq": seq, "claim_date": F.col("claim_date").cast("timestamp")}
+    )
+    for batch, chosen in enumerate(
+        ("month(claim_date) IN (2, 3, 9)", "month(claim_date) NOT IN (2, 3, 9) OR day(claim_date) = 5")
+    ):
+        ingest.load_rows(tables, {"claims": rows.filter(chosen)}, f"claims-{batch}")
     return plain(tables.read("claim_daily_history"))
 
 
-_add("t4_refresh_history", _t4, _HISTORY_SQL.format(head=f"WITH cl AS ({CL_SQL})", source="cl"))
+_add(
+    "t4_refresh_history",
+    _t4,
+    _HISTORY_SQL.format(
+        head=f"WITH cl AS ({CL_SQL}), kept AS (SELECT DISTINCT claim_date, coalesce(order_id, '') AS o,"
+        " coalesce(sscc18, '') AS p, claim_amount FROM cl)",
+        source="kept",
+    ),
+)
