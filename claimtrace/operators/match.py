@@ -11,6 +11,8 @@ of an order key already tells 7 from 8.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,17 +41,44 @@ def claim_order_key(order_id: Column) -> Column:
     return F.when(F.length(order_id).isin(*SUFFIX_LENGTHS), F.concat(F.lit("O"), order_id))
 
 
-def shipment_keys(
-    shipments: DataFrame, params: Params | None = None, status: str | None = None
-) -> DataFrame:
-    """All match keys of the shipments, one row per shipment and key, with the order status.
+@dataclass(frozen=True)
+class MatchKeys:
+    """The match keys of the stored shipments, kept by the loads; reports take them in place of the shipments.
 
-    ``params`` restricts the carriers, ``status`` the order status.
+    ``counts``: ``match_key scac order_status n``, bucketed by ``match_key``. The ``n`` of a key, carrier and status add
+    up to the shipments that have them, so a shipment that changed its status counts where it is now.
     """
-    if params is not None:
-        shipments = filters.carriers(shipments, params)
-    if status is not None:
-        shipments = shipments.filter(F.col("order_status") == status)
+
+    counts: DataFrame
+
+    def chosen(self, params: Params | None, status: str | None) -> DataFrame:
+        counts = self.counts if params is None else filters.carriers(self.counts, params)
+        return counts if status is None else counts.filter(F.col("order_status") == status)
+
+    def known(self, params: Params | None, status: str | None) -> DataFrame:
+        """The keys that some shipment has, each once; grouped where they lie."""
+        held = self.chosen(params, status).groupBy("match_key").agg(F.sum("n").alias("n"))
+        return held.filter("n > 0").select("match_key")
+
+    def with_status(self, params: Params | None) -> DataFrame:
+        """The keys with each status that some shipment has."""
+        held = self.chosen(params, None).groupBy("match_key", "order_status").agg(F.sum("n").alias("n"))
+        return held.filter("n > 0").drop("n")
+
+
+def key_counts(shipments: DataFrame, n: Column | int = 1) -> DataFrame:
+    """Rows of ``MatchKeys`` for shipments, each of which counts ``n`` times."""
+    each = n if isinstance(n, Column) else F.lit(n)
+    counted = shipments.withColumn("_n", each.cast("long")).select(
+        "scac", "order_status", "_n", F.explode(_keys()).alias("match_key")
+    )
+    counted = counted.filter(F.col("match_key").isNotNull())
+    summed = counted.groupBy("match_key", "scac", "order_status").agg(F.sum("_n").alias("n"))
+    return summed.filter("n <> 0")
+
+
+def _keys() -> Column:
+    """All match keys of a shipment; some can be NULL."""
     keys = [package_key(F.col("sscc18"))]
     for n in SUFFIX_LENGTHS:
         keys.append(
@@ -58,18 +87,42 @@ def shipment_keys(
                 F.concat(F.lit("O"), F.right(F.col("order_id"), F.lit(n))),
             )
         )
-    return shipments.select(
-        "order_status", F.explode(F.array(*keys)).alias("match_key")
-    ).filter(F.col("match_key").isNotNull())
+    return F.array(*keys)
 
 
-def _known(keys: DataFrame) -> DataFrame:
-    return keys.select("match_key").distinct().withColumn("hit", F.lit(True))
+def shipment_keys(
+    shipments: DataFrame | MatchKeys, params: Params | None = None, status: str | None = None
+) -> DataFrame:
+    """All match keys of the shipments with the order status, one row per shipment and key or less.
+
+    ``params`` restricts the carriers, ``status`` the order status.
+    """
+    if isinstance(shipments, MatchKeys):
+        if status is None:
+            return shipments.with_status(params)
+        return shipments.known(params, status).withColumn("order_status", F.lit(status))
+    if params is not None:
+        shipments = filters.carriers(shipments, params)
+    if status is not None:
+        shipments = shipments.filter(F.col("order_status") == status)
+    return shipments.select("order_status", F.explode(_keys()).alias("match_key")).filter(
+        F.col("match_key").isNotNull()
+    )
+
+
+def _known(
+    shipments: DataFrame | MatchKeys, params: Params | None, status: str | None
+) -> DataFrame:
+    if isinstance(shipments, MatchKeys):
+        keys = shipments.known(params, status)
+    else:
+        keys = shipment_keys(shipments, params, status).select("match_key").distinct()
+    return keys.withColumn("hit", F.lit(True))
 
 
 def with_hits(
     claims: DataFrame,
-    shipments: DataFrame,
+    shipments: DataFrame | MatchKeys,
     params: Params | None = None,
     status: str | None = PERFECT,
     hot_rows: int = HOT_ROWS,
@@ -79,14 +132,14 @@ def with_hits(
         "package_hit": package_key(F.col("sscc18")),
         "order_hit": claim_order_key(F.col("order_id")),
     }
-    known = _known(shipment_keys(shipments, params, status))
+    known = _known(shipments, params, status)
     hits = attach(claims, wanted, known, "match_key", "hit", _SPREAD_BY, hot_rows)
     return hits.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in wanted})
 
 
 def with_match(
     claims: DataFrame,
-    shipments: DataFrame,
+    shipments: DataFrame | MatchKeys,
     params: Params | None = None,
     status: str | None = PERFECT,
     hot_rows: int = HOT_ROWS,
@@ -100,7 +153,7 @@ def with_match(
 
 def matched_claims(
     claims: DataFrame,
-    shipments: DataFrame,
+    shipments: DataFrame | MatchKeys,
     params: Params | None = None,
     status: str | None = PERFECT,
     hot_rows: int = HOT_ROWS,
@@ -113,7 +166,7 @@ def matched_claims(
 
 def unmatched_claims(
     claims: DataFrame,
-    shipments: DataFrame,
+    shipments: DataFrame | MatchKeys,
     params: Params | None = None,
     status: str | None = None,
     hot_rows: int = HOT_ROWS,
@@ -127,7 +180,7 @@ def unmatched_claims(
 
 def with_match_few(
     claims: DataFrame,
-    shipments: DataFrame,
+    shipments: DataFrame | MatchKeys,
     params: Params | None = None,
     status: str | None = None,
 ) -> DataFrame:
@@ -160,7 +213,7 @@ def with_match_few(
 
 def with_reason(
     claims: DataFrame,
-    shipments: DataFrame,
+    shipments: DataFrame | MatchKeys,
     params: Params | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:

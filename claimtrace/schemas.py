@@ -148,7 +148,9 @@ STATUS_ROWS = T.StructType(
     + SEQ.fields
     + _schema(("applied_at", _TIME), ("file_time", _TIME), ("is_order", T.BooleanType())).fields
 )
-STORED = {**TABLES, "status_rows": STATUS_ROWS}
+# How many shipments have a match key, carrier and status; loads add what changes, so the numbers of a key add up.
+MATCH_KEYS = _schema(("match_key", _TEXT), ("scac", _TEXT), ("order_status", _TEXT), ("n", T.LongType()))
+STORED = {**TABLES, "status_rows": STATUS_ROWS, "match_keys": MATCH_KEYS}
 
 # Length limits of the stored text columns; see ``over_long``.
 TEXT_LIMITS = {

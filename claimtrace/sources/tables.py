@@ -12,6 +12,7 @@ Two loads into the same tables at once: the second one to publish fails, and can
 
 from __future__ import annotations
 
+import hashlib
 import json
 import tempfile
 from collections.abc import Iterator, Sequence
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimtrace import schemas
+from claimtrace.operators.match import MatchKeys, key_counts
 from claimtrace.sources.files import literal_path
 
 # Column that decides the month of a row in the tables partitioned by month.
@@ -255,7 +257,7 @@ class Tables(_Reader):
         """The newest list and its number, 0 before the first one."""
         versions = self._versions()
         if not versions:
-            return 0, {"parts": {}, "streams": {}}
+            return 0, {"parts": {}, "streams": {}, "keyed": None, "buckets": None}
         if versions[-1] != self._known[0]:
             self._known = (versions[-1], json.loads(self._store.read(self._version_file(versions[-1]))))
         return self._known
@@ -279,6 +281,45 @@ class Tables(_Reader):
                     break
         return found
 
+    def match_keys(self) -> MatchKeys:
+        """The match keys of the stored shipments, in place of the shipments in reports.
+
+        Kept by loads; where shipments were written otherwise, they are made from them.
+        """
+        published = self._published()[1]
+        if published.get("keyed") != _signature(published["parts"]):
+            return MatchKeys(key_counts(self.read("shipments")))
+        parts = self.parts("match_keys").get("", [])
+        if not parts:
+            return MatchKeys(self.read("match_keys"))
+        return MatchKeys(self._buckets(parts).drop(PART))
+
+    def _bucketed(self) -> str:
+        """The catalog's name of the match keys, whose files it knows to be bucketed by key."""
+        name = "claimtrace_keys_" + hashlib.sha256(self.path("match_keys").encode()).hexdigest()[:16]
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.MATCH_KEYS.fields)
+            where = self.path("match_keys").replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}, {PART} STRING) USING parquet PARTITIONED BY ({PART})"
+                f" CLUSTERED BY (match_key) INTO {self._bucket_count()} BUCKETS LOCATION '{where}'"
+            )
+        return name
+
+    def _bucket_count(self) -> int:
+        """As many as a shuffle had partitions when the first keys were written."""
+        stored = self._published()[1].get("buckets")
+        return stored or max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def _buckets(self, parts: list[str]) -> DataFrame:
+        name = self._bucketed()
+        known = {r[0].removeprefix(f"{PART}=") for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        fresh = [p for p in parts if p not in known]
+        if fresh:
+            named = " ".join(f"PARTITION ({PART} = '{p}')" for p in fresh)
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {named}")
+        return self.spark.table(name).filter(F.col(PART).isin(*parts))
+
     def last_batch(self, stream: str) -> int:
         """The number of the last published batch of a stream, -1 before the first."""
         return self._published()[1]["streams"].get(stream, -1)
@@ -322,6 +363,11 @@ class Tables(_Reader):
             self._store.remove(self._version_file(old))
 
 
+def _signature(parts: _Parts) -> str:
+    """What the stored shipments are made of."""
+    return hashlib.sha256(json.dumps(parts.get("shipments", {}), sort_keys=True).encode()).hexdigest()
+
+
 def _level(part: str) -> int:
     """The size class of a part, from its name."""
     return int(part.rpartition(_LEVEL)[2])
@@ -343,6 +389,9 @@ class Load(_Reader):
         self._id = f"{version + 1:08d}-{uuid4().hex[:12]}"
         self._parts: _Parts = {n: {v: list(ps) for v, ps in held.items()} for n, held in published["parts"].items()}
         self._streams = dict(published["streams"])
+        self._buckets = published.get("buckets")
+        # Whether the match keys are those of the shipments.
+        self.keyed = not self._parts.get("shipments") or published.get("keyed") == _signature(self._parts)
         self._written: dict[str, dict[str, list[str]]] = {}
         self._count = 0
 
@@ -369,7 +418,12 @@ class Load(_Reader):
         # Counted behind the last shuffle, where a task that is run again counts once.
         counted, rows = Observation(), F.count(F.lit(1)).alias("rows")
         partition = _partition(name)
-        if partition is None:
+        if name == "match_keys":
+            self._buckets = self.tables._bucket_count()
+            dealt = shaped.repartition(self._buckets, "match_key").observe(counted, rows)
+            dealt.write.mode("append").insertInto(self.tables._bucketed())
+            found = [""] if self.tables._store.names(self._folder(name, "", part)) else []
+        elif partition is None:
             shaped.observe(counted, rows).write.partitionBy(PART).mode("append").parquet(self.path(name))
             found = [""] if self.tables._store.names(self._folder(name, "", part)) else []
         else:
@@ -390,6 +444,7 @@ class Load(_Reader):
         held = self._parts.setdefault(name, {})
         for value in values:
             held.setdefault(value, []).append(part)
+        self.keyed = self.keyed and not (name == "shipments" and values)
         return rows
 
     def rewrite_months(self, name: str, df: DataFrame) -> int:
@@ -398,12 +453,14 @@ class Load(_Reader):
         held = self._parts.setdefault(name, {})
         for value in values:
             held[value] = [part]
+        self.keyed = self.keyed and not (name == "shipments" and values)
         return rows
 
     def replace(self, name: str, df: DataFrame) -> int:
         """Replaces a whole table, from which ``df`` may be made."""
         values, part, rows = self._write(name, df)
         self._parts[name] = {value: [part] for value in values}
+        self.keyed = self.keyed and name != "shipments"
         return rows
 
     def read_parts(self, name: str, value: str, parts: list[str]) -> DataFrame:
@@ -420,6 +477,7 @@ class Load(_Reader):
 
     def empty(self, name: str) -> None:
         self._parts[name] = {}
+        self.keyed = not self._parts.get("shipments") and not self._parts.get("match_keys")
 
     def written(self, name: str) -> DataFrame:
         """The rows that this load wrote to a table."""
@@ -429,7 +487,8 @@ class Load(_Reader):
         """Makes the changes visible, all at once; ``stream`` names a stream and the number of its batch."""
         if stream is not None:
             self._streams[stream[0]] = stream[1]
-        text = json.dumps({"parts": self._parts, "streams": self._streams})
+        keyed = _signature(self._parts) if self.keyed else None
+        text = json.dumps({"parts": self._parts, "streams": self._streams, "keyed": keyed, "buckets": self._buckets})
         if not self.tables._store.publish(self.tables._version_file(self._version + 1), text):
             raise RuntimeError("another load was published in the meantime; run this one again")
         self.tables._clear(self._version + 1)

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from claimtrace import schemas
 from claimtrace.functions.report import day
-from claimtrace.operators import merge, statuses
+from claimtrace.operators import match, merge, statuses
 from claimtrace.operators.lookup import attach, is_small
 from claimtrace.operators.series import refresh_history
 from claimtrace.sources import files as file_source
@@ -142,6 +142,7 @@ def _new_shipments(load: Load, rows: DataFrame) -> DataFrame:
         {
             "source_file": F.col("file_name"),
             "ingested_at": F.current_timestamp(),
+            "order_status": F.lit(None).cast("string"),
             "seq": F.struct(file_source.load_order(F.col("file_name")), F.col("seq")),
         }
     ).drop("file_name")
@@ -188,9 +189,10 @@ def _apply_statuses(load: Load, fresh: DataFrame | None, events: DataFrame | Non
     shipment rows that each number of ``events`` is about.
     """
     held = load.read("shipments")
-    known = bool(load.parts("status_rows"))
+    known, keyed = bool(load.parts("status_rows")), load.keyed
     if fresh is not None and not known and events is None:
         load.append("shipments", fresh)
+        _follow(load, keyed, [(fresh, 1)])
         return None
     new_orders = durable(statuses.order_counts(fresh)) if fresh is not None else None
     found: list[DataFrame] = []  # held orders to look at again, and whether their status may go
@@ -230,17 +232,36 @@ def _apply_statuses(load: Load, fresh: DataFrame | None, events: DataFrame | Non
         asked = more if asked is None else asked.unionByName(more)
     asked = durable(asked.groupBy("order_id").agg(F.max("may_go").alias("may_go")))
     resolved = durable(statuses.resolve(asked, _kept_near(load, asked)).join(asked, "order_id"))
-    if found:
-        _rewrite_changed(load, held, resolved)
+    moves = _rewrite_changed(load, held, resolved) if found else []
     if fresh is not None:
         small = is_small(resolved)
         status = attach(fresh, {"_status": F.col("order_id")}, resolved, "order_id", "status", _SPREAD_BY, small=small)
-        load.append("shipments", status.withColumn("order_status", F.col("_status")).drop("_status"))
+        fresh = status.withColumn("order_status", F.col("_status")).drop("_status")
+        load.append("shipments", fresh)
+        moves.append((fresh, 1))
+    _follow(load, keyed, moves)
     return numbers
 
 
-def _rewrite_changed(load: Load, held: DataFrame, resolved: DataFrame) -> None:
-    """Writes the months anew in which ``resolved`` gives a stored shipment another status."""
+def _follow(load: Load, keyed: bool, moves: list[tuple[DataFrame, int]]) -> None:
+    """Brings the match keys up to date: by the shipments that came (1) or went (-1), or from all of them."""
+    if not keyed:
+        load.replace("match_keys", match.key_counts(load.read("shipments")))
+    elif moves:
+        columns = ("sscc18", "order_id", "scac", "order_status")
+        rows = [df.select(*columns, F.lit(n).alias("_each")) for df, n in moves]
+        every = rows[0]
+        for more in rows[1:]:
+            every = every.unionByName(more)
+        load.append("match_keys", match.key_counts(every, F.col("_each")))
+    load.keyed = True
+
+
+def _rewrite_changed(load: Load, held: DataFrame, resolved: DataFrame) -> list[tuple[DataFrame, int]]:
+    """Writes the months anew in which ``resolved`` gives a stored shipment another status.
+
+    Returns the shipments that changed, as they were (-1) and as they are (1).
+    """
     small = is_small(resolved)
     value = resolved.select("order_id", F.struct("status", "may_go").alias("_set"))
 
@@ -250,11 +271,14 @@ def _rewrite_changed(load: Load, held: DataFrame, resolved: DataFrame) -> None:
         status = F.when(gone, F.lit(None)).otherwise(F.coalesce("_new.status", "order_status"))
         return found.withColumn("_after", status).drop("_new")
 
-    changed = after(held.select("order_id", "order_status", *_SPREAD_BY))
-    months = months_of(changed.filter(~F.col("_after").eqNullSafe(F.col("order_status"))), "shipments")
-    if months:
-        whole = after(load.read_months("shipments", months))
-        load.rewrite_months("shipments", whole.withColumn("order_status", F.col("_after")).drop("_after"))
+    changed = after(held.select("order_id", "order_status", "scac", *_SPREAD_BY))
+    changed = durable(changed.filter(~F.col("_after").eqNullSafe(F.col("order_status"))))
+    months = months_of(changed, "shipments")
+    if not months:
+        return []
+    whole = after(load.read_months("shipments", months))
+    load.rewrite_months("shipments", whole.withColumn("order_status", F.col("_after")).drop("_after"))
+    return [(changed, -1), (changed.withColumn("order_status", F.col("_after")), 1)]
 
 
 def _status_counts(events: DataFrame, numbers: DataFrame) -> DataFrame:
@@ -599,6 +623,8 @@ def tidy(tables: Tables, most: int = PARTS_AT_MOST) -> int:
             rows = load.read_parts(name, value, parts)
             if name == "status_rows":
                 rows = statuses.latest(rows).withColumn("applied_at", F.current_timestamp())
+            if name == "match_keys":
+                rows = rows.groupBy("match_key", "scac", "order_status").agg(F.sum("n").alias("n")).filter("n <> 0")
             load.merge(name, value, parts, rows)
     return len(crowded)
 

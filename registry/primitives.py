@@ -518,7 +518,7 @@ _CLAIM_SELECT = "claim_date, order_id, sscc18, CAST(claim_amount AS DOUBLE) AS c
 
 _add(
     "j1_match_perfect_semi",
-    from_views(lambda sh, cl: match.matched_claims(cl, sh, PARAMS).select(_CLAIM_COLUMNS), "sh", "cl"),
+    from_views(lambda sh, cl: match.matched_claims(cl, sh, PARAMS).select(_CLAIM_COLUMNS), "keys", "cl"),
     f"{WITH_BOTH}, f AS ({flagged('TRUE', _PERFECT_SQL)}) SELECT {_CLAIM_SELECT} FROM f WHERE matched",
 )
 _add(
@@ -546,7 +546,7 @@ _add(
 _add(
     "j4_match_flag_column",
     from_views(
-        lambda sh, cl: match.with_match(cl, sh, PARAMS).select(*_CLAIM_COLUMNS, "matched"), "sh", "cl"
+        lambda sh, cl: match.with_match(cl, sh, PARAMS).select(*_CLAIM_COLUMNS, "matched"), "keys", "cl"
     ),
     f"{WITH_BOTH}, f AS ({flagged('TRUE', _PERFECT_SQL)}) SELECT {_CLAIM_SELECT}, matched FROM f",
 )
@@ -847,7 +847,7 @@ _VERIFIED_SQL = f"{WITH_BOTH}, f AS ({flagged(f'{CTF} AND {CT} AND {BU}', _PERFE
 _add(
     "r3_footer_sum_count",
     from_views(
-        lambda sh, cl: reducers.footer(summary.verified_shortage_details(sh, cl, PARAMS), "shortage"), "sh", "cl"
+        lambda sh, cl: reducers.footer(summary.verified_shortage_details(sh, cl, PARAMS), "shortage"), "keys", "cl"
     ),
     f"{_VERIFIED_SQL} SELECT count(*) AS row_count, CAST(sum(abs(claim_amount)) AS DOUBLE) AS total"
     " FROM f WHERE matched",
@@ -908,14 +908,14 @@ _add(
         lambda sh, cl: match.with_reason(cl, sh).select(
             *_CLAIM_COLUMNS, "order_scanned", "match_reason", "order_status"
         ),
-        "sh",
+        "keys",
         "cl",
     ),
     f"{_REASON_SQL} SELECT {_CLAIM_SELECT}, order_scanned, match_reason, order_status FROM z",
 )
 _add(
     "r7_valid_by_status_matrix",
-    from_views(lambda sh, cl: match.scanned_by_status(match.with_reason(cl, sh)), "sh", "cl"),
+    from_views(lambda sh, cl: match.scanned_by_status(match.with_reason(cl, sh)), "keys", "cl"),
     f"{_REASON_SQL} SELECT order_scanned, order_status, count(*) AS claims,"
     " CAST(sum(abs(claim_amount)) AS DOUBLE) AS amount FROM z GROUP BY 1, 2",
 )

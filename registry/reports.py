@@ -7,7 +7,7 @@ from dataclasses import replace
 from claimtrace.plans import monthly, scans, summary, volume
 from registry.views import (
     BU, CF, CT, CTF, FROM, LAST_MONTH, MONTH, PARAMS, STF, TO, WITH_BOTH, WITH_CL, WITH_SH,
-    Query, claims, flagged, from_views, plain, rounded, shipments,
+    Query, claims, flagged, from_views, match_keys, plain, rounded, shipments,
 )
 
 _PERFECT = f"{CF} AND order_status = 'Perfect'"
@@ -119,7 +119,7 @@ _WIDE = replace(PARAMS, order_contains="9", sscc_contains="")
 
 
 def _rounded(build, *needed: str, round_columns: dict[str, int], **options) -> Query:
-    sources = {"sh": shipments, "cl": claims}
+    sources = {"sh": shipments, "cl": claims, "keys": match_keys}
 
     def run(spark, sf_dir):
         frames = [sources[n](spark, sf_dir) for n in needed]
@@ -135,12 +135,12 @@ def _k(build, *needed: str) -> Query:
 QUERIES: dict[str, Query] = {
     "k1_orders_shipped_mom": _k(summary.orders_shipped_mom, "sh"),
     "k2_claims_submitted_mom": _k(summary.claims_submitted_mom, "cl"),
-    "k3_verified_shortages_mom": _k(summary.verified_shortages_mom, "sh", "cl"),
-    "k4_saved_mom": _k(summary.saved_mom, "sh", "cl"),
+    "k3_verified_shortages_mom": _k(summary.verified_shortages_mom, "keys", "cl"),
+    "k4_saved_mom": _k(summary.saved_mom, "keys", "cl"),
     "k5_weekly_orders_vs_claims": _k(summary.weekly_orders_vs_claims, "sh", "cl"),
-    "k6_verified_invalid_by_customer": _k(summary.verified_invalid_by_customer, "sh", "cl"),
-    "k7_saved_total": _k(summary.saved_total, "sh", "cl"),
-    "k8_verified_shortage_details": _k(summary.verified_shortage_details, "sh", "cl"),
+    "k6_verified_invalid_by_customer": _k(summary.verified_invalid_by_customer, "keys", "cl"),
+    "k7_saved_total": _k(summary.saved_total, "keys", "cl"),
+    "k8_verified_shortage_details": _k(summary.verified_shortage_details, "keys", "cl"),
     "k9_shipments_per_hour": _k(volume.shipments_per_hour, "sh"),
     "k10_total_shipments": _k(volume.total_shipments, "sh"),
     "k11_unique_carriers": _k(volume.unique_carriers, "sh"),
@@ -184,17 +184,17 @@ QUERIES: dict[str, Query] = {
     "k29_scan_log": _k(scans.scan_log, "sh"),
     "k30_claims_received_monthly": _k(monthly.claims_received_monthly, "cl"),
     "k31_would_have_paid_monthly": _k(monthly.would_have_paid_monthly, "cl"),
-    "k32_refutable_monthly": _k(monthly.refutable_monthly, "sh", "cl"),
-    "k33_avoidable_spend_monthly": _k(monthly.avoidable_spend_monthly, "sh", "cl"),
+    "k32_refutable_monthly": _k(monthly.refutable_monthly, "keys", "cl"),
+    "k33_avoidable_spend_monthly": _k(monthly.avoidable_spend_monthly, "keys", "cl"),
     "k34_actually_paid_monthly": _k(monthly.actually_paid_monthly, "cl"),
-    "k35_paid_vs_should_have": _k(monthly.paid_vs_should_have, "sh", "cl"),
-    "k36_coverage_claims_pct": _k(monthly.coverage_claims_pct, "sh", "cl"),
-    "k37_coverage_dollars_pct": _k(monthly.coverage_dollars_pct, "sh", "cl"),
-    "k38_received_vs_refutable": _k(monthly.received_vs_refutable, "sh", "cl"),
-    "k39_monthly_summary": _k(monthly.monthly_summary, "sh", "cl"),
-    "k40_missed_claims_last_month": _k(monthly.missed_claims_last_month, "sh", "cl"),
-    "k41_missed_savings_last_month": _k(monthly.missed_savings_last_month, "sh", "cl"),
-    "k42_bottom_line_text": _k(monthly.bottom_line_text, "sh", "cl"),
+    "k35_paid_vs_should_have": _k(monthly.paid_vs_should_have, "keys", "cl"),
+    "k36_coverage_claims_pct": _k(monthly.coverage_claims_pct, "keys", "cl"),
+    "k37_coverage_dollars_pct": _k(monthly.coverage_dollars_pct, "keys", "cl"),
+    "k38_received_vs_refutable": _k(monthly.received_vs_refutable, "keys", "cl"),
+    "k39_monthly_summary": _k(monthly.monthly_summary, "keys", "cl"),
+    "k40_missed_claims_last_month": _k(monthly.missed_claims_last_month, "keys", "cl"),
+    "k41_missed_savings_last_month": _k(monthly.missed_savings_last_month, "keys", "cl"),
+    "k42_bottom_line_text": _k(monthly.bottom_line_text, "keys", "cl"),
 }
 
 _CLAIMS = f"{CT} AND {BU}"

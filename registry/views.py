@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimtrace import Params
+from claimtrace.operators.match import MatchKeys, key_counts
+from claimtrace.sources.tables import Tables, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +101,24 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.selectExpr(*[f"{sql} AS {name}" for name, sql in _CLAIM_COLUMNS.items()])
 
 
+_KEYS: dict[tuple, MatchKeys] = {}
+
+
+def match_keys(spark: SparkSession, sf_dir: str) -> MatchKeys:
+    """The match keys of the shipments as a load keeps them: written for the first report, and when the tables change."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    place: tuple = (spark.sparkContext.applicationId,)
+    for name in ("lineitem", "orders"):
+        file = path(f"{sf_dir}/{name}.parquet")
+        status = file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file)
+        place += (str(file), status.getLen(), status.getModificationTime())
+    if place not in _KEYS:
+        tables = Tables(spark, f"{shared_folder(spark)}/claimtrace-keys-{uuid4().hex}")
+        tables.append("match_keys", key_counts(shipments(spark, sf_dir)))
+        _KEYS[place] = tables.match_keys()
+    return _KEYS[place]
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Types that read the same from Spark and from SQL: whole numbers long, others double."""
 
@@ -118,7 +139,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def from_views(build: Callable[..., DataFrame], *needed: str, **options) -> Query:
     """A query that hands the named views to ``build``."""
-    sources = {"sh": shipments, "cl": claims}
+    sources = {"sh": shipments, "cl": claims, "keys": match_keys}
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         frames = [sources[n](spark, sf_dir) for n in needed]
