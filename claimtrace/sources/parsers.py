@@ -67,19 +67,16 @@ def reject_counts(parsed: DataFrame) -> DataFrame:
 def parse_shipments_csv(grid: DataFrame) -> DataFrame:
     """Shipments of a CSV export."""
     rows = _csv_rows(grid, SHIPMENT_CSV)
-    package = cells.clean_text(text_grid.cell("sscc18"))
-    when = cells.parse_datetime(text_grid.cell("appointment_date"))
-    typed = rows.select(
-        "file_name",
-        "seq",
-        when.alias("appointment_date"),
+    made = F.struct(
+        cells.parse_datetime(text_grid.cell("appointment_date")).alias("appointment_date"),
         F.lit(None).cast("string").alias("pro_number"),
-        package.alias("sscc18"),
+        cells.clean_text(text_grid.cell("sscc18")).alias("sscc18"),
         cells.clean_text(text_grid.cell("scac")).alias("scac"),
         cells.clean_text(text_grid.cell("order_number")).alias("order_id"),
         cells.clean_text(text_grid.cell("kargo_shipment_id")).alias("shipment_id"),
-        "broken",
     )
+    # As a generator's output, the cells are parsed once, not again in each filter on them.
+    typed = rows.select("file_name", "seq", F.inline(F.array(made)), "broken")
     return typed.withColumn(
         "reject_reason",
         F.when(F.col("broken"), F.lit(BROKEN))

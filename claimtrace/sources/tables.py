@@ -89,26 +89,25 @@ def read_jdbc(
     url: str,
     name: str,
     properties: dict[str, str],
-    split: tuple[str, str, str, int] | None = None,
+    split: tuple[str, str, str, int],
 ) -> DataFrame:
     """A table of an existing database, in the declared schema.
 
-    ``split`` names a number or time column, its range, and in how many parts to read
-    it; without it one task reads the whole table.
+    ``split`` names a number or time column, its range, and in how many parts to read it, so that no task
+    reads the whole table; rows beyond the range are in the first and the last part.
     """
-    if split is None:
-        rows = spark.read.jdbc(url, name, properties=properties)
-    else:
-        column, low, high, parts = split
-        rows = spark.read.jdbc(
-            url,
-            name,
-            column=column,
-            lowerBound=low,
-            upperBound=high,
-            numPartitions=parts,
-            properties=properties,
-        )
+    column, low, high, parts = split
+    if parts < 1:
+        raise ValueError("a table is read in one part at least")
+    rows = spark.read.jdbc(
+        url,
+        name,
+        column=column,
+        lowerBound=low,
+        upperBound=high,
+        numPartitions=parts,
+        properties=properties,
+    )
     return schemas.conform(rows, schemas.TABLES[name])
 
 
