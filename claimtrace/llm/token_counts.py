@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimtrace.llm import tokens
-from claimtrace.llm.common import whole_text
+from claimtrace.llm.common import whole_text, written
 
 SPAN = 1024  # lengths summed by one window
 
@@ -36,10 +36,10 @@ def _counts(path: str):
 
 
 def histogram(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``length, docs``: how many whole texts encode to each number of tokens."""
+    """``length, docs``: how many whole texts encode to each number of tokens; written, as sums read it twice."""
     rows = docs.select(whole_text(text_col).cast("binary").alias("text"))
     counted = rows.mapInArrow(_counts(path), "length long, docs long")
-    return counted.groupBy("length").agg(F.sum("docs").alias("docs"))
+    return written(counted.groupBy("length").agg(F.sum("docs").alias("docs")), "token-histogram")
 
 
 def suffix_sums(hist: DataFrame) -> DataFrame:
