@@ -238,7 +238,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_structure_repair": op13_structure_repair,
 }
 
+_WORDS_SQL = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+# A word is covered if the last repeated window to start at or before it reaches it.
+_REPEATS_SQL = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS rid, {_WORDS_SQL.format(text="coalesce(text, '')")} AS w FROM documents),
+windows AS (SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM docs, unnest(range(1, len(w) - 33)) t(i)),
+repeated AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY k) > 1),
+words AS (SELECT rid, j, w[j] AS word FROM docs, unnest(range(1, len(w) + 1)) t(j)),
+marked AS (
+  SELECT rid, j, word, coalesce(max(r.i) OVER (PARTITION BY rid ORDER BY j) >= j - 34, FALSE) AS gone
+  FROM words LEFT JOIN (SELECT rid, i AS j, i FROM repeated) r USING (rid, j))
+SELECT any_value(doc_id) AS doc_id, count(j) AS n_words, count(*) FILTER (gone) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY j) FILTER (NOT gone), '')) AS kept_sha256
+FROM docs LEFT JOIN marked USING (rid) GROUP BY rid
+"""
+
+# All pairs of different sets that share a shingle; what is reachable through links, set by set.
+_NEAR_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, row_number() OVER () AS rid, {_WORDS_SQL.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')")} AS w FROM documents),
+members AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS k FROM docs, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) t(i)),
+sets AS (SELECT rid, count(*) AS n, md5(string_agg(k, chr(10) ORDER BY k)) AS node FROM members GROUP BY rid),
+nodes AS (SELECT node, any_value(n) AS n, min(rid) AS rid FROM sets GROUP BY node),
+parts AS (SELECT node, n, k FROM nodes JOIN members USING (rid)),
+links AS (
+  SELECT a.node AS a, b.node AS b FROM parts a JOIN parts b ON a.k = b.k AND a.node <> b.node
+  GROUP BY a.node, b.node HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT node AS a, node AS b FROM nodes UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT node, min(doc_id) AS least FROM sets JOIN docs USING (rid) GROUP BY node),
+names AS (SELECT a AS node, min(least) AS name FROM reach JOIN least ON least.node = b GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE name END AS component_id,
+  doc_id IS NOT DISTINCT FROM CASE WHEN n IS NULL THEN doc_id ELSE name END AS kept
+FROM docs LEFT JOIN sets USING (rid) LEFT JOIN names USING (node)
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_substring_dedup": _REPEATS_SQL,
+    "op10_minhash_near_dedup": _NEAR_SQL,
     "op11_secret_scan": _secrets_sql(),
     "op12_prefix_trie": _TRIE_SQL,
     "op13_structure_repair": _repair_sql(),
