@@ -21,7 +21,7 @@ from claimtrace.operators.lookup import attach, is_small
 from claimtrace.operators.series import refresh_history
 from claimtrace.sources import files as file_source
 from claimtrace.sources import parsers, text_grid, workbook
-from claimtrace.sources.tables import MONTH, Load, Tables, durable, months_of, scratch, slot_of
+from claimtrace.sources.tables import Load, Tables, durable, months_of, scratch, slot_of
 
 log = logging.getLogger(__name__)
 
