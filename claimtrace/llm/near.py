@@ -17,7 +17,8 @@ stands for it, and all others are verified against it: as many pairs as members.
 joined into components. Buckets whose members then still belong to several components can hide a
 link that avoids the representative, so members outside a bucket's largest component are verified
 against its members of other components. Sizes and codes are compared inside the join, so only
-plausible pairs leave it; a large component is compared with its neighbours in tiles instead. No cap applies anywhere. Verification counts common shingles on full sets.
+plausible pairs leave it, and a bucket's members meet ``INNER`` at a time, so a large family just below the threshold is
+spread over tasks; a large component is compared with its neighbours in tiles instead. No cap applies anywhere. Verification counts common shingles on full sets.
 
 Nulls: a null or blank text has an empty set, links with nothing and is its own component; a null
 id is never a component's name unless all its members' are. Rows with equal ids are linked by their
@@ -35,6 +36,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from claimtrace.llm import shingles
 from claimtrace.llm.common import U64, mix, seed, slices, whole_text, written
@@ -48,7 +51,7 @@ PLANES = [f"c{i}" for i in range(3 * CODED // 64)]
 LARGE = 256  # nodes of a component that others are verified against in tiles
 OUTER, INNER = 256, 1024  # nodes on the sides of a tile
 _LOW = U64(0xFFFFFFFF)
-SLICE = 1 << 22
+SLICE = 1 << 21
 
 
 def sketch(elements: np.ndarray, ends: np.ndarray, bins: int = BINS) -> np.ndarray:
@@ -108,7 +111,7 @@ def _digests(elements: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
 def _sketched(width: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            elements, ends = shingles.sets(batch.column(1), width)
+            elements, ends = shingles.sets(batch.column("text"), width)
             sizes = np.diff(np.concatenate([[0], ends])).astype(np.int64)
             digests = _digests(elements, np.concatenate([[0], ends]))
             filled = sizes > 0
@@ -118,7 +121,9 @@ def _sketched(width: int, schema: pa.Schema):
             coded = pa.StructArray.from_arrays([pa.array(packed[:, i]) for i in range(len(PLANES))], PLANES)
             offsets = np.concatenate([[0], np.cumsum(np.where(filled, BANDS, 0))]).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(digests, pa.binary()), coded, listed], schema=schema)
+            kept = [batch.column(c).cast(schema.field(c).type) for c in batch.schema.names if c != "text"]
+            made = [pa.array(sizes), pa.array(digests, pa.binary()), coded, listed]
+            yield pa.RecordBatch.from_arrays([*kept, *made], schema=schema)
 
     return run
 
@@ -224,12 +229,48 @@ def label(
     docs: DataFrame, width: int = 5, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row: ``id, n_shingles, component_id, kept``."""
-    kind = docs.select(id_col).schema[0].dataType
     texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).cast("binary").alias("text"))
-    arrow = pa.schema([("id", pa.int64() if kind.simpleString() == "bigint" else pa.string()), ("n", pa.int64()), ("node", pa.binary()), ("codes", pa.struct([(c, pa.int64()) for c in PLANES])), ("bands", pa.list_(pa.int64()))])
-    struct = ", ".join(f"{c}: long" for c in PLANES)
-    rows = texts.mapInArrow(_sketched(width, arrow), f"id {kind.simpleString()}, n long, node binary, codes struct<{struct}>, bands array<long>")
-    rows = written(rows, "near-sketches")
+    rows, by_node = _by_component(texts, width, threshold)
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("name"))
+    return rows.select("id", "n", "node").join(by_node, "node", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+    )
+
+
+def representatives(
+    docs: DataFrame, width: int = 5, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows without near copies, whole: of each component one row, and all rows without words.
+
+    It is the row with the least id, null ids last; of rows with that id, the one whose text has the least digest,
+    and of repeated ones the one whose other columns sort last. Rows are known by id and text, so a row
+    that shares its id with a near copy stays.
+    """
+    text = whole_text(f"`{text_col}`")
+    keyed = docs.withColumns({"_id": F.col(f"`{id_col}`"), "_sha": F.unhex(F.sha2(text, 256))})
+    blank = F.trim(text, F.lit(" \t\n\x0b\x0c\r")) == ""
+    worded = keyed.where(~blank)
+    texts = worded.select(F.col("_id").alias("id"), F.col("_sha").alias("sha"), text.cast("binary").alias("text"))
+    rows, by_node = _by_component(texts, width, threshold)
+    found = rows.select("id", "sha", "node").join(by_node.select("node", "root"), "node")
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "sha")).alias("row"))
+    winners = written(least.select(F.col("row.id").alias("id"), F.col("row.sha").alias("sha")), "near-winners")
+    same = worded["_id"].eqNullSafe(winners["id"]) & (worded["_sha"] == winners["sha"])
+    kept = worded.join(winners, same, "left_semi")
+    again = rows.groupBy("id", "sha").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    if again.limit(1).count():  # repeated rows: one of them
+        whole = F.struct(*[F.col(f"`{c}`") for c in keyed.columns])
+        kept = kept.groupBy("_id", "_sha").agg(F.max(whole).alias("row")).select("row.*")
+    return kept.unionByName(keyed.where(blank)).drop("_id", "_sha")
+
+
+def _by_component(texts: DataFrame, width: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``texts`` with their ``node`` in place of the text; each node's ``root`` and ``name``."""
+    carried = [f for f in texts.schema.fields if f.name != "text"]
+    planes = T.StructType([T.StructField(c, T.LongType()) for c in PLANES])
+    made = [("n", T.LongType()), ("node", T.BinaryType()), ("codes", planes), ("bands", T.ArrayType(T.LongType()))]
+    schema = T.StructType([*carried, *(T.StructField(n, t) for n, t in made)])
+    rows = written(texts.mapInArrow(_sketched(width, to_arrow_schema(schema)), schema), "near-sketches")
     nodes = rows.where("n > 0").groupBy("node").agg(
         F.min("id").alias("least"), F.first("n").alias("n"), F.first("codes").alias("codes"), F.first("bands").alias("bands")
     )
@@ -256,8 +297,11 @@ def label(
     named = buckets.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     named = written(named, "near-named")
     groups = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-    mixed = groups.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("size", "root")).alias("main"))
-    mixed = mixed.where("roots > 1").select("key", F.col("main.root").alias("main"))
+    mixed = groups.groupBy("key").agg(
+        F.count(F.lit(1)).alias("roots"), F.max(F.struct("size", "root")).alias("main"), F.sum("size").alias("members")
+    )
+    tiles = F.ceil(F.col("members") / INNER).cast("int").alias("tiles")
+    mixed = mixed.where("roots > 1").select("key", F.col("main.root").alias("main"), tiles)
     # Similar sets have sizes of the same or neighbouring classes.
     step = F.floor(F.log(F.col("n")) / math.log(100 / threshold)).cast("int")
     open_ = named.join(mixed, "key").join(small.select("node", "n", "codes", step.alias("step")), "node")
@@ -266,11 +310,14 @@ def label(
     large = written(large, "near-large")
     far = open_.join(large, "root", "left_anti").select(
         "key", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"),
+        F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("tile"),
         *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "codes")],
     )
     once = (F.col("root") != F.col("root2")) & ((F.col("root2") == F.col("main")) | (F.col("root") < F.col("root2")))
     likely = once & F.expr(_size_close(threshold)) & (_apart("codes2") <= APART)
-    near_by = open_.where("root <> main").join(far, (open_["key"] == far["key"]) & (open_["step"] == far["step"]) & likely)
+    apart = open_.where("root <> main").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    meet = (apart["key"] == far["key"]) & (apart["step"] == far["step"]) & (apart["tile"] == far["tile"])
+    near_by = apart.join(far, meet & likely)
     rest = written(near_by.select(*pair).distinct(), "near-pairs")
     more = _verified(rest, full, threshold).unionByName(_against_large(open_, large, roots, small, full, threshold))
     more = written(more, "near-verified")
@@ -278,8 +325,4 @@ def label(
         roots = components(links.union(more))
     named = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("name"))
-    by_node = named.select("node", "root").join(names, "root").select("node", "name")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("name"))
-    return rows.select("id", "n", "node").join(by_node, "node", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
-    )
+    return rows, named.select("node", "root").join(names, "root").select("node", "root", "name")
