@@ -7,9 +7,14 @@ n-gram of ``ORDERS`` characters is hashed to one of ``SIZE`` features. A text's
 Training. Follow-the-regularised-leader with elastic-net penalties: each weight is the closed-form
 optimum of the gradients so far, its own learning rate, an absolute and a squared penalty, so most
 weights are zero. It sees at most ``QUOTA`` texts of each language, those whose id has the least
-hash; the sample's features, not its texts, come to the driver and are bounded by quota, languages
-and features. A fifth of the sample is kept apart to fit the temperature that divides the scores, by
-the least log loss.
+hash; the sample's features, not its texts, come to one task and are bounded by quota, languages
+and features; the driver gets the weights.
+
+Calibration. A fifth of the sample is kept apart. Whole texts are told apart without an error, so any
+temperature below them would look better still; their short pieces, of ``PIECES`` characters, are not, and
+labels smoothed by ``SMOOTH`` keep certainty from being free. The temperature that divides the scores is
+the one of least log loss on these pieces, 1 at least. There are no intercepts: a text in a script that was not
+learned meets few weights and scores little more than chance, whichever languages are frequent.
 
 Scoring reads whole texts, in pieces of bounded size that share one count of features.
 
@@ -37,6 +42,9 @@ SIZE = 1 << 15
 ORDERS = (1, 2, 3)
 QUOTA = 1500  # texts of a language that the model is fitted on
 PIECE = 1 << 20  # characters counted at once
+PIECES = (8, 15, 30, 60)  # characters of the pieces that the temperature is fitted on
+SMOOTH = 0.02  # share of a label that goes to all languages alike
+APART = 5  # one in so many sampled texts is kept apart
 UNKNOWN = "und"
 _OTHER = regex.compile(r"\P{L}+")
 
@@ -69,18 +77,20 @@ def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Languages in order, a weight for each feature and language, idf, and the temperature."""
+    """Languages in order, a weight for each feature and language, idf, and the temperature.
+
+    Of no text is a score below chance, one in so many languages.
+    """
 
     languages: list[str]
     weights: np.ndarray
-    bias: np.ndarray
     idf: np.ndarray
     temperature: float = 1.0
 
     def scores(self, features: np.ndarray, n: np.ndarray) -> np.ndarray:
         value = (1 + np.log(n)) * self.idf[features]
         value /= np.sqrt((value * value).sum()) or 1.0
-        return value @ self.weights[features] + self.bias
+        return value @ self.weights[features]
 
     def predict(self, text: str) -> tuple[str, float]:
         features, n = counts(text)
@@ -100,9 +110,9 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def ftrl(
     rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = 5, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01
-) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and biases for rows of features, values and class. The last feature is the bias."""
-    z, n = np.zeros((SIZE + 1, classes)), np.zeros((SIZE + 1, classes))
+) -> np.ndarray:
+    """Weights for rows of features, values and class."""
+    z, n = np.zeros((SIZE, classes)), np.zeros((SIZE, classes))
 
     def weight(at) -> np.ndarray:
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - l1, 0)
@@ -111,8 +121,7 @@ def ftrl(
     order = np.random.default_rng(0)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            features, value, label = rows[i]
-            at, x = np.append(features, SIZE), np.append(value, 1.0)
+            at, x, label = rows[i]
             w = weight(at)
             error = _softmax(x @ w)
             error[label] -= 1
@@ -120,20 +129,20 @@ def ftrl(
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
             z[at] += g - step * w
             n[at] += g * g
-    w = weight(np.arange(SIZE + 1))
-    return w[:SIZE], w[SIZE]
+    return weight(np.arange(SIZE))
 
 
-def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """What to divide the scores by for the least log loss, from 1/20 to 20."""
-    tried = np.geomspace(0.05, 20, 241)
+def temperature(logits: np.ndarray, labels: np.ndarray, smooth: float = SMOOTH) -> float:
+    """What to divide the scores by for the least log loss against smoothed labels, from 1 to 50."""
+    tried = np.geomspace(1, 50, 241)
     if not len(labels):
         return 1.0
     losses = []
     for t in tried:
         s = logits / t
         s = s - s.max(axis=1, keepdims=True)
-        losses.append((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(labels)), labels]).mean())
+        s = s - np.log(np.exp(s).sum(axis=1, keepdims=True))
+        losses.append(-((1 - smooth) * s[np.arange(len(labels)), labels] + smooth * s.mean(axis=1)).mean())
     return float(tried[int(np.argmin(losses))])
 
 
@@ -147,12 +156,52 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["feature", "docs"])
 
 
+def pieces(text: str, h: int) -> list[str]:
+    """One piece of the text of each length that it has, from places that a hash tells."""
+    return [text[(h >> 3) % (len(text) - n + 1) :][:n] for n in PIECES if len(text) >= n]
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of the sampled texts, or of the pieces of those kept apart."""
+    names = ["lang", "h", "apart", "features", "n"]
     for batch in batches:
-        if batch.num_rows:
-            both = [counts(t) for t in batch.column(2).to_pylist()]
-            listed = [pa.array([b[i].astype(np.int32) for b in both], pa.list_(pa.int32())) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *listed], ["lang", "h", "features", "n"])
+        rows = []
+        for lang, h, text in zip(*[batch.column(c).to_pylist() for c in ("lang", "h", "text")]):
+            apart = h % APART == 0
+            rows += [(lang, h, apart, *counts(t)) for t in (pieces(text, h) if apart else [text])]
+        if rows:
+            plain = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.bool_()))]
+            listed = [pa.array([r[i].astype(np.int32) for r in rows], pa.list_(pa.int32())) for i in (3, 4)]
+            yield pa.RecordBatch.from_arrays([*plain, *listed], names)
+
+
+def _trained(languages: list[str], idf: np.ndarray):
+    """The sample's features, all in one task, to the one row of weights and temperature."""
+    number = {name: i for i, name in enumerate(languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        ready: dict[bool, list] = {False: [], True: []}
+        if held:
+            # All rows in a few large arrays, which are given back whole when the task ends.
+            features, n = (np.concatenate([b.column(c).flatten().to_numpy() for b in held]) for c in ("features", "n"))
+            sizes = np.concatenate([b.column("features").value_lengths().to_numpy() for b in held])
+            label = np.array([number[x] for b in held for x in b.column("lang").to_pylist()])
+            h, apart = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in ("h", "apart"))
+            value = ((1 + np.log(n.astype(np.float32))) * idf.astype(np.float32)[features]).astype(np.float32)
+            del n, held
+            ends = np.cumsum(sizes)
+            for i in np.lexsort((sizes, label, h)).tolist():
+                if sizes[i]:
+                    row = slice(ends[i] - sizes[i], ends[i])
+                    value[row] /= np.sqrt((value[row] ** 2).sum())
+                    ready[bool(apart[i])].append((features[row], value[row], int(label[i])))
+        weights = ftrl(ready[False], len(languages)).astype(np.float32)
+        logits = np.array([v @ weights[f] for f, v, _ in ready[True]]).reshape(-1, len(languages))
+        heat = temperature(logits, np.array([label for *_, label in ready[True]], np.int64))
+        yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "heat": [heat]})
+
+    return run
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", quota: int = QUOTA) -> Model:
@@ -161,7 +210,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     rows = rows.where(F.col("lang").isNotNull())
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
-        return Model([], np.zeros((SIZE, 0)), np.zeros(0), np.ones(SIZE))
+        return Model([], np.zeros((SIZE, 0)), np.ones(SIZE))
     languages = sorted(sizes)
     found = rows.select("text").mapInArrow(_document_counts, "feature long, docs long")
     seen = np.zeros(SIZE)
@@ -173,22 +222,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     for name in languages:
         share = min(1.0, quota / sizes[name])
         below = F.when(F.col("lang") == name, F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else (1 << 63) - 1)).otherwise(below)
-    sample = rows.where(F.col("h") <= below).mapInArrow(_features, "lang string, h long, features array<int>, n array<int>")
-    number = {name: i for i, name in enumerate(languages)}
-    table = sample.limit(2 * quota * len(languages)).toArrow()  # a bound even if keys repeat
-    ready = []
-    for i in np.lexsort((table.column("lang").to_numpy(), table.column("h").to_numpy())):
-        features, n = (np.asarray(table.column(c)[int(i)].values, np.int64) for c in ("features", "n"))
-        if len(features):
-            value = (1 + np.log(n)) * idf[features]
-            ready.append((features, value / np.sqrt((value * value).sum()), number[table.column("lang")[int(i)].as_py()]))
-    apart = ready[::5] if len(ready) >= 50 else []
-    rest = [r for i, r in enumerate(ready) if i % 5] if apart else ready
-    weights, bias = ftrl(rest, len(languages))
-    weights = weights.astype(np.float32)
-    logits = np.array([v @ weights[f] + bias for f, v, _ in apart]).reshape(-1, len(languages))
-    heat = temperature(logits, np.array([label for *_, label in apart], np.int64))
-    return Model(languages, weights, bias, idf, heat)
+    chosen = rows.where(F.col("h") <= below).limit(2 * quota * len(languages))  # a bound even if keys repeat
+    features = chosen.mapInArrow(_features, "lang string, h long, apart boolean, features array<int>, n array<int>")
+    made = features.repartition(1).mapInArrow(_trained(languages, idf), "weights binary, heat double").first()
+    weights = np.frombuffer(made.weights, np.float32).reshape(SIZE, len(languages))
+    return Model(languages, weights, idf, made.heat)
 
 
 def predicted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

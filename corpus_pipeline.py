@@ -18,6 +18,7 @@ from claimtrace.llm.queries import WORDS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REST = ("lang", "source", "n_chars")
+ABOVE_CHANCE = 1.35  # a prediction is kept if its score is so many times that of chance
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +30,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language.fit(docs.where(~language.held_out("doc_id")))
     found = language.predicted(docs, model)
     if model.languages:
-        keep = language.accepted(F.col("language.lang_pred"), F.col("language.score"))
+        keep = language.accepted(F.col("language.lang_pred"), F.col("language.score"), min(0.9, ABOVE_CHANCE / len(model.languages)))
     else:
         keep = F.col("language.score") < 1  # only a text without features is surely of none
     return found.where(keep).select(*COLUMNS)
@@ -41,10 +42,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similarity, the one with the least id stays."""
-    docs = docs.select(*COLUMNS)
-    dropped = near.label(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    """Of documents linked by similarity, one stays: with the least id, and of these the one whose row sorts first.
+
+    Documents are told apart as rows, so equal or null ids never drag a clean document along.
+    """
+    return near.representatives(docs.select(*COLUMNS))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
