@@ -54,7 +54,6 @@ def none(spark):
 
 def test_token_counts(docs, none):
     known = Tokenizer.from_file(WORDS)
-    known.encode_special_tokens = True
     sizes = [len(known.encode(t or "", add_special_tokens=False).ids) for _, t in sample()]
     sums = token_counts.suffix_sums(token_counts.histogram(docs, WORDS)).collect()
     assert {r.length: r.docs for r in sums} == Counter(sizes)
@@ -74,7 +73,6 @@ def test_token_counts(docs, none):
 
 def test_words_equal_the_whole_text():
     known = Tokenizer.from_file(WORDS)
-    known.encode_special_tokens = True
     own = tokens.Words(WORDS, most=50)
     for _, text in [*sample(), (0, "Don't stop!! it's <|endoftext|> 3.14 naïve ÀÉ ΣΑΣ ²x İ e\u0301 ．\x85z 日本語 \u200b")]:
         ids = array.array("I", known.encode(text or "", add_special_tokens=False).ids).tobytes()
@@ -83,7 +81,6 @@ def test_words_equal_the_whole_text():
 
 def test_packing(docs, none):
     known = Tokenizer.from_file(WORDS)
-    known.encode_special_tokens = True
     for capacity in (64, 4096):
         rows = packing.pack(docs, WORDS, capacity).collect()
         want = Counter()
@@ -435,3 +432,69 @@ def test_sketches_estimate_similarity():
         assert np.mean([(made[0] == m).mean() for m in made[1:]]) == pytest.approx(1 - 2 * k / (n + k), abs=0.05)
     tiny = near.sketch(np.array([1, 2, 2], np.uint64), np.array([2, 3]))
     assert (tiny != np.iinfo(np.uint64).max).all()
+
+
+def test_peeling_ends_with_a_foreign_value():
+    """A value whose check is right, in a cell that is not its own, is no member."""
+    made = fingerprints.Sketches(1, 16)
+    values = fingerprints.mix(np.arange(1, 4, dtype=np.uint64))
+    made.add(np.zeros(3, np.int64), values)
+    foreign = fingerprints.mix(np.array([99], np.uint64))
+    own = {int(a[0]) for a in made._at(np.zeros(1, np.int64), foreign)}
+    wrong = next(i for i in range(made.width) if made.count[i] == 0 and i not in own)
+    made.count[wrong], made.value[wrong], made.check[wrong] = 1, foreign[0], fingerprints._check(foreign)[0]
+    plus, less, failed = made.peel()
+    assert failed.tolist() == [True] and plus[0] == 3 and less[0] == 0
+
+
+def test_temperature_lies_inside_its_range():
+    r = np.random.default_rng(0)
+    labels = r.integers(0, 4, 4000)
+    logits = r.normal(0, 1, (4000, 4)) * 6
+    logits[np.arange(4000), labels] += 9  # three times too sure
+    heat = language.temperature(logits, labels)
+    assert 1 < heat < 49
+    z = logits / heat
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    best, right = p.max(axis=1), p.argmax(axis=1) == labels
+    for low, high in ((0.4, 0.6), (0.6, 0.8), (0.8, 0.95)):  # scores are the share of right answers
+        some = (best >= low) & (best < high)
+        assert some.sum() > 50 and abs(best[some].mean() - right[some].mean()) < 0.12
+    assert language.temperature(np.eye(4)[labels] * 100, labels) >= 1
+
+
+def test_unseen_scripts_score_chance(spark):
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.fit(given.where(~language.held_out("doc_id")))
+    known = given.where(language.held_out("doc_id")).where("lang IS NOT NULL").collect()
+    least = corpus_pipeline.ABOVE_CHANCE / len(model.languages)
+    assert all(model.predict(r.text)[0] == r.lang for r in known)
+    assert all(model.predict(r.text)[1] >= least for r in known)
+    for text in ("日本語のテキストです。これは東京で書かれました。", "Это русский текст о погоде", "안녕하세요 세계", "مرحبا بالعالم كيف حالك", "Ελληνικό κείμενο"):
+        assert model.predict(text)[1] < least
+
+
+def near_rows() -> list[tuple]:
+    text = prose(70, 120)
+    rows = [(5, text, "en", "s", 1), (3, text + " end", "en", "s", 1), (3, prose(71, 90), "en", "s", 1), (None, text + " more", "en", "s", 1)]
+    rows += [(None, prose(72, 80), "en", "s", 1), (None, prose(72, 80) + " x", "en", "s", 1), (8, None, "en", "s", 1), (8, " ", "en", "s", 1), (9, None, None, None, None)]
+    return rows + [(11, prose(73, 60), "en", "s", 1), (11, prose(73, 60), "en", "s", 1), (11, prose(73, 60), "fr", "s", 2)]
+
+
+def test_near_copies_go_by_row(spark):
+    """Equal and null ids: one row of each component stays, and rows without words."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = near_rows()
+    docs = spark.createDataFrame(rows, schema).repartition(2)
+    got = Counter(tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    assert got == Counter([rows[1], rows[2], rows[6], rows[7], rows[8], rows[11], min(rows[4:6], key=lambda r: hashlib.sha256(r[1].encode()).digest())])
+    none = spark.createDataFrame([], schema)
+    assert corpus_pipeline.drop_near_copies(spark, none, "").count() == 0
+
+
+def test_near_labels_of_other_kinds_of_ids(spark):
+    for kind in ("int", "string", "decimal(10,0)"):
+        docs = spark.createDataFrame([(i, prose(9, 50)) for i in range(3)], "doc_id long, text string")
+        rows = near.label(docs.withColumn("doc_id", docs.doc_id.cast(kind))).collect()
+        assert {str(r.component_id) for r in rows} == {"0"} and sum(r.kept for r in rows) == 1
