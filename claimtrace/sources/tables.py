@@ -5,7 +5,8 @@ one small file that lists the parts of all tables; readers resolve the newest li
 a load or after it, for all tables alike. A load that ends early leaves parts that no list names. A stream's
 batch number is published with its rows: a batch that is run again finds itself published, or starts from
 where it started before, so rows without a key are not added twice. Parts that the last ``KEEP`` lists do not
-name are removed; a frame made from an older state can then no longer be read.
+name are removed; a frame made from an older state can then no longer be read. ``Tables.vacuum`` removes what loads that
+ended early left.
 
 Two loads into the same tables at once: the second one to publish fails, and can be run again.
 """
@@ -81,7 +82,7 @@ def scratch(spark: SparkSession, folder: str) -> Iterator[None]:
         yield
     finally:
         _SCRATCH.reset(token)
-        _Store(spark).remove(folder)
+        Store(spark).remove(folder)
 
 
 def read_jdbc(
@@ -131,7 +132,7 @@ def _partition(name: str) -> tuple[str, Column] | None:
     return None
 
 
-class _Store:
+class Store:
     """Files of any Hadoop file system, as far as publishing needs them."""
 
     def __init__(self, spark: SparkSession):
@@ -149,10 +150,11 @@ class _Store:
         path = self._path(pattern)
         return [s.getPath().getName() for s in self._fs(path).globStatus(path) or []]
 
-    def folders_of(self, pattern: str) -> list[str]:
-        """Names of the folders that hold the paths that match."""
+    def ends(self, pattern: str) -> list[tuple[str, str]]:
+        """The last two parts of the paths that match."""
         path = self._path(pattern)
-        return [s.getPath().getParent().getName() for s in self._fs(path).globStatus(path) or []]
+        found = [s.getPath() for s in self._fs(path).globStatus(path) or []]
+        return [(p.getParent().getName(), p.getName()) for p in found]
 
     def read(self, name: str) -> str:
         path = self._path(name)
@@ -242,7 +244,7 @@ class Tables(_Reader):
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._store = _Store(spark)
+        self._store = Store(spark)
         self._known: tuple[int, dict] = (0, {})
 
     def _versions(self) -> list[int]:
@@ -348,6 +350,23 @@ class Tables(_Reader):
             for name in schemas.STORED:
                 load.empty(name)
 
+    def vacuum(self) -> int:
+        """Removes what loads that ended early left behind, and says how many parts; not while a load is running."""
+        lists = [json.loads(self._store.read(self._version_file(v)))["parts"] for v in self._versions()]
+        needed = frozenset().union(*map(_named, lists))
+        removed = 0
+        for name in schemas.STORED:
+            partition = _partition(name)
+            inner = f"{partition[0]}=*/" if partition else ""
+            for folder, last in self._store.ends(f"{self.path(name)}/{inner}{PART}=*"):
+                value = folder.removeprefix(f"{partition[0]}=") if partition else ""
+                part = last.removeprefix(f"{PART}=")
+                if (name, value, part) not in needed:
+                    self._store.remove(self._folder(name, value, part))
+                    removed += 1
+        self._store.remove(f"{self.root}/_scratch")
+        return removed
+
     def _clear(self, version: int) -> None:
         """Removes parts and lists that the last ``KEEP`` lists do not need."""
         versions = [v for v in self._versions() if v <= version]
@@ -431,7 +450,7 @@ class Load(_Reader):
             dealt = shaped.withColumn(column, value).hint("rebalance", column).observe(counted, rows)
             dealt.write.partitionBy(column, PART).mode("append").parquet(self.path(name))
             pattern = f"{self.path(name)}/{column}=*/{PART}={part}"
-            found = [f.removeprefix(f"{column}=") for f in self.tables._store.folders_of(pattern)]
+            found = [f.removeprefix(f"{column}=") for f, _ in self.tables._store.ends(pattern)]
         for value in found:
             self._written.setdefault(name, {}).setdefault(value, []).append(part)
         # Spark plans no pass for rows known to be none, and then nothing is observed.

@@ -5,8 +5,8 @@ A batch writes new parts of the tables and publishes them together at its end, w
 
 from __future__ import annotations
 
+import json
 import logging
-
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,7 @@ from claimtrace.operators.lookup import attach, is_small
 from claimtrace.operators.series import refresh_history
 from claimtrace.sources import files as file_source
 from claimtrace.sources import parsers, text_grid, workbook
-from claimtrace.sources.tables import Load, Tables, durable, months_of, scratch, slot_of
+from claimtrace.sources.tables import Load, Store, Tables, durable, months_of, scratch, slot_of
 
 log = logging.getLogger(__name__)
 
@@ -670,6 +670,11 @@ def file_stream(
     )
 
 
+def stream_id(spark: SparkSession, progress: str) -> str:
+    """The id that Spark gave the stream when it made its checkpoint folder; a folder made anew has another."""
+    return json.loads(Store(spark).read(f"{progress.rstrip('/')}/metadata"))["id"]
+
+
 def start(
     spark: SparkSession,
     folder: str,
@@ -683,7 +688,7 @@ def start(
     """Loads new files of ``folder`` every so often; ``every=None`` loads what is there and ends.
 
     ``progress`` is the query's checkpoint folder. It remembers paths; content seen
-    before under another name is recognised by its hash. A batch is published with its number under that name, so
+    before under another name is recognised by its hash. A batch is published with the stream's id and its number, so
     one that Spark runs again after a crash is not loaded twice.
     """
     _check_utc(spark)
@@ -692,7 +697,8 @@ def start(
         paths = [r["path"] for r in batch.collect()]  # at most files_per_batch
         if paths:
             options = (True, strict_parity, keywords)
-            load_files(_read(spark, paths), tables, f"stream-{number}", *options, stream=(progress, number))
+            stream = (stream_id(spark, progress), number)
+            load_files(_read(spark, paths), tables, f"stream-{number}", *options, stream=stream)
             tidy(tables)
 
     writer = (

@@ -1114,7 +1114,7 @@ def _t1(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _folder(spark)
     tables = _all_kinds(spark, sf_dir, root)
     again = files.scan_folder(spark, f"{root}/in/Result_0.csv")
-    ingest.load_files(again, tables, "stream-0", stream=(f"{root}/progress", 0))
+    ingest.load_files(again, tables, "stream-0", stream=(ingest.stream_id(spark, f"{root}/progress"), 0))
     return plain(tables.read("shipments").select("sscc18", "order_id", "order_status"))
 
 

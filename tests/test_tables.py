@@ -63,6 +63,10 @@ def test_a_load_that_fails_leaves_nothing(spark, tmp_path):
         load.append("shipments", shipments(spark, (day(1), "a", "1", None)))
         raise ZeroDivisionError
     assert tables.read("shipments").count() == 0 and tables.version == 0
+    tables.append("shipments", shipments(spark, (day(1), "b", "1", None)))
+    assert len(list((tmp_path / "db" / "shipments" / "month=2025-04").iterdir())) == 2
+    assert tables.vacuum() == 1 and tables.vacuum() == 0
+    assert [r.sscc18 for r in tables.read("shipments").collect()] == ["b"]
 
 
 def test_of_two_loads_at_once_one_is_refused(spark, tmp_path):
@@ -281,3 +285,13 @@ def test_numbers_against_all_pairs(spark, seed):
     assert {x.text: (x.rows, x.status) for x in found if not x.is_number} == want
     assert {(x.text, x.by_suffix): x.rows for x in found if x.is_number} == touched
     assert all(x.is_order == (x.text in orders or numbers[x.text, x.by_suffix][0] is True) for x in found if x.is_number)
+
+
+def test_a_progress_folder_made_anew_is_another_stream(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "db"))
+    for i, folder in enumerate(("one", "two")):
+        put(tmp_path / folder, {f"Result_{i}.csv": csv(EXPORT, f"61{i},p{i},FXFE,S1,2025-04-01")})
+        progress = tmp_path / "progress"
+        ingest.start(spark, str(tmp_path / folder), tables, str(progress), every=None).awaitTermination()
+        progress.rename(tmp_path / f"old{i}")
+    assert [s for s, _, _ in rows_of(tables)] == ["p0", "p1"]
