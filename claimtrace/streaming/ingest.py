@@ -490,13 +490,10 @@ def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
     return file_source.read_files(spark, [file_source.literal_path(p) for p in paths])
 
 
-_UTC = {"UTC", "Etc/UTC", "Z", "GMT", "Etc/GMT", "+00:00", "UTC+00:00", "Etc/UCT", "UCT", "Zulu", "Etc/Zulu", "Universal"}
-
-
 def _check_utc(spark: SparkSession) -> None:
     """Stored days and months are those of UTC, as the files' times are."""
     zone = spark.conf.get("spark.sql.session.timeZone")
-    if zone not in _UTC:
+    if spark._jvm.java.time.ZoneId.of(zone).normalized().getId() != "Z":
         raise ValueError(f"set spark.sql.session.timeZone to UTC, not {zone}: days and months would shift")
 
 
