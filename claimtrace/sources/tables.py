@@ -34,7 +34,7 @@ MONTH_OF = {"shipments": "appointment_date", "claim_details": "claim_date", "cla
 MONTH = "month"
 SLOT = "slot"
 PART = "part"
-SLOTS = 256
+SLOTS = 64
 # Numbers are told apart by their last characters: a number and all longer ones that end with it share them.
 TAIL = 4
 KEEP = 3
