@@ -41,3 +41,15 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", SAMPLE)
 def test_query_equals_sql(spark, connection, name):
     assert spark_rows(entry.queries()[name](spark, SF_DIR)) == sql_rows(connection, entry.oracle_sql()[name])
+
+
+@needs_tables
+def test_bad_files_are_told_apart_where_the_first_task_has_no_rows(spark, connection):
+    # The first split of a file of one row group holds no rows; its task writes a header alone.
+    name, key = "t3_per_file_isolation", "spark.sql.files.maxPartitionBytes"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "32k")
+    try:
+        assert spark_rows(entry.queries()[name](spark, SF_DIR)) == sql_rows(connection, entry.oracle_sql()[name])
+    finally:
+        spark.conf.set(key, held)
