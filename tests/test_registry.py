@@ -8,7 +8,7 @@ import pytest
 from oracle import database, spark_rows, sql_rows
 
 import __spark_entry__ as entry
-from registry import catalog
+from registry import catalog, loads
 
 SF_DIR = "/root/testdata/sf0.001"
 SAMPLE = [
@@ -53,3 +53,11 @@ def test_bad_files_are_told_apart_where_the_first_task_has_no_rows(spark, connec
         assert spark_rows(entry.queries()[name](spark, SF_DIR)) == sql_rows(connection, entry.oracle_sql()[name])
     finally:
         spark.conf.set(key, held)
+
+
+@needs_tables
+def test_copies_of_a_file_are_equal(spark, tmp_path):
+    loads._shipment_files(spark, SF_DIR, str(tmp_path), 2)
+    first, second = (sorted(tmp_path.glob(f"copy={i}/*.csv")) for i in range(2))
+    assert first and [f.read_bytes() for f in first] == [f.read_bytes() for f in second]
+    assert not {f.name for f in first} & {f.name for f in second}
