@@ -57,7 +57,7 @@ def test_bad_files_are_told_apart_where_the_first_task_has_no_rows(spark, connec
 
 @needs_tables
 def test_copies_of_a_file_are_equal(spark, tmp_path):
-    loads._shipment_files(spark, SF_DIR, str(tmp_path), 2)
-    first, second = (sorted(tmp_path.glob(f"copy={i}/*.csv")) for i in range(2))
+    loads._shipment_files(spark, SF_DIR, str(tmp_path / "in"), 2)
+    first, second = (sorted(tmp_path.glob(f"in/copy={i}/*.csv")) for i in range(2))
     assert first and [f.read_bytes() for f in first] == [f.read_bytes() for f in second]
     assert not {f.name for f in first} & {f.name for f in second}
