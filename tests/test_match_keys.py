@@ -80,3 +80,16 @@ def test_stored_keys_are_not_shuffled(spark, tmp_path):
                 if "SortMergeJoin" in line:
                     break
         assert "SortMergeJoin" in above[-1] and not any("Exchange" in line for line in above)
+
+
+def test_stored_keys_are_added_up_behind_one_shuffle(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "db"))
+    ids = spark.range(0, 400, 1, 4)
+    rows = ids.select(
+        F.concat(F.lit("6123456"), (F.col("id") % 4).cast("string")).alias("order_id"), F.lit("p").alias("sscc18"),
+        F.lit("FXFE").alias("scac"), F.lit("Perfect").alias("order_status"),
+    )
+    tables.append("match_keys", match.key_rows(rows))
+    stored = tables.read("match_keys")
+    assert sorted(r.n for r in stored.collect()) == [100] * 8 + [400]
+    assert held(tables.match_keys()) == held(match.MatchKeys(match.key_counts(rows)))
