@@ -399,3 +399,14 @@ def test_header_rows(spark):
     grid = spark.createDataFrame(data, "path string, row long, cells array<string>")
     assert [tuple(r) for r in header.carrier_row(grid).collect()] == [("p", 2, [" Carrier/BP", "a"])]
     assert [r.path for r in header.date_row(grid).collect()] == ["r"]
+
+
+def test_plain_quoted_lines_split_as_others_do(spark):
+    lines = ['"a",b,"c d"', '"",x,""', ',"a",', '"a"b,"c"', '"a,b",c', '"a""b",c', 'a"b"c,d']
+    lines.append(",".join(['"x"', "y"] * 20_000))
+    given = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    split = {r.i: r.cells for r in given.select("i", text_grid.split_fields(F.col("line")).alias("cells")).collect()}
+    assert [split[i] for i in range(7)] == [
+        ["a", "b", "c d"], ["", "x", ""], ["", "a", ""], ["ab", "c"], ["a,b", "c"], ['a"b', "c"], ['a"b"c', "d"]
+    ]
+    assert split[7] == ["x", "y"] * 20_000
