@@ -212,3 +212,16 @@ def test_missing_columns_become_null(spark):
 def test_table_count(spark):
     assert merge.table_count(spark.range(5)).first().rows == 5
     assert merge.table_count(spark.range(5).filter(F.lit(False))).first().rows == 0
+
+
+def test_one_file_needs_no_fold(spark):
+    rows = [(1, "o", "1", "S"), (2, "o", "1", None), (3, None, "2", "T"), (4, "", "2", "U")]
+    batch = spark.createDataFrame(
+        [(datetime(2025, 1, 1), o, None, Decimal(a), s, ("f", 0, i)) for i, o, a, s in rows],
+        "claim_date timestamp, order_id string, sscc18 string, claim_amount decimal(10,2), rma_status string,"
+        " seq struct<file_name:string,block:long,row:long>",
+    )
+    batch = batch.withColumns({c: F.lit("x") for c in ("claim_type", "carrier_bp")})
+    held = batch.filter("seq.row = 1").drop("seq")
+    folded = merge.upsert_claims(held, batch)
+    assert sorted(map(repr, merge.upsert_claims(held, batch, one_file=True).collect())) == sorted(map(repr, folded.collect()))
