@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import random
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from claimtrace import schemas
-from claimtrace.operators import series
+from claimtrace.operators import series, statuses, suffix
 from claimtrace.operators.suffix import match_numbers
 from claimtrace.sources import files
 from claimtrace.sources.tables import KEEP, Tables, durable, scratch
@@ -295,3 +296,25 @@ def test_a_progress_folder_made_anew_is_another_stream(spark, tmp_path):
         ingest.start(spark, str(tmp_path / folder), tables, str(progress), every=None).awaitTermination()
         progress.rename(tmp_path / f"old{i}")
     assert [s for s, _, _ in rows_of(tables)] == ["p0", "p1"]
+
+
+def test_places_of_status_rows_are_compared_without_objects_of_their_own():
+    """Structs with times come as tuples of whole numbers and texts: one dict and one datetime a row took most of the pass."""
+    place = pa.struct([("file_time", pa.timestamp("us", "UTC")), ("file_name", pa.string()), ("row", pa.int64())])
+    times = [datetime(2025, 1, 2, tzinfo=timezone.utc), datetime(2025, 1, 1, tzinfo=timezone.utc)]
+    rows = [{"file_time": t, "file_name": "a.csv", "row": 2**60 + n} for n, t in enumerate(times)]
+    late, early, none = suffix._values(pa.array([*rows, None], place))
+    assert late > early and late[1:] == ("a.csv", 2**60) and early[1:] == ("a.csv", 2**60 + 1)
+    assert all(type(v) in (int, str) for v in late) and set(none) == {None}
+    assert suffix._values(pa.array([True, None])) == [True, None]
+    assert suffix._values(pa.array([2**60 + 1, None])) == [2**60 + 1, None]
+
+
+def test_short_numbers_and_those_with_the_tail_of_an_order_are_looked_at(spark):
+    columns = "order_number string, by_suffix boolean, order_status string, file_time timestamp, file_name string, block long, row long, is_order boolean"
+    when = datetime(2025, 1, 1)
+    told = [(n, True, n, when, "a", 0, i, None) for i, n in enumerate(("12", "1234", "91234", "5678", "91235"))]
+    orders = spark.createDataFrame([("7891234",)], "order_id string")
+    state = statuses.near(orders, spark.createDataFrame(told, columns))
+    assert sorted(r["order_number"] for r in state.collect()) == ["12", "1234", "91234"]
+    assert [tuple(r) for r in statuses.resolve(orders, state).collect()] == [("7891234", "91234")]
