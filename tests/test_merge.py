@@ -9,6 +9,7 @@ from decimal import Decimal
 import pytest
 from claimtrace import schemas
 from claimtrace.operators import merge
+from claimtrace.streaming import ingest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -225,3 +226,33 @@ def test_one_file_needs_no_fold(spark):
     held = batch.filter("seq.row = 1").drop("seq")
     folded = merge.upsert_claims(held, batch)
     assert sorted(map(repr, merge.upsert_claims(held, batch, one_file=True).collect())) == sorted(map(repr, folded.collect()))
+
+
+def test_claims_of_one_file_are_shuffled_once(spark):
+    rows = spark.createDataFrame(
+        [(datetime(2025, 1, 1), "o", "p", Decimal("1.00"), "T", "C", ("f", 1))],
+        "claim_date timestamp, order_id string, sscc18 string, claim_amount decimal(10,2), claim_type string, carrier_bp string,"
+        " seq struct<file_name:string,row:long>",
+    )
+    merged = merge.upsert_claims(rows.drop("seq"), rows, one_file=True).hint("merge")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_keys_of_one_file_are_counted_as_those_of_many(spark):
+    keys = "claim_date timestamp, order_id string, sscc18 string, claim_amount decimal(10,2)"
+    dates, amounts = [datetime(2025, 1, d) for d in (1, 2, 3)], [Decimal("1.00"), Decimal("2.00"), None]
+    r = random.Random(3)
+    drawn = [(r.choice(dates), r.choice(["o", "", None]), r.choice(["p", None]), r.choice(amounts)) for _ in range(40)]
+    held = spark.createDataFrame(drawn[:12], keys)
+    rows = spark.createDataFrame([(*row, ("f", i)) for i, row in enumerate(drawn)], keys + ", seq struct<file_name:string,row:long>")
+    got = [
+        ([d.day for d in days.orderBy("day").collect()], told.select("file_name", "uniques", "inserted").collect())
+        for days, told in (ingest._keys_of_one_file(rows, held), ingest._keys_of_files(rows, held))
+    ]
+    assert got[0] == got[1] and got[0][1][0].inserted > 0
