@@ -410,3 +410,14 @@ def test_plain_quoted_lines_split_as_others_do(spark):
         ["a", "b", "c d"], ["", "x", ""], ["", "a", ""], ["ab", "c"], ["a,b", "c"], ['a"b', "c"], ['a"b"c', "d"]
     ]
     assert split[7] == ["x", "y"] * 20_000
+
+
+def test_dates_of_a_sheet_are_parsed_once(spark):
+    rows = [("/s", "s.xlsx", 1, ["APPOINTMENT_DATE", "SSCC18"]), ("/s", "s.xlsx", 2, ["2025-04-01 10:00:00", "p1"]), ("/s", "s.xlsx", 3, ["x", "p2"])]
+    grid = spark.createDataFrame(rows, "path string, file_name string, row long, cells array<string>")
+    good = parsers.accepted(parsers.parse_shipments_sheet(grid))
+    assert [(r.sscc18, r.appointment_date) for r in good.collect()] == [("p1", datetime(2025, 4, 1, 10))]
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    # Filters on the date stand on the parsed column, above the generator.
+    above, below = plan.split("Generate", 1)
+    assert "Filter" in above and "gettimestamp" not in above.lower()
