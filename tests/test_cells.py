@@ -44,6 +44,16 @@ def test_parse_datetime(spark, text, expected):
     assert one(spark, cells.parse_datetime, text) == expected
 
 
+@pytest.mark.parametrize("text", ["2025-02-28 23:59:59", "2025-02-30 10:00:00", "2025-13-01 10:00:00", "2025-01-01 24:00:00", "2025-01-01 10:60:00"])
+def test_plain_times_read_as_iso(spark, text):
+    """A plain time was stripped and tried by some ten patterns before it was read."""
+    import re
+
+    assert re.search(cells.PLAIN_TIME.replace(r"\z", r"\Z"), text)
+    want = one(spark, cells.iso_timestamp, text)
+    assert one(spark, cells.parse_datetime, text) == want == one(spark, cells.parse_datetime, f" {text}\n")
+
+
 def test_claim_dates_are_iso_only(spark):
     assert one(spark, cells.iso_timestamp, "2025-04-01") == datetime(2025, 4, 1)
     assert one(spark, cells.iso_timestamp, "4/1/2025 08:30:00") is None

@@ -318,3 +318,38 @@ def test_short_numbers_and_those_with_the_tail_of_an_order_are_looked_at(spark):
     state = statuses.near(orders, spark.createDataFrame(told, columns))
     assert sorted(r["order_number"] for r in state.collect()) == ["12", "1234", "91234"]
     assert [tuple(r) for r in statuses.resolve(orders, state).collect()] == [("7891234", "91234")]
+
+
+def test_longer_numbers_are_looked_up_by_more_than_the_tail(spark):
+    """Rows that share four characters with an order but not eight were all reduced and met with it in each batch."""
+    columns = "order_number string, by_suffix boolean, order_status string, file_time timestamp, file_name string, block long, row long, is_order boolean"
+    numbers = ("34567890", "99567890", "1234567890", "9934567890", "67890", "7890", "90", "1234567891")
+    told = [(n, True, f"{n}-{i}", datetime(2025, 1, 1 + i), "a", 0, i, None) for n in numbers for i in range(2)]
+    orders = spark.createDataFrame([("1234567890",), ("90",)], "order_id string")
+    state = statuses.near(orders, spark.createDataFrame(told, columns))
+    near = {"34567890", "1234567890", "9934567890", "67890", "7890", "90"}
+    assert {(r["order_number"], r["order_status"]) for r in state.collect()} == {(n, f"{n}-1") for n in near}
+    assert state.count() == len(near)
+
+
+def test_stored_shipments_are_looked_up_within_the_ranges_of_the_files(spark, tmp_path, monkeypatch):
+    """Each batch met all stored shipments."""
+    rows = spark.createDataFrame(
+        [("a", "10", "1"), ("a", "19", "1"), ("b", "15", "1"), ("b", "25", "1"), ("c", "40", "1"), ("c", "99", None), ("d", "60", "1")],
+        "file_name string, sscc18 string, order_id string",
+    )
+    assert ingest._ranges(rows) == [("10", "25"), ("40", "40"), ("60", "60")]
+    stored = spark.createDataFrame([("10",), ("25",), ("30",), ("40",), ("5",), (None,)], "sscc18 string")
+    found = stored.filter(ingest._within(ingest._ranges(rows), F.col("sscc18")))
+    assert sorted(r[0] for r in found.collect()) == ["10", "25", "40"]
+    assert ingest._ranges(rows.filter("order_id IS NULL")) == []
+    assert stored.filter(ingest._within([], F.col("sscc18"))).count() == 0
+    monkeypatch.setattr(ingest, "RANGES_AT_MOST", 2)
+    assert ingest._ranges(rows) == [("10", "40"), ("60", "60")]
+    tables = Tables(spark, str(tmp_path / "db"))
+    for i, packages in enumerate((["10", "20", "30"], ["30", "35", "10"], ["05", "20", "99"])):
+        lines = [f"61,{p},FXFE,S{i},2025-04-01" for p in packages]
+        put(tmp_path / f"in{i}", {f"Result_{i}.csv": csv("order_number,sscc18,scac,kargo_shipment_id,appointment_date", *lines)})
+        ingest.load_folder(spark, str(tmp_path / f"in{i}"), tables)
+    held = tables.read("shipments").select("sscc18", "shipment_id").collect()
+    assert sorted(map(tuple, held)) == [("05", "S2"), ("10", "S0"), ("20", "S0"), ("30", "S0"), ("35", "S1"), ("99", "S2")]
