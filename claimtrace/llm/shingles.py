@@ -12,7 +12,7 @@ import xxhash
 
 from claimtrace.llm.common import U64, pair, seed
 
-MOST_WORDS = 500_000
+MOST_WORDS = 250_000
 
 
 class Numbers(dict):

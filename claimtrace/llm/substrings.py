@@ -46,8 +46,8 @@ from claimtrace.llm.common import U64, blobs, mix, pair, seed, shuffle_partition
 
 WIDTH = 35
 ROUNDS = 4
-SLICE = 1 << 22
-FLUSH = 1 << 22  # numbers a task gathers before it sends them
+SLICE = 1 << 20
+FLUSH = 1 << 20  # numbers a task gathers before it sends them
 KEYS = "bucket int, keys binary, blocks binary, many binary"
 
 

@@ -162,6 +162,23 @@ def test_equal_windows_have_equal_anchors(words):
             assert count[int(by_window[key])] > 1
 
 
+def test_anchors_of_large_batches_take_little_memory():
+    """A batch of 16 MB: numpy holds the arrays of one small slice, so tasks of one executor fit beside each other."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = np.random.default_rng(1)
+    texts = [b" ".join(b"w%d" % w for w in r.integers(0, 50_000, 300)) for _ in range(8000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts)) % 50, pa.int32()), pa.array(texts, pa.binary())], ["block", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in substrings._anchor_rows(35, 102)(iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_bpe(docs, none):
     path = P.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
