@@ -1,4 +1,4 @@
-"""Byte-level BPE encoding and decoding with higher-order functions over distinct words.
+"""Byte-level BPE encoding with higher-order functions over distinct words, and decoding.
 
 A vocabulary file gives each token's bytes and rank; the rank is the id. In a word, the adjacent
 tokens whose joined bytes have the lowest rank are merged, the leftmost first, until no joined
@@ -14,10 +14,13 @@ one character per token, where a turn merges a pair at all its places, leftmost
 then, and only then, the first place alone is merged. The turns are thus as many as there are
 different merges, not places.
 
-No text is shuffled. A task reads its rows in portions of at most ``PORTION`` bytes of text and
-hands on, first, the portion's distinct words, then its texts as numbers of their pieces. The folds
-encode and decode the words only, and the next step of the same task puts the texts together
-from them. So each distinct word of a portion is folded once, and memory is bounded by the portion.
+Each distinct word is folded once for all tasks. A task reads its rows in portions of at most
+``PORTION`` bytes of text (or one text), numbers the portion's words, frequent ones first, and writes its texts as
+numbers and its words by buckets of their hashes. The task of a bucket finds the words that differ, folds them, and
+answers each portion with the tokens of its own, in its order. The texts as numbers are written once, bucketed by
+portion, and meet the answers there without a shuffle. Numbers move as packed bytes, so a word costs a few bytes, not a row. A bucket holds a word
+at most once from each portion, and memory is bounded by a portion or a bucket. Decoding joins the tokens' bytes, once for
+each word of a portion.
 
 Nulls: a null text counts as empty and has no tokens; null ids pass through. Repeated rows are
 encoded each. An empty table gives no rows. Words of any length are folded whole. Other columns are
@@ -29,19 +32,23 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from claimtrace.llm.common import whole_text
+from claimtrace.llm.common import shared_folder, shuffle_partitions, whole_text, written
 
-PORTION = 40 << 20
+PORTION = 14 << 20
+MOST_TEXTS, MOST_NUMBERS = 1000, 1 << 18  # of a row of texts: what ends it
 LONG = 48
 NONE = 1 << 30  # the rank of what has none
 _BITS = 17  # of a token id
@@ -96,8 +103,6 @@ class Vocabulary:
         self._shifts, self._places = map(json.dumps, _hashed(pairs))
         self._signs = json.dumps([_character(i) for i in range(len(self.pieces))])
         self._bytes = json.dumps([ranks[bytes([b])] for b in range(256)])
-        # For decoding, tokens as text of one character per byte.
-        self._pieces = json.dumps([p.decode("latin-1") for p in self.pieces])
 
     def encoded(self, word: Column) -> Column:
         """The word as a string of token characters."""
@@ -159,15 +164,6 @@ class Vocabulary:
         long = F.aggregate(turns, start, lambda s, _: F.when(s["rank"] < NONE, long_turn(s)).otherwise(s), lambda s: s["tokens"])
         return F.when(F.octet_length(word) == 0, "").when(F.octet_length(word) <= LONG, short).otherwise(long)
 
-    def decoded(self, tokens: Column) -> Column:
-        """The bytes of a string of token characters: its binary pieces one after the other."""
-        pieces = F.from_json(F.lit(self._pieces), "array<string>")
-
-        def piece(sign: Column) -> Column:
-            return F.get(pieces, _token(F.ascii(sign)))
-
-        return F.encode(F.array_join(F.transform(F.split(tokens, ""), piece), ""), "iso-8859-1")
-
 
 def _token(code: Column) -> Column:
     """The token id of a character's code point."""
@@ -185,6 +181,18 @@ def exact_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(pattern)
 
 
+class _Chunks(dict):
+    """The number of each chunk; new ones are numbered by the portion."""
+
+    def __init__(self, number: Callable[[bytes], int]):
+        super().__init__()
+        self._number = number
+
+    def __missing__(self, raw: bytes) -> int:
+        found = self[raw] = self._number(raw)
+        return found
+
+
 class _Portion:
     """Texts as numbers of their chunks, chunks as numbers of their words.
 
@@ -198,18 +206,16 @@ class _Portion:
     def __init__(self, pattern: regex.Pattern):
         self.pattern, self.bytes = pattern, 0
         self.words: dict[str, int] = {}
-        self.chunks: dict[bytes, int] = {}
-        self.lists: list[list[int]] = []
-        self.open: list[bool] = []  # chunks that may go on after the next space
+        self.chunks = _Chunks(self._chunk)
+        self.lists: list[tuple[int, ...]] = []
+        self.open: set[int] = set()  # chunks that may go on after the next space
         self.texts: list[tuple] = []
 
     def _chunk(self, raw: bytes) -> int:
-        number = self.chunks.get(raw)
-        if number is None:
-            number = self.chunks[raw] = len(self.lists)
-            text = raw.decode("utf-8", "replace")
-            self.open.append(not text or self._ENDS.search(text) is not None)
-            self.lists.append([self.words.setdefault(w, len(self.words)) for w in self.pattern.findall(text)])
+        number, text = len(self.lists), raw.decode("utf-8", "replace")
+        if not text or self._ENDS.search(text) is not None:
+            self.open.add(number)
+        self.lists.append(tuple([self.words.setdefault(w, len(self.words)) for w in self.pattern.findall(text)]))
         return number
 
     def add(self, key, raw: bytes) -> None:
@@ -218,102 +224,222 @@ class _Portion:
             self.texts.append((key, b""))
             return
         first, *rest = raw.split(b" ")
-        known, chunk = self.chunks.get, self._chunk
-        numbers = [chunk(first)] if first else []
-        is_open = bool(first) and self.open[numbers[0]]
-        spaced = [b" " + r for r in rest]
-        for piece in spaced:
-            number = known(piece)
-            if number is None:
-                number = chunk(piece)
-            numbers.append(number)
-        flags = self.open
-        if is_open or any(flags[n] for n in numbers[:-1]) or raw.startswith(b" "):
-            numbers = [chunk(c.encode()) for c in self._CHUNK.split(raw.decode("utf-8", "replace"))]
+        numbers = [self.chunks[first]] if first else []
+        numbers += map(self.chunks.__getitem__, [b" " + r for r in rest])
+        if raw.startswith(b" ") or not self.open.isdisjoint(numbers[:-1]):
+            numbers = [self.chunks[c.encode()] for c in self._CHUNK.split(raw.decode("utf-8", "replace"))]
         self.texts.append((key, np.array(numbers, np.int32).tobytes()))
 
-    def rows(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        """Words, then chunks, then texts; empties the portion."""
-        ends = np.cumsum([len(x) for x in self.lists]).astype(np.int32)
-        flat = np.fromiter((w for x in self.lists for w in x), np.int32, int(ends[-1]) if len(ends) else 0)
-        words = list(self.words)
-        for i in range(0, len(words), 20_000):
-            part = pa.array(words[i : i + 20_000], pa.string())
-            yield _columns(schema, len(part), kind=pa.array(np.zeros(len(part), np.int32)), word=part)
-        yield _columns(schema, 2, kind=pa.array([1, 1], pa.int32()), data=pa.array([ends.tobytes(), flat.tobytes()], pa.binary()))
-        for i in range(0, len(self.texts), 1000):
-            keys, data = zip(*self.texts[i : i + 1000])
-            yield _columns(schema, len(keys), kind=pa.array([2] * len(keys), pa.int32()), id=pa.array(keys, schema.field("id").type), data=pa.array(data, pa.binary()))
+    def _slices(self, flat: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+        """Some texts at a time: their keys, how many words each has, and the words' numbers."""
+        starts = np.cumsum(sizes) - sizes
+        keys, parts, n = [], [], 0
+        for at, (key, data) in enumerate(self.texts, 1):
+            keys.append(key)
+            parts.append(np.frombuffer(data, np.int32))
+            n += len(parts[-1])
+            if n >= MOST_NUMBERS or len(keys) >= MOST_TEXTS or at == len(self.texts):
+                chunks = np.concatenate(parts)
+                many = np.concatenate([[0], np.cumsum(sizes[chunks])])
+                counts = np.diff(many[np.cumsum([0, *map(len, parts)])])
+                yield keys, counts, flat[_ranges(starts[chunks], sizes[chunks])]
+                keys, parts, n = [], [], 0
+
+    def rows(self, schema: pa.Schema, portion: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        """The words by bucket, then the bucket of each word, then the texts; empties the portion."""
+        self.chunks.clear()
+        sizes = np.fromiter(map(len, self.lists), np.int64, len(self.lists))
+        flat = np.fromiter((w for x in self.lists for w in x), np.int32, int(sizes.sum()))
+        self.lists, words = [], [w.encode() for w in self.words]
+        self.words = {}
+        uses = np.zeros(len(words), np.int64)
+        for _, _, numbers in self._slices(flat, sizes):
+            uses += np.bincount(numbers, minlength=len(uses))
+        order = np.argsort(-uses, kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        words = [words[i] for i in order.tolist()]
+        bucket = np.array([zlib.crc32(w) % buckets for w in words], np.int32)
+        row = {"portion": pa.array([portion], pa.int64())}
+        by = np.argsort(bucket, kind="stable")
+        for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else []:
+            own = [words[i] for i in part.tolist()]
+            sent = row | {"kind": pa.array([0], pa.int32()), "bucket": pa.array([bucket[part[0]]], pa.int32())}
+            yield _columns(schema, 1, **sent, lens=_binary(np.array([len(w) for w in own])), data=pa.array([_squeezed(b"".join(own))], pa.binary()))
+        yield _columns(schema, 1, **row, kind=pa.array([1], pa.int32()), data=_binary(bucket))
+        for keys, counts, numbers in self._slices(flat, sizes):
+            listed = pa.array([keys], schema.field("ids").type)
+            yield _columns(schema, 1, **row, kind=pa.array([2], pa.int32()), ids=listed, lens=_binary(counts), data=_binary(rank[numbers]))
         self.__init__(self.pattern)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _squeezed(raw: bytes) -> bytes:
+    """The bytes compressed, after their number."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _whole(squeezed: bytes) -> bytes:
+    return pa.decompress(squeezed[8:], int.from_bytes(squeezed[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32, their lowest bytes first, compressed."""
+    return _squeezed(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(squeezed: bytes) -> np.ndarray:
+    return np.frombuffer(np.frombuffer(_whole(squeezed), np.uint8).reshape(4, -1).T.tobytes(), "<u4").astype(np.int64)
+
+
+def _binary(numbers: np.ndarray) -> pa.Array:
+    return pa.array([_packed(numbers)], pa.binary())
+
+
 def _columns(schema: pa.Schema, n: int, **given: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([given.get(f.name, None) if f.name in given else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _portions(pattern: str, schema: pa.Schema):
+def _portions(pattern: str, buckets: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        portion = _Portion(exact_pattern(pattern))
+        portion, number = _Portion(exact_pattern(pattern)), TaskContext.get().partitionId() << 32
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 portion.add(key, text.as_py())
                 if portion.bytes >= PORTION:
-                    yield from portion.rows(schema)
+                    yield from portion.rows(schema, number, buckets)
+                    number += 1
         if portion.texts:
-            yield from portion.rows(schema)
+            yield from portion.rows(schema, number, buckets)
+
+    return run
+
+
+BUCKET = "bucket int, lens binary, data binary, portions array<long>, asked array<binary>"
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """A row for one bucket: the words that differ, and for each portion which of them it has."""
+    words: dict[bytes, int] = {}
+    asked: list[bytes] = []
+    for lens, data in zip(table.column("lens"), table.column("data")):
+        raw, ends = _whole(data.as_py()), np.cumsum(_unpacked(lens.as_py())).tolist()
+        asked.append(_packed(np.array([words.setdefault(raw[a:b], len(words)) for a, b in zip([0, *ends], ends)])))
+    made = {"bucket": table.column("bucket")[:1], "lens": _binary(np.array([len(w) for w in words])), "data": pa.array([_squeezed(b"".join(words))], pa.binary())}
+    return pa.table(made | {"portions": pa.array([table.column("portion").to_pylist()], pa.list_(pa.int64())), "asked": pa.array([asked], pa.list_(pa.binary()))})
+
+
+def _distinct(schema: pa.Schema):
+    """Of each bucket the words, then what each portion asked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, lens, data, portions, asked in zip(*batch.columns):
+                raw, ends = _whole(data.as_py()), [0, *np.cumsum(_unpacked(lens.as_py())).tolist()]
+                for i in range(0, len(ends) - 1, 20_000):
+                    cuts = ends[i : i + 20_001]
+                    part = pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary()).cast(pa.string())
+                    yield _columns(schema, len(part), kind=pa.array(np.zeros(len(part), np.int32)), word=part)
+                n = len(portions)
+                yield _columns(
+                    schema, n, kind=pa.array([1] * n, pa.int32()), portion=portions.values.cast(pa.int64()),
+                    bucket=pa.array([bucket.as_py()] * n, pa.int32()), data=asked.values.cast(pa.binary()),
+                )
 
     return run
 
 
-def _put_together(schema: pa.Schema):
+ANSWERS = T.StructType([T.StructField("portion", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("lens", T.BinaryType()), T.StructField("data", T.BinaryType())])
+
+
+def _answered(schema: pa.Schema):
+    """For each portion and bucket, how many tokens its words have, and the tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[bytes] = []
-        raws: list[bytes] = []
-        arrays: list[np.ndarray] = []
-        chunk_ids: list[bytes] = []
-        chunk_raws: list[bytes] = []
-        fresh = True
+        sizes, codes, fresh = [], [], True
         for batch in batches:
             kinds = batch.column(0).to_numpy()
-            for k, at in _runs(kinds):
-                part = batch.slice(int(at[0]), len(at))
-                if k == 0:
+            for a, b in _runs(kinds):
+                part = batch.slice(a, b - a)
+                if kinds[a] == 0:
                     if fresh:
-                        ids, raws, arrays, fresh = [], [], [], False
+                        sizes, codes, fresh = [], [], False
                     tokens = part.column(1).to_pylist()
-                    codes = np.frombuffer("".join(tokens).encode("utf-32-le"), np.uint32)
-                    all_ids = (codes - np.uint32(_FIRST) - np.where(codes >= _GAP, np.uint32(_GAP_SIZE), np.uint32(0))).astype("<u4").tobytes()
-                    ends = np.cumsum([4 * len(t) for t in tokens]).tolist()
-                    ids += [all_ids[a:b] for a, b in zip([0, *ends], ends)]
-                    raws += part.column(2).to_pylist()
-                elif k == 1:
-                    fresh = True
-                    arrays += [np.frombuffer(x, np.int32) for x in part.column(4).to_pylist()]
-                    if len(arrays) == 2:
-                        ends, flat = arrays[0].tolist(), arrays[1].tolist()
-                        lists = [flat[a:b] for a, b in zip([0, *ends], ends)]
-                        chunk_ids = [b"".join([ids[w] for w in x]) for x in lists]
-                        chunk_raws = [b"".join([raws[w] for w in x]) for x in lists]
-                        arrays = []
-                else:
-                    fresh = True
-                    yield _digests(part, chunk_ids, chunk_raws, schema)
+                    sizes.append(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+                    signs = np.frombuffer("".join(tokens).encode("utf-32-le"), np.uint32)
+                    codes.append(signs - np.uint32(_FIRST) - np.where(signs >= _GAP, np.uint32(_GAP_SIZE), np.uint32(0)))
+                    continue
+                if not fresh:
+                    many, ids, fresh = np.concatenate(sizes), np.concatenate(codes), True
+                    starts = np.cumsum(many) - many
+                for portion, bucket, data in zip(*(part.column(c) for c in (2, 3, 4))):
+                    numbers = _unpacked(data.as_py())
+                    lens = many[numbers]
+                    yield _columns(
+                        schema, 1, portion=pa.array([portion.as_py()], pa.int64()), bucket=pa.array([bucket.as_py()], pa.int32()),
+                        lens=_binary(lens), data=_binary(ids[_ranges(starts[numbers], lens)]),
+                    )
 
     return run
 
 
-def _runs(kinds: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _runs(kinds: np.ndarray) -> Iterator[tuple[int, int]]:
     cuts = [0, *(np.flatnonzero(kinds[1:] != kinds[:-1]) + 1).tolist(), len(kinds)] if len(kinds) else []
-    return ((int(kinds[a]), np.arange(a, b)) for a, b in zip(cuts, cuts[1:]))
+    return zip(cuts, cuts[1:])
+
+
+def _put_together(pieces: list[bytes], schema: pa.Schema):
+    """The texts of one portion, from the answers to it."""
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
+        found = answers.take(pa.array(order))
+        lens, codes = ([_unpacked(x.as_py()) for x in found.column(c)] for c in ("lens", "data"))
+        kinds = texts.column("kind").to_numpy()
+        words = texts.column("data")[int(np.flatnonzero(kinds == 1)[0])].as_py()
+        ids, raws = _words(np.argsort(_unpacked(words), kind="stable"), lens, codes, pieces)
+        made = []
+        for i in np.flatnonzero(kinds == 2).tolist():
+            listed, counts, data = (texts.column(c)[i] for c in ("ids", "lens", "data"))
+            made.append(_digests(listed.values, _unpacked(counts.as_py()), _unpacked(data.as_py()).tolist(), ids, raws, schema))
+        return pa.Table.from_batches(made, schema)
+
+    return run
 
 
-def _digests(part: pa.RecordBatch, chunk_ids: list[bytes], chunk_raws: list[bytes], schema: pa.Schema) -> pa.RecordBatch:
+def _words(order: np.ndarray, lens: list[np.ndarray], codes: list[np.ndarray], pieces: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """The ids and the decoded bytes of a portion's words, which the answers hold in the given order."""
+    if not len(order):
+        return [], []
+    many, tokens = np.concatenate(lens), np.concatenate(codes)
+    if len(many) != len(order):
+        raise RuntimeError("the answers are not those of the portion's words")
+    sizes = np.empty(len(order), np.int64)
+    starts = np.empty(len(order), np.int64)
+    sizes[order], starts[order] = many, np.cumsum(many) - many
+    tokens = tokens[_ranges(starts, sizes)]
+    flat, ends = tokens.astype("<u4").tobytes(), [0, *np.cumsum(sizes).tolist()]
+    ids = [flat[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
+    raws: list[bytes] = []
+    for i in range(0, len(ids), 20_000):
+        cuts = ends[i : i + 20_001]
+        shown = [pieces[t] for t in tokens[cuts[0] : cuts[-1]].tolist()]
+        raws += [b"".join(shown[a - cuts[0] : b - cuts[0]]) for a, b in zip(cuts, cuts[1:])]
+    return ids, raws
+
+
+def _digests(keys: pa.Array, counts: np.ndarray, numbers: list[int], word_ids: list[bytes], word_raws: list[bytes], schema: pa.Schema) -> pa.RecordBatch:
     rows = []
-    for data in part.column(4).to_pylist():
-        numbers = np.frombuffer(data, np.int32).tolist()
-        rows.append((b"".join([chunk_ids[n] for n in numbers]), b"".join([chunk_raws[n] for n in numbers])))
+    ends = np.cumsum(counts).tolist()
+    for a, b in zip([0, *ends], ends):
+        own = numbers[a:b]
+        rows.append((b"".join([word_ids[n] for n in own]), b"".join([word_raws[n] for n in own])))
     columns = [
-        part.column(3),
+        keys.cast(schema.field(0).type),
         pa.array([len(i) // 4 for i, _ in rows], pa.int64()),
         pa.array([hashlib.sha256(i).hexdigest() for i, _ in rows]),
         pa.array([hashlib.sha256(d).hexdigest() for _, d in rows]),
@@ -323,6 +449,19 @@ def _digests(part: pa.RecordBatch, chunk_ids: list[bytes], chunk_raws: list[byte
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
+def _written(portions: DataFrame, parts: int) -> DataFrame:
+    """The portions in the shared folder, bucketed, so that their texts meet the answers without being shuffled.
+
+    The table's name is only needed to read its files as buckets; the files stay when it goes.
+    """
+    spark, name = portions.sparkSession, f"bpe_portions_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}"
+    portions.write.format("parquet").bucketBy(parts, "portion").option("path", path).saveAsTable(name)
+    made = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return made
+
+
 def round_trip(
     docs: DataFrame, path: str, pattern: str, outputs: bool = True, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -332,13 +471,20 @@ def round_trip(
     them.
     """
     vocabulary = Vocabulary(read_ranks(path))
+    parts = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).cast("binary").alias("text"))
     key = rows.schema["id"].dataType
-    middle = T.StructType().add("kind", T.IntegerType()).add("word", T.StringType()).add("id", key).add("data", T.BinaryType())
-    portions = rows.mapInArrow(_portions(pattern, to_arrow_schema(middle)), middle)
-    folded = portions.withColumn("tokens", F.when(F.col("kind") == 0, vocabulary.encoded(F.col("word"))))
-    folded = folded.select("kind", "tokens", F.when(F.col("kind") == 0, vocabulary.decoded(F.col("tokens"))).alias("raw"), "id", "data")
+    shape = T.StructType().add("portion", T.LongType()).add("kind", T.IntegerType()).add("bucket", T.IntegerType())
+    shape = shape.add("ids", T.ArrayType(key)).add("lens", T.BinaryType()).add("data", T.BinaryType())
+    portions = _written(rows.mapInArrow(_portions(pattern, parts, to_arrow_schema(shape)), shape), parts)
+    words = portions.where("kind = 0").select(*ANSWERS.names).groupBy("bucket").applyInArrow(_merged, BUCKET)
+    middle = T.StructType().add("kind", T.IntegerType()).add("word", T.StringType()).add("portion", T.LongType()).add("bucket", T.IntegerType()).add("data", T.BinaryType())
+    # The folds' tables are literals: in a query without a shuffle their plan is told once.
+    differ = written(words, "bpe-words").mapInArrow(_distinct(to_arrow_schema(middle)), middle)
+    folded = differ.select("kind", F.when(F.col("kind") == 0, vocabulary.encoded(F.col("word"))).alias("tokens"), "portion", "bucket", "data")
+    answers = written(folded.mapInArrow(_answered(to_arrow_schema(ANSWERS)), ANSWERS), "bpe-answers")
     made = T.StructType().add("id", key).add("n_tokens", T.LongType()).add("ids_sha256", T.StringType()).add("decoded_sha256", T.StringType())
     if outputs:
         made = made.add("ids", T.BinaryType()).add("decoded", T.BinaryType())
-    return folded.mapInArrow(_put_together(to_arrow_schema(made)), made).withColumnRenamed("id", id_col)
+    both = portions.where("kind > 0").groupBy("portion").cogroup(answers.groupBy("portion"))
+    return both.applyInArrow(_put_together(vocabulary.pieces, to_arrow_schema(made)), made).withColumnRenamed("id", id_col)

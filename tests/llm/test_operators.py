@@ -204,6 +204,43 @@ def test_chunks_meet_at_safe_places():
         assert [words[w] for c in np.frombuffer(data, np.int32) for w in portion.lists[c]] == known.findall(text)
 
 
+def test_bpe_folds_each_word_once():
+    """Words that several portions have reach the folds once; each portion is told its own."""
+    import pyarrow as pa
+
+    fields = [("portion", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()), ("data", pa.binary())]
+    texts = ["one two  three\x00", "two one four one", "\n" + "five" * 30 + " one \u00e9"]
+    rows, words = [], []
+    for number, text in enumerate(texts):
+        portion = bpe._Portion(bpe.exact_pattern(P.PATTERN))
+        portion.add(number, text.encode())
+        portion.add(None, b"")
+        words.append(set(portion.words))
+        rows += portion.rows(pa.schema(fields), number, 3)
+    sent = pa.Table.from_batches(rows)
+    sent = sent.filter(pa.array([k == 0 for k in sent.column("kind").to_pylist()]))
+    schema = pa.schema([("kind", pa.int32()), ("word", pa.string()), ("portion", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
+    folded, told = [], defaultdict(set)
+    for bucket in range(3):
+        own = sent.filter(pa.array([b == bucket for b in sent.column("bucket").to_pylist()]))
+        if own.num_rows:
+            made = pa.Table.from_batches(bpe._distinct(schema)(bpe._merged(own).to_batches())).to_pylist()
+            here = [r["word"] for r in made if r["kind"] == 0]
+            folded += here
+            for r in made:
+                if r["kind"] == 1:
+                    told[r["portion"]].update(here[i] for i in bpe._unpacked(r["data"]))
+    assert len(folded) == len(set(folded)) and set(folded) == set.union(*words)
+    assert [told[n] for n in range(3)] == words
+
+
+def test_bpe_of_tables_without_words(spark, none):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    empty = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert [(r.n_tokens, r.ids_sha256) for r in bpe.round_trip(empty, path, P.PATTERN).collect()] == [(0, hashlib.sha256(b"").hexdigest())] * 2
+    assert bpe.round_trip(none, path, P.PATTERN).count() == 0
+
+
 def test_sharding(docs, none):
     rows = sharding.shard(docs, 7).collect()
     size = lambda t: len((t or "").encode()) + 16
