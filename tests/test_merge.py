@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -256,3 +257,48 @@ def test_keys_of_one_file_are_counted_as_those_of_many(spark):
         for days, told in (ingest._keys_of_one_file(rows, held), ingest._keys_of_files(rows, held))
     ]
     assert got[0] == got[1] and got[0][1][0].inserted > 0
+
+
+def broadcasts(spark, frame):
+    """The keys that a frame's plan broadcasts by."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    return re.findall(r"HashedRelationBroadcastMode\(List\((.*?)\),", plan)
+
+
+def test_small_batches_broadcast_numbers_of_their_keys(spark):
+    ships = "sscc18 string, order_id string, scac string, seq struct<file_name:string,row:long>"
+    batch = spark.createDataFrame([("p", "o", "S", ("f", 1)), ("q", "o", "S", ("f", 2)), (None, "o", "S", ("f", 3))], ships)
+    held = batch.filter("seq.row <> 2").drop("seq")
+    fresh = merge.insert_ignore(held, batch, merge.SHIPMENT_KEY, small=True)
+    assert sorted(r["sscc18"] or "" for r in fresh.collect()) == ["", "q"]
+    sent = broadcasts(spark, fresh)
+    assert sent and all(s == "input[0, bigint, false]" for s in sent)
+
+    days = [datetime(2025, 1, 1), None]
+    claims = spark.createDataFrame(
+        [(d, "o", p, Decimal("1.004"), f"T{p}", "C", ("f", i)) for i, (d, p) in enumerate([(d, p) for d in days for p in "abc"])],
+        "claim_date timestamp, order_id string, sscc18 string, claim_amount decimal(14,3), claim_type string, carrier_bp string,"
+        " seq struct<file_name:string,row:long>",
+    )
+    # Amounts of other types are equal keys too; those without a date equal none.
+    stored = claims.filter("sscc18 <> 'b'").withColumn("claim_amount", F.col("claim_amount").cast("decimal(10,2)")).drop("seq")
+    merged = merge.upsert_claims(stored, claims, small=True)
+    large = merge.upsert_claims(stored, claims)
+    assert merged.filter("claim_date IS NOT NULL").count() == 3
+    assert sorted(map(repr, merged.collect())) == sorted(map(repr, large.collect()))
+    sent = broadcasts(spark, merged)
+    assert sent and all(s == "input[0, bigint, false]" for s in sent)
+
+
+def test_stored_keys_are_not_broadcast_by_estimate(spark, tmp_path):
+    """Equal values take few bytes in files, so many stored keys look small."""
+    spark.range(50_000).selectExpr("'C' AS carrier_bp", "CAST(1 AS DECIMAL(15,4)) AS credit", "1 AS count").write.parquet(str(tmp_path / "held"))
+    held = spark.read.parquet(str(tmp_path / "held"))
+    batch = held.limit(10).withColumn("seq", F.lit(1))
+    plan = merge.insert_ignore(held, batch, merge.RMA_KEY)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
